@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,7 +30,7 @@ from alpenglow.streaming.silver import stream_silver
 
 KEYS = ["route_id", "waypoint_name", "date"]
 CUTOFF, OVERLAP, REVISED = (date.fromisoformat(x) for x in (m.CUTOFF, m.OVERLAP_FROM, m.REVISED_FROM))
-RECORD = c.LoadSettings(start=date(1995, 1, 1), fixed_end=date(2001, 11, 30))
+RECORD = c.LoadSettings(start=date(1995, 1, 1), fixed_end=date(2001, 11, 30), requests_per_task=4000)
 
 
 def new_tables(spark: SparkSession) -> tuple[md.Tables, str]:
@@ -80,7 +81,7 @@ def with_day_count(raw: DataFrame) -> DataFrame:
 def archive_source_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     transport = stored_archive(fx.clean_raw(spark, sf_dir), shared_folder(spark))
     ranged = with_load_range(fx.waypoints(spark, sf_dir), c.NO_WATERMARK, RECORD)
-    rows = fetch_payloads(request_manifest(ranged), transport, md.REQUESTS_PER_TASK)
+    rows = fetch_payloads(request_manifest(ranged), transport, RECORD.requests_per_task)
     return with_day_count(rows).groupBy("route_id", "waypoint_name", "elevation").agg(
         F.count(F.lit(1)).alias("n_payloads"), F.sum("n_days").alias("n_days")
     )
@@ -368,7 +369,7 @@ def medallion_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     transport = stored_archive(fx.clean_raw(spark, sf_dir), folder)
     places = fx.waypoints(spark, sf_dir)
     for end in (CUTOFF, RECORD.fixed_end):
-        settings = c.LoadSettings(start=RECORD.start, fixed_end=end, today=date.fromisoformat(m.FRESHNESS_TODAY))
+        settings = replace(RECORD, fixed_end=end, today=date.fromisoformat(m.FRESHNESS_TODAY))
         md.run_load(spark, tables, places, transport, settings, check_freshness=end != CUTOFF)
     return spark.table(tables.gold("summit_window")).drop(tb.MONTH)
 

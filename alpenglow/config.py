@@ -169,6 +169,7 @@ class LoadSettings:
     fail_after_days: int = FAIL_AFTER_DAYS
     today: date | None = None
     commit: str = "load"  # "load": one job and one watermark; "slice": one per calendar month
+    requests_per_task: int = 500
 
     def __post_init__(self):
         if self.commit not in ("load", "slice"):

@@ -28,7 +28,6 @@ from alpenglow.sources.archive import Transport, fetch_payloads
 from alpenglow.sources.planner import month_slices, request_manifest, with_load_range
 
 PERIOD_MONTH = "period_month"
-REQUESTS_PER_TASK = 500
 
 
 class QualityError(RuntimeError):
@@ -88,7 +87,7 @@ def load_bronze(
         ranges = [(start, end)]
     for first, last in ranges:
         ranged = waypoints.withColumns({"load_start": F.lit(first), "load_end": F.lit(last)})
-        append_raw(fetch_payloads(request_manifest(ranged), transport, REQUESTS_PER_TASK), tables.raw)
+        append_raw(fetch_payloads(request_manifest(ranged), transport, settings.requests_per_task), tables.raw)
         write_watermark(spark, tables.watermark, "bronze", last)
     return end
 
