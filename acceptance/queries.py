@@ -166,6 +166,15 @@ def change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tb.change_feed(base_weather(spark, sf_dir), after, KEYS)
 
 
+def captured_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What two upserts left in the change table of the weather table."""
+    tables, _ = new_tables(spark)
+    tb.upsert(base_weather(spark, sf_dir), tables.weather, KEYS, capture_changes=True)
+    batch = fx.weather(spark, sf_dir, m.ONE_DEGREE).filter(F.col("date") >= F.lit(OVERLAP))
+    tb.upsert(batch, tables.weather, KEYS, capture_changes=True)
+    return spark.table(f"{tables.weather}_changes").drop(tb.COMMIT)
+
+
 def late_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Older slices fetched again after silver had passed them, taken in by ingestion day."""
     tables, _ = new_tables(spark)
@@ -402,6 +411,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "silver_upsert": upserted,
         "create_if_absent": create_if_absent,
         "change_feed": change_feed,
+        "captured_changes": captured_changes,
         "late_periods": late_periods,
         "daily_conditions": daily_conditions,
         "elevation_gradient": gradient,

@@ -170,6 +170,8 @@ class LoadSettings:
     today: date | None = None
     commit: str = "load"  # "load": one job and one watermark; "slice": one per calendar month
     requests_per_task: int = 500
+    late_periods: bool = False  # take in re-fetched slices that start before the silver watermark
+    capture_changes: bool = False  # keep the row changes of every weather upsert
 
     def __post_init__(self):
         if self.commit not in ("load", "slice"):

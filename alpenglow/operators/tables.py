@@ -77,18 +77,11 @@ def write_watermark(spark: SparkSession, table: str, layer: str, completed: date
         return
     row = spark.createDataFrame([(layer, completed)], WATERMARK)
     if spark.catalog.tableExists(table):
-        replace_partitions(row.select("last_completed_date", "layer"), table)
+        replace_partitions(row, table)
     else:
         append(row, table, partition_by=["layer"])
 
 
-def replace_partitions(df: DataFrame, table: str) -> None:
-    """Overwrite exactly the partitions the rows fall into; columns are matched by position."""
-    spark = df.sparkSession
-    with conf_scope(spark, spark__sql__sources__partitionOverwriteMode="dynamic"):
-        df.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
-
-
 # --- Upsert -----------------------------------------------------------------------------------------------------------
 
 
@@ -104,63 +97,127 @@ class UpsertResult:
     max_date: date | None
 
 
-def upsert(batch: DataFrame, table: str, keys: Sequence[str], day: str = "date") -> UpsertResult:
+def upsert(
+    batch: DataFrame, table: str, keys: Sequence[str], day: str = "date", capture_changes: bool = False
+) -> UpsertResult:
     """Update the rows of `table` that match the batch on `keys`, insert the others; create the table on first use.
 
-    1. The batch is written once to a staging table (its lineage ends there, its row count and latest date are
-       observed on the way), so nothing upstream is evaluated twice.
+    1. The batch is written once to a staging table (its lineage ends there; row count and date range are observed on
+       the way), so nothing upstream is evaluated twice.
     2. The months it touches are read from the target, minus the keys of the batch, and written together with the
        batch to a merged table.
     3. The merged months replace those of the target.
 
     A crash in step 3 can leave months half replaced; the merged table is still there then and `recover` replays it,
     which the next upsert of the table does first. Every step can be repeated with the same result.
+
+    With capture_changes the row changes of each later upsert (the first one is the table itself) are kept in
+    `<table>_changes`, one partition per upsert.
     """
     spark = batch.sparkSession
-    recover(spark, table)
-    batch = with_month(batch, day)
+    recover(spark, table, keys)
     seen = Observation()
-    batch = batch.observe(
+    batch = with_month(batch, day).observe(
         seen, F.count(F.lit(1)).alias("rows"), F.min(day).alias("min_date"), F.max(day).alias("max_date")
     )
     if not spark.catalog.tableExists(table):
-        write_by_month(batch, table)
+        write_by_month(batch, table, keys)
         return UpsertResult(created=True, **seen.get)
 
-    stem = f"{table}__batch_{uuid.uuid4().hex}"
-    merged = f"{table}__merged_{uuid.uuid4().hex}"
-    append(batch, stem)
-    staged = spark.table(stem)
+    commit = uuid.uuid4().hex
+    staging = _Staging(table, commit)
+    append(batch, staging.batch)
+    staged = spark.table(staging.batch)
     try:
         _reject_duplicates(staged, keys)
         # One value per calendar month of the batch, so this list stays small whatever the batch holds.
         months = [row[0] for row in staged.select(MONTH).distinct().collect()]
         if months:
             target = spark.table(table).filter(F.col(MONTH).isin(months))
-            kept = target.join(staged.select(MONTH, *keys), [MONTH, *keys], "left_anti")
-            write_by_month(kept.unionByName(staged), merged)
-            replace_partitions(spark.table(merged), table)
-            spark.sql(f"DROP TABLE IF EXISTS {merged}")
+            batch_keys = staged.select(MONTH, *keys)
+            if capture_changes:
+                before = target.join(batch_keys, [MONTH, *keys], "left_semi").drop(MONTH)
+                feed = change_feed(before, staged.select(*before.columns), keys)
+                append(feed.withColumn(COMMIT, F.lit(commit)), staging.changes)
+            kept = target.join(batch_keys, [MONTH, *keys], "left_anti")
+            append(kept.unionByName(staged).hint("rebalance", MONTH), staging.merged, partition_by=[MONTH])
+            _apply(spark, staging, table, keys)
     finally:
-        spark.sql(f"DROP TABLE IF EXISTS {stem}")
+        spark.sql(f"DROP TABLE IF EXISTS {staging.batch}")
     return UpsertResult(created=False, **seen.get)
 
 
-def recover(spark: SparkSession, table: str) -> int:
-    """Replay merged months that an interrupted upsert left behind and drop its staging; returns the replays."""
+COMMIT = "_commit"
+
+
+@dataclass(frozen=True)
+class _Staging:
+    """Names of the tables one upsert works with. The changes are complete before the merged table appears."""
+
+    table: str
+    commit: str
+
+    @property
+    def batch(self) -> str:
+        return f"{self.table}__batch_{self.commit}"
+
+    @property
+    def changes(self) -> str:
+        return f"{self.table}__changes_{self.commit}"
+
+    @property
+    def merged(self) -> str:
+        return f"{self.table}__merged_{self.commit}"
+
+
+def _apply(spark: SparkSession, staging: _Staging, table: str, keys: Sequence[str]) -> None:
+    replace_partitions(spark.table(staging.merged), table, keys)
+    if spark.catalog.tableExists(staging.changes):
+        changes, feed = spark.table(staging.changes), f"{table}_changes"
+        if spark.catalog.tableExists(feed):
+            replace_partitions(changes, feed)
+        else:
+            append(changes, feed, partition_by=[COMMIT])
+    # The merged table goes last: as long as it exists the upsert counts as unfinished.
+    spark.sql(f"DROP TABLE IF EXISTS {staging.changes}")
+    spark.sql(f"DROP TABLE IF EXISTS {staging.merged}")
+
+
+def recover(spark: SparkSession, table: str, keys: Sequence[str] = ()) -> int:
+    """Finish upserts that were interrupted after their merged months were complete and drop the staging of the
+    others; returns how many were finished."""
     database, name = table.rsplit(".", 1)
-    replayed = 0
-    for found in spark.catalog.listTables(database, f"{name}__*"):
-        if found.name.startswith(f"{name}__merged_"):
-            replace_partitions(spark.table(f"{database}.{found.name}"), table)
-            replayed += 1
-        spark.sql(f"DROP TABLE IF EXISTS {database}.{found.name}")
-    return replayed
-
-
-def write_by_month(df: DataFrame, table: str) -> None:
-    # Rebalancing gives each month few large files and lets AQE split a month that is larger than the others.
-    append(df.hint("rebalance", MONTH), table, partition_by=[MONTH])
+    left = {found.name for found in spark.catalog.listTables(database, f"{name}__*")}
+    merged = f"{name}__merged_"
+    finished = [_Staging(table, found.removeprefix(merged)) for found in left if found.startswith(merged)]
+    for staging in finished:
+        _apply(spark, staging, table, keys)
+    for found in left:
+        spark.sql(f"DROP TABLE IF EXISTS {database}.{found}")
+    return len(finished)
+
+
+def write_by_month(df: DataFrame, table: str, keys: Sequence[str]) -> None:
+    """Create a month-partitioned table. Rebalancing gives each month few large files and lets AQE split a month that
+    is larger than the others."""
+    append(_clustered(df.hint("rebalance", MONTH), [MONTH], keys), table, partition_by=[MONTH])
+
+
+def replace_partitions(df: DataFrame, table: str, keys: Sequence[str] = ()) -> None:
+    """Overwrite exactly the partitions the rows fall into."""
+    spark = df.sparkSession
+    columns = spark.table(table).columns
+    partitions = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    with conf_scope(spark, spark__sql__sources__partitionOverwriteMode="dynamic"):
+        _clustered(df.select(*columns), partitions, keys).write.insertInto(table, overwrite=True)
+
+
+def _clustered(df: DataFrame, partitions: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """Rows ordered by waypoint within each file, so that scans of one role skip the row groups of the others."""
+    if not keys:
+        return df
+    order = sorted(keys, key=lambda name: name != "waypoint_name")
+    return df.sortWithinPartitions(*partitions, *order)
 
 
 def _reject_duplicates(df: DataFrame, keys: Sequence[str]) -> None:

@@ -17,7 +17,7 @@ from alpenglow.config import (
 from alpenglow.operators import quality
 from alpenglow.operators.flatten import transform_silver
 from alpenglow.operators.tables import (
-    UpsertResult, append, read_watermark, refresh_new_dates, replace_partitions, since, upsert, write_by_month,
+    MONTH, UpsertResult, append, read_watermark, refresh_new_dates, replace_partitions, since, upsert, write_by_month,
     write_watermark,
 )
 from alpenglow.plans.conditions import monthly_conditions, publish_table_view, seasonal_summary
@@ -115,14 +115,16 @@ def weather_keys(df: DataFrame) -> list[str]:
     return [*route_key(df), "waypoint_name", "date"]
 
 
-def load_silver(spark: SparkSession, tables: Tables, late_periods: bool = False) -> UpsertResult:
+def load_silver(
+    spark: SparkSession, tables: Tables, late_periods: bool = False, capture_changes: bool = False
+) -> UpsertResult:
     """Flatten and upsert the new raw rows; the latest date comes from the write itself."""
     raw = read_new_raw(spark, tables, late_periods)
     ingested = None
     if late_periods:
         ingested = raw.agg(F.max(F.to_date("ingestion_timestamp"))).first()[0]
     weather = transform_silver(raw)
-    result = upsert(weather, tables.weather, weather_keys(weather))
+    result = upsert(weather, tables.weather, weather_keys(weather), capture_changes=capture_changes)
     last = result.max_date
     if late_periods and last is not None:
         last = max(last, read_watermark(spark, tables.watermark, "silver"))
@@ -141,11 +143,12 @@ def build_gold(spark: SparkSession, tables: Tables, changed_from: date | None =
     publish_table_view(tables.weather, tables.gold("daily_conditions"), weather)
     refresh_new_dates(weather, tables.gold("elevation_gradient"), weather_keys(weather), elevation_gradient)
     refresh_summit_window(weather, tables.gold("summit_window"))
-    monthly = tables.gold("monthly_conditions")
+    monthly, monthly_keys = tables.gold("monthly_conditions"), [*route_key(weather), "waypoint_name", "elevation"]
     if not spark.catalog.tableExists(monthly):
-        write_by_month(monthly_conditions(weather), monthly)
+        write_by_month(monthly_conditions(weather), monthly, monthly_keys)
     elif changed_from is not None:
-        replace_partitions(monthly_conditions(since(weather, changed_from.replace(day=1), inclusive=True)), monthly)
+        changed = since(weather, changed_from.replace(day=1), inclusive=True)
+        replace_partitions(monthly_conditions(changed).hint("rebalance", MONTH), monthly, monthly_keys)
     append(
         seasonal_summary(weather, spark.table(tables.gold("summit_window"))),
         tables.gold("seasonal_summary"),
@@ -163,9 +166,12 @@ def declared_checks(spark: SparkSession, tables: Tables) -> DataFrame:
     gradient = spark.table(tables.gold("elevation_gradient"))
     summit = spark.table(tables.gold("summit_window"))
     checks = [
-        ("weather", quality.not_null(weather, NOT_NULL["weather"])),
-        ("weather", quality.accepted_values(weather, "waypoint_name", WAYPOINT_NAMES)),
-        ("weather", quality.accepted_range(weather, ACCEPTED_RANGES)),
+        ("weather", quality.column_checks(
+            weather,
+            *quality.null_checks(NOT_NULL["weather"]),
+            *quality.value_checks("waypoint_name", WAYPOINT_NAMES),
+            *quality.range_checks(ACCEPTED_RANGES),
+        )),
         ("daily_conditions", quality.not_null(daily, NOT_NULL["daily_conditions"])),
         ("elevation_gradient", quality.not_null(gradient, NOT_NULL["elevation_gradient"])),
         ("elevation_gradient", quality.unique(gradient, weather_keys(gradient))),
@@ -216,7 +222,7 @@ def run_load(
 ) -> RunReport:
     """One full run. Backfills of a closed period have no meaningful age: pass check_freshness=False for them."""
     loaded_to = load_bronze(spark, tables, waypoints, transport, settings)
-    silver = load_silver(spark, tables)
+    silver = load_silver(spark, tables, settings.late_periods, settings.capture_changes)
     build_gold(spark, tables, silver.min_date)
     require_quality(spark, tables)
     fresh = require_fresh(spark, tables, settings) if check_freshness else None

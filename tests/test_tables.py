@@ -118,7 +118,7 @@ def test_duplicate_keys_are_rejected(spark, tables, weather_rows):
 def test_an_interrupted_upsert_is_replayed(spark, tables, weather_rows, monkeypatch):
     tb.upsert(weather(weather_rows, date(2024, 1, 1), 40, 1), tables.weather, KEYS)
 
-    def crash(df, table):
+    def crash(df, table, keys):
         spark.sql(f"ALTER TABLE {table} DROP PARTITION (month = DATE '2024-02-01')")  # half replaced
         raise RuntimeError("executor gone")
 
@@ -133,6 +133,29 @@ def test_an_interrupted_upsert_is_replayed(spark, tables, weather_rows, monkeypa
     assert tb.recover(spark, tables.weather) == 0
 
 
+def test_captured_changes_survive_an_interruption(spark, tables, weather_rows, monkeypatch):
+    def run(first, count, tmax):
+        tb.upsert(weather(weather_rows, first, count, tmax), tables.weather, KEYS, capture_changes=True)
+
+    run(date(2024, 1, 1), 3, 1)
+    assert not spark.catalog.tableExists(f"{tables.weather}_changes")
+    run(date(2024, 1, 3), 2, 2)
+    apply = tb.replace_partitions
+    with monkeypatch.context() as patched:
+        patched.setattr(tb, "replace_partitions", lambda *args: (_ for _ in ()).throw(RuntimeError("gone")))
+        with pytest.raises(RuntimeError):
+            run(date(2024, 1, 4), 1, 3)
+    assert tb.replace_partitions is apply
+    run(date(2024, 1, 5), 1, 4)
+    feed = spark.table(f"{tables.weather}_changes")
+    found = sorted((r.date.day, r._change_type, float(r.temperature_max_c)) for r in feed.collect())
+    assert found == [
+        (3, "update_postimage", 2.0), (3, "update_preimage", 1.0), (4, "insert", 2.0),
+        (4, "update_postimage", 3.0), (4, "update_preimage", 2.0), (5, "insert", 4.0),
+    ]
+    assert feed.select(tb.COMMIT).distinct().count() == 3
+
+
 def test_partition_mode_is_put_back(spark, tables, weather_rows):
     name = "spark.sql.sources.partitionOverwriteMode"
     before = spark.conf.get(name)
