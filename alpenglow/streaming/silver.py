@@ -32,6 +32,10 @@ def stream_silver(
         if result.max_date is not None:
             done = read_watermark(session, tables.watermark, "silver")
             write_watermark(session, tables.watermark, "silver", max(done, result.max_date))
+        # A micro-batch runs in a session of its own; the caller's may hold the file list from before.
+        for table in (tables.weather, tables.watermark):
+            if spark.catalog.tableExists(table):
+                spark.catalog.refreshTable(table)
 
     reader = spark.readStream.schema(raw_schema)
     if max_files_per_batch is not None:
