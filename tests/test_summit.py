@@ -83,6 +83,22 @@ def test_viable_is_wider_than_recommended(weather_rows):
     assert (row.is_viable, row.is_recommended, row.is_ideal) == (True, False, False)
 
 
+def test_scores_have_the_decimal_stages_of_plain_sql(spark, weather_rows):
+    """A snowfall sum of 3.333333 and a gust of 6.3 make 3.49999965 points, which the decimal product carries as
+    3.500000: the score must be the one the same formula gives in Spark SQL."""
+    dates = days(START, 2)
+    overrides = {("gouter", d): {"windgusts_max_ms": "6.3"} for d in dates}
+    df = table(weather_rows, dates, {**overrides, ("summit", dates[0]): {"snowfall_cm": 10}}, skip=[("tete_rousse", dates[0])])
+    scored = sm.with_sub_scores(sm.complete_days(sm.rolling_conditions(sm.route_pivot(df))))
+    plain = scored.selectExpr(
+        "date", "avalanche_risk_wind_slab AS found",
+        "least(100, greatest(0, round(least(1.0, route_3d_snowfall / 30.0)"
+        " * least(1.0, gouter_windgusts_max_ms / 20.0) * 100))) AS expected",
+    )
+    assert plain.schema["found"].dataType == plain.schema["expected"].dataType
+    assert [(r.found, r.expected) for r in plain.collect()] == [(4, 4), (4, 4)]
+
+
 def test_any_snow_anywhere_closes_the_day(weather_rows):
     row = by_date(sm.summit_window(table(weather_rows, [START], {("tete_rousse", START): {"snowfall_cm": "0.1"}})))[START]
     assert row.is_viable is False
