@@ -11,6 +11,8 @@ import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import date
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -105,7 +107,7 @@ def upsert(
     1. The batch is written once to a staging table (its lineage ends there; row count and date range are observed on
        the way), so nothing upstream is evaluated twice.
     2. The months it touches are read from the target, minus the keys of the batch, and written together with the
-       batch to a merged table.
+       batch to a merged table. Months that are new to the target skip this and the next step and are written as is.
     3. The merged months replace those of the target.
 
     A crash in step 3 can leave months half replaced; the merged table is still there then and `recover` replays it,
@@ -129,19 +131,15 @@ def upsert(
     append(batch, staging.batch)
     staged = spark.table(staging.batch)
     try:
-        _reject_duplicates(staged, keys)
-        # One value per calendar month of the batch, so this list stays small whatever the batch holds.
-        months = [row[0] for row in staged.select(MONTH).distinct().collect()]
-        if months:
-            target = spark.table(table).filter(F.col(MONTH).isin(months))
-            batch_keys = staged.select(MONTH, *keys)
-            if capture_changes:
-                before = target.join(batch_keys, [MONTH, *keys], "left_semi").drop(MONTH)
-                feed = change_feed(before, staged.select(*before.columns), keys)
-                append(feed.withColumn(COMMIT, F.lit(commit)), staging.changes)
-            kept = target.join(batch_keys, [MONTH, *keys], "left_anti")
-            append(kept.unionByName(staged).hint("rebalance", MONTH), staging.merged, partition_by=[MONTH])
-            _apply(spark, staging, table, keys)
+        months = _checked_months(staged, keys)
+        # Months the target does not have yet lose nothing if a write breaks off, so they need no merged copy. With
+        # change capture they take the same way as the others, which ties the changes to the write.
+        present = months if capture_changes else months & _partition_months(spark, table)
+        absent = months - present
+        if absent:
+            replace_partitions(staged.filter(_in_months(absent)).hint("rebalance", MONTH), table, keys)
+        if present:
+            _merge_months(staged.filter(_in_months(present)), present, staging, table, keys, capture_changes)
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {staging.batch}")
     return UpsertResult(created=False, **seen.get)
@@ -170,6 +168,21 @@ class _Staging:
         return f"{self.table}__merged_{self.commit}"
 
 
+def _merge_months(
+    staged: DataFrame, months: set[date], staging: _Staging, table: str, keys: Sequence[str], capture_changes: bool
+) -> None:
+    spark = staged.sparkSession
+    target = spark.table(table).filter(_in_months(months))
+    batch_keys = staged.select(MONTH, *keys)
+    if capture_changes:
+        before = target.join(batch_keys, [MONTH, *keys], "left_semi").drop(MONTH)
+        feed = change_feed(before, staged.select(*before.columns), keys)
+        append(feed.withColumn(COMMIT, F.lit(staging.commit)), staging.changes)
+    kept = target.join(batch_keys, [MONTH, *keys], "left_anti")
+    append(kept.unionByName(staged).hint("rebalance", MONTH), staging.merged, partition_by=[MONTH])
+    _apply(spark, staging, table, keys)
+
+
 def _apply(spark: SparkSession, staging: _Staging, table: str, keys: Sequence[str]) -> None:
     replace_partitions(spark.table(staging.merged), table, keys)
     if spark.catalog.tableExists(staging.changes):
@@ -220,10 +233,28 @@ def _clustered(df: DataFrame, partitions: Sequence[str], keys: Sequence[str]) ->
     return df.sortWithinPartitions(*partitions, *order)
 
 
-def _reject_duplicates(df: DataFrame, keys: Sequence[str]) -> None:
-    twice = df.groupBy(*keys).count().filter("count > 1").limit(1)
-    if not twice.isEmpty():
+def _checked_months(staged: DataFrame, keys: Sequence[str]) -> set[date | None]:
+    """The calendar months of a batch (a handful of values, whatever the batch holds); raises if a key repeats.
+
+    A row with a NULL in its key matches nothing, so it is always inserted and never a duplicate.
+    """
+    complete = reduce(and_, [F.col(name).isNotNull() for name in keys])
+    per_key = staged.groupBy(MONTH, *keys).agg(F.count_if(complete).alias("n"))
+    per_month = per_key.groupBy(MONTH).agg(F.max("n").alias("n")).collect()
+    if any(row.n > 1 for row in per_month):
         raise DuplicateKeysError(f"several rows per key {tuple(keys)} in one batch")
+    return {row[MONTH] for row in per_month}
+
+
+def _in_months(months: set[date | None]) -> Column:
+    """Rows of these months; None stands for rows without a date."""
+    dated = F.col(MONTH).isin([month for month in months if month is not None])
+    return dated | F.col(MONTH).isNull() if None in months else dated
+
+
+def _partition_months(spark: SparkSession, table: str) -> set[date | None]:
+    values = (row.partition.removeprefix(f"{MONTH}=") for row in spark.sql(f"SHOW PARTITIONS {table}").collect())
+    return {None if value in ("null", "__HIVE_DEFAULT_PARTITION__") else date.fromisoformat(value) for value in values}
 
 
 # --- Incremental models -----------------------------------------------------------------------------------------------

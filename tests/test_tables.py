@@ -115,6 +115,15 @@ def test_duplicate_keys_are_rejected(spark, tables, weather_rows):
     assert set(table_rows(spark, tables.weather).values()) == {1.0}
 
 
+def test_rows_without_a_date_match_nothing_and_are_kept(spark, tables, weather_rows):
+    tb.upsert(weather(weather_rows, date(2024, 1, 1), 2, 1), tables.weather, KEYS)
+    for tmax in (2, 3):
+        undated = weather_rows([("summit", None, {"temperature_max_c": tmax})] * 2)
+        tb.upsert(undated.unionByName(weather(weather_rows, date(2024, 1, 2), 1, tmax)), tables.weather, KEYS)
+    found = sorted((str(r.date), float(r.temperature_max_c)) for r in spark.table(tables.weather).collect())
+    assert found == [("2024-01-01", 1.0), ("2024-01-02", 3.0), ("None", 2.0), ("None", 2.0), ("None", 3.0), ("None", 3.0)]
+
+
 def test_an_interrupted_upsert_is_replayed(spark, tables, weather_rows, monkeypatch):
     tb.upsert(weather(weather_rows, date(2024, 1, 1), 40, 1), tables.weather, KEYS)
 
