@@ -2,6 +2,7 @@ from datetime import date
 from pathlib import Path
 from urllib.parse import urlparse
 
+import pyarrow.parquet as pq
 import pytest
 from conftest import days
 
@@ -115,6 +116,17 @@ def test_duplicate_keys_are_rejected(spark, tables, weather_rows):
     assert set(table_rows(spark, tables.weather).values()) == {1.0}
 
 
+def test_files_are_ordered_by_waypoint(spark, tables, weather_rows):
+    names = ("summit", "chamonix", "vallot")
+    rows = weather_rows([(w, d, {}) for d in days(date(2024, 1, 1), 40) for w in names])
+    tb.upsert(rows, tables.weather, KEYS)
+    tb.upsert(rows.filter("date > '2024-01-20'"), tables.weather, KEYS)
+    for path in spark.table(tables.weather).inputFiles():
+        read = pq.ParquetFile(urlparse(path).path).read(columns=["waypoint_name", "date"]).to_pylist()
+        found = [(r["waypoint_name"], r["date"]) for r in read]
+        assert found == sorted(found)
+
+
 def test_rows_without_a_date_match_nothing_and_are_kept(spark, tables, weather_rows):
     tb.upsert(weather(weather_rows, date(2024, 1, 1), 2, 1), tables.weather, KEYS)
     for tmax in (2, 3):
