@@ -200,7 +200,7 @@ def recover(spark: SparkSession, table: str, keys: Sequence[str] = ()) -> int:
     """Finish upserts that were interrupted after their merged months were complete and drop the staging of the
     others; returns how many were finished."""
     database, name = table.rsplit(".", 1)
-    left = {found.name for found in spark.catalog.listTables(database, f"{name}__*")}
+    left = {found.name for found in spark.catalog.listTables(database, f"{name}__*") if not found.isTemporary}
     merged = f"{name}__merged_"
     finished = [_Staging(table, found.removeprefix(merged)) for found in left if found.startswith(merged)]
     for staging in finished:
