@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from alpenglow.llm import byte_bpe, poisson_mix, quartile_digest
-from alpenglow.llm.common import table
+from alpenglow.llm import byte_bpe, chat_grammar, poisson_mix, quartile_digest, toxicity
+from alpenglow.llm.common import id_remainder, table
 
 BPE_PATH = public_tokenizers.path("byte_bpe_50k.tiktoken")
 MIX_SEED = 20
@@ -26,10 +26,25 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = id_remainder("doc_id", 5) == 0
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels").filter(~held_out))
+    return toxicity.score(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op6_quartile_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quartile_digest.edited_pairs(table(spark, sf_dir, "documents"))
 
 
+def op7_chat_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    probe = spark.sql("""SELECT * FROM VALUES (-1L, 0L, 'user', '</s>[INST] ok [/INST]'), (-1L, 1L, 'assistant', '</s>[INST] ok [/INST]')
+                         AS t(conv_id, turn, role, text)""")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(probe)
+    return chat_grammar.digest(chat_grammar.render(rows))
+
+
 def op9_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents' whole rows, all sources weighing the same, in as many characters as the corpus has."""
     return poisson_mix.replicate(table(spark, sf_dir, "documents"), seed=MIX_SEED)
@@ -49,7 +64,7 @@ WITH sizes AS (
 ), steps AS (
   SELECT source, parts, sum(p) OVER (PARTITION BY source ORDER BY k) AS cum FROM terms
 ), cdf AS (SELECT source, parts, list(cum) AS cums FROM steps GROUP BY source, parts), drawn AS (
-  SELECT d.*, list_sum(list_transform(range(1, parts + 1), j -> len(list_filter(cums, c -> c <
+  SELECT d.*, list_sum(list_transform(range(1, parts + 1), lambda j: len(list_filter(cums, lambda c: c <
     ((('0x' || substr(md5('{MIX_SEED}:' || coalesce(doc_id::VARCHAR, '') || ':' || j), 1, 13))::BIGINT + 0.5) / 4503599627370496.0::DOUBLE)))))::INT AS copies
   FROM documents d JOIN cdf ON d.source IS NOT DISTINCT FROM cdf.source
 )
@@ -61,7 +76,9 @@ FROM (SELECT *, unnest(range(1, copies + 1)) AS c FROM drawn WHERE copies > 0)
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_byte_bpe": op2_byte_bpe,
+        "op3_toxicity": op3_toxicity,
         "op6_quartile_digest": op6_quartile_digest,
+        "op7_chat_grammar": op7_chat_grammar,
         "op9_poisson_mix": op9_poisson_mix,
     }
 
