@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from alpenglow.llm import byte_bpe, chat_grammar, poisson_mix, quartile_digest, toxicity
+from alpenglow.llm import byte_bpe, chat_grammar, poisson_mix, quartile_digest, simhash_ball, toxicity
 from alpenglow.llm.common import id_remainder, table
 
 BPE_PATH = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -45,6 +45,11 @@ def op7_chat_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_grammar.digest(chat_grammar.render(rows))
 
 
+def op8_simhash_ball(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash_ball.components(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def op9_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents' whole rows, all sources weighing the same, in as many characters as the corpus has."""
     return poisson_mix.replicate(table(spark, sf_dir, "documents"), seed=MIX_SEED)
@@ -79,6 +84,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_toxicity": op3_toxicity,
         "op6_quartile_digest": op6_quartile_digest,
         "op7_chat_grammar": op7_chat_grammar,
+        "op8_simhash_ball": op8_simhash_ball,
         "op9_poisson_mix": op9_poisson_mix,
     }
 
