@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from alpenglow.llm import byte_bpe, chat_grammar, poisson_mix, quartile_digest, simhash_ball, toxicity
+from alpenglow.llm import byte_bpe, chat_grammar, language_mix, pivot_search, poisson_mix, quartile_digest, simhash_ball, toxicity
 from alpenglow.llm.common import id_remainder, table
 
 BPE_PATH = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -34,6 +34,18 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op4_pivot_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivot_search.search(pivot_search.quantised(table(spark, sf_dir, "embeddings")), k=20, every=20)
+
+
+def op5_language_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = id_remainder("doc_id", 3) == 1
+    model = language_mix.fit(docs.filter(~held_out))
+    found = language_mix.predict(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op6_quartile_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quartile_digest.edited_pairs(table(spark, sf_dir, "documents"))
 
@@ -78,10 +90,25 @@ FROM (SELECT *, unnest(range(1, copies + 1)) AS c FROM drawn WHERE copies > 0)
 """
 
 
+PIVOT_SEARCH_SQL = """
+WITH usable AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i]))::BIGINT AS score
+  FROM usable q JOIN usable c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score
+FROM scored QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 20
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_byte_bpe": op2_byte_bpe,
         "op3_toxicity": op3_toxicity,
+        "op4_pivot_search": op4_pivot_search,
+        "op5_language_mix": op5_language_mix,
         "op6_quartile_digest": op6_quartile_digest,
         "op7_chat_grammar": op7_chat_grammar,
         "op8_simhash_ball": op8_simhash_ball,
@@ -90,4 +117,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_poisson_mix": POISSON_MIX_SQL}
+    return {"op4_pivot_search": PIVOT_SEARCH_SQL, "op9_poisson_mix": POISSON_MIX_SQL}
