@@ -8,13 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from alpenglow.llm import byte_bpe, chat_grammar, language_mix, pivot_search, poisson_mix, quartile_digest, simhash_ball, toxicity
+from alpenglow.llm import byte_bpe, chat_grammar, language_mix, pitman_yor, pivot_search, poisson_mix, quartile_digest, simhash_ball, toxicity
 from alpenglow.llm.common import id_remainder, table
 
 BPE_PATH = public_tokenizers.path("byte_bpe_50k.tiktoken")
 MIX_SEED = 20
 
 
+def op1_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = id_remainder("doc_id", 5) == 1
+    found = pitman_yor.score(table(spark, sf_dir, "documents"), ~held_out)
+    return found.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     ids = byte_bpe.encode(docs, BPE_PATH, public_tokenizers.PATTERN).select("doc_id", "ids")
@@ -105,6 +111,7 @@ FROM scored QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_pitman_yor": op1_pitman_yor,
         "op2_byte_bpe": op2_byte_bpe,
         "op3_toxicity": op3_toxicity,
         "op4_pivot_search": op4_pivot_search,
