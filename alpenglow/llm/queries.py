@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from alpenglow.llm import byte_bpe, chat_grammar, language_mix, pitman_yor, pivot_search, poisson_mix, quartile_digest, simhash_ball, toxicity
+from alpenglow.llm import byte_bpe, chat_grammar, language_mix, pitman_yor, pivot_search, poisson_mix, quartile_digest, simhash_ball, suffix_dedup, toxicity
 from alpenglow.llm.common import id_remainder, table
 
 BPE_PATH = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -73,6 +73,10 @@ def op9_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return poisson_mix.replicate(table(spark, sf_dir, "documents"), seed=MIX_SEED)
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.report(table(spark, sf_dir, "documents"))
+
+
 #: One rate a source; its distribution function; copies by comparing each hashed number with it.
 POISSON_MIX_SQL = f"""
 WITH sizes AS (
@@ -120,6 +124,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_chat_grammar": op7_chat_grammar,
         "op8_simhash_ball": op8_simhash_ball,
         "op9_poisson_mix": op9_poisson_mix,
+        "op10_suffix_dedup": op10_suffix_dedup,
     }
 
 
