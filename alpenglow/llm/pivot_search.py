@@ -45,6 +45,10 @@ def _matrix(lists) -> np.ndarray:
     return np.array(lists.tolist(), dtype=np.int64).reshape(len(lists), -1)
 
 
+def _column(rows) -> pd.Series:
+    return pd.Series(list(rows), dtype=object)
+
+
 def _pivot_distances(x: np.ndarray, pivots: np.ndarray, pivot_tail: np.ndarray, tail: np.ndarray) -> np.ndarray:
     """Distances of lengthened vectors to lengthened pivots."""
     own, theirs = (x * x).sum(axis=1) + tail**2, (pivots * pivots).sum(axis=1) + pivot_tail**2
@@ -115,7 +119,7 @@ def _search_space(base: DataFrame, k: int, every: int, n: int) -> DataFrame:
                 some = batch.iloc[at : at + PART]
                 x = _matrix(some["v"]).astype(np.float64)
                 d = _pivot_distances(x, pivots, pivot_tail, np.sqrt(np.maximum(top - (x * x).sum(axis=1), 0)))
-                yield pd.DataFrame({"vec_id": some["vec_id"], "v": some["v"], "d": list(d), "cell": d.argmin(axis=1)})
+                yield pd.DataFrame({"vec_id": some["vec_id"].to_numpy(), "v": _column(some["v"]), "d": _column(d), "cell": d.argmin(axis=1)})
 
     cells = written(base.repartition(n).mapInPandas(placed, "vec_id bigint, v array<bigint>, d array<double>, cell int"))
     sizes = {r["cell"]: r["count"] for r in cells.groupBy("cell").count().collect()}  # a row for each pivot at most
@@ -153,8 +157,8 @@ def _search_space(base: DataFrame, k: int, every: int, n: int) -> DataFrame:
                         beat, wanted = np.full(len(some), -np.inf), np.zeros(bounds.shape, bool)
                         wanted[:, :FIRST] = True
                     q, place = np.nonzero(wanted)
-                    yield pd.DataFrame({"part": [names[x] for x in order[q, place]], "query_id": some["query_id"].to_numpy()[q],
-                                        "v": some["v"].to_numpy()[q], "d": list(d[q]), "floor": beat[q]})
+                    yield pd.DataFrame({"part": _column(names[x] for x in order[q, place]), "query_id": some["query_id"].to_numpy()[q],
+                                        "v": _column(some["v"].to_numpy()[q]), "d": _column(d[q]), "floor": beat[q]})
         return run
 
     def evaluate(_, queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
