@@ -190,19 +190,19 @@ def fingerprint_links(fps: DataFrame) -> DataFrame:
 
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> tuple[DataFrame, DataFrame]:
-    """The documents' fingerprints (doc_id, fp), and each fingerprint's component (fp, component_id)."""
+    """The documents' fingerprints (doc_id, fp), and each fingerprint's component (fp, component_id, class: one of its fingerprints)."""
     found = written(fingerprints(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), shingle).select("doc_id", "fp"))
     named = written(found.groupBy("fp").agg(F.min("doc_id").alias("first")))  # copies are one fingerprint from here on
     reach = smallest_reachable(fingerprint_links(named))
     placed = named.join(reach, named["fp"] == reach["node"], "left").select("fp", "first", F.coalesce("component", "fp").alias("class"))
     least = placed.groupBy("class").agg(F.min("first").alias("component_id"))
-    return found, placed.join(least, "class").select("fp", "component_id", (F.col("class") == F.col("fp")).alias("names"))
+    return found, placed.join(least, "class").select("fp", "component_id", "class")
 
 
 def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """doc_id, fp (long), component_id: the smallest id whose fingerprint is reachable by links."""
     found, placed = classes(docs, doc_id, text, shingle)
-    return found.join(placed.drop("names"), "fp").select("doc_id", "fp", "component_id")
+    return found.join(placed.drop("class"), "fp").select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
@@ -210,9 +210,9 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingl
     rows whose fingerprint names it). Of rows that agree in id and fingerprint, one stays."""
     found, placed = classes(docs, doc_id, text, shingle)
     known = found.join(placed, "fp").filter(
-        (F.col("doc_id") == F.col("component_id")) | (F.col("component_id").isNull() & F.col("names")))
+        (F.col("doc_id") == F.col("component_id")) | (F.col("component_id").isNull() & (F.col("class") == F.col("fp"))))
     # of one id's rows in one component, the smallest fingerprint's
-    kept = written(known.groupBy("component_id", "doc_id").agg(F.min("fp").alias("__fp"), F.count("*").alias("__rows")))
+    kept = written(known.groupBy("class", "doc_id").agg(F.min("fp").alias("__fp"), F.count("*").alias("__rows")))
     marked = fingerprints(docs, shingle, text, "__own_fp")
     on = marked[doc_id].eqNullSafe(kept["doc_id"]) & (marked["__own_fp"] == kept["__fp"])
     out = marked.join(kept, on, "left_semi")
