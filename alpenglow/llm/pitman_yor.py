@@ -146,10 +146,10 @@ def _send(batches: Iterator[pa.RecordBatch], buckets: int, hot: np.ndarray, part
         for b, (a, z) in enumerate(zip([0, *ends[:-1]], ends, strict=True)):
             if z == a and b != block % buckets:
                 continue
-            new_c = np.r_[True, before[a + 1 : z] != before[a : z - 1]][: z - a]
-            new_p = np.r_[True, words[a + 1 : z] != words[a : z - 1]][: z - a] | new_c
-            pair = np.flatnonzero(new_p)
-            data = _pack(before[a:z][new_c], np.diff(np.r_[np.flatnonzero(new_c[pair]), len(pair)]).astype(np.uint32), words[a:z][pair],
+            context, word = before[a:z], words[a:z]
+            new_c = np.r_[True, context[1:] != context[:-1]][: z - a]
+            pair = np.flatnonzero(np.r_[True, word[1:] != word[:-1]][: z - a] | new_c)
+            data = _pack(context[new_c], np.diff(np.r_[np.flatnonzero(new_c[pair]), len(pair)]).astype(np.uint32), word[pair],
                          np.diff(np.r_[pair, z - a]).astype(np.uint32), doc[a:z].astype(np.uint16 if len(counts) < 65536 else np.uint32), learn)
             rows.append((b, block, data, about if b == block % buckets else None))
         number += 1
