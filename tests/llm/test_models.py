@@ -1,0 +1,201 @@
+"""Language-model scores, toxicity, languages and exact search."""
+
+from __future__ import annotations
+
+import math
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from alpenglow.llm import language_mix, pitman_yor, pivot_search, toxicity
+
+
+def words_of(text):
+    lower = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    for space in "\t\n\x0b\x0c\r":
+        lower = lower.replace(space, " ")
+    return [x for x in lower.split(" ") if x] + ["</s>"]
+
+
+@pytest.fixture
+def chained():
+    """Texts in which a word says much about the next."""
+
+    def make(n, seed=1):
+        rng = random.Random(seed)
+        names = [f"w{k}" for k in range(40)]
+        out = []
+        for _ in range(n):
+            at, text = rng.randrange(40), []
+            for _ in range(rng.randint(3, 60)):
+                text.append(names[at])
+                at = (at * 3 + rng.choice([1, 1, 1, 2])) % 40
+            out.append(" ".join(text))
+        return out
+
+    return make
+
+
+def test_pitman_yor_counts_base_and_gain(spark, documents, chained):
+    texts = [*chained(300), "", None, "Only HERE\tnow", "é é É", (None, "w1 w4"), (2, "w1 w4")]
+    frame = documents(*texts, extra="1 AS learn")
+    learn = F.coalesce(F.col("doc_id") % 4 != 1, F.lit(True))
+    found = pitman_yor.score(frame, learn).collect()
+    given = [(r["doc_id"], r["text"]) for r in frame.collect()]
+    assert len(found) == len(given)
+    count = Counter(w for i, t in given if i is None or i % 4 != 1 for w in words_of(t))
+    n, v = sum(count.values()), len(count)
+    want = sorted(
+        (repr(i), len(words_of(t)), sum(count[w] > 0 for w in words_of(t)), round(sum(math.log10((count[w] + 0.5) / (n + 0.5 * (v + 1))) for w in words_of(t)), 6))
+        for i, t in given)
+    assert sorted((repr(r["doc_id"]), r["n_tokens"], r["n_known"], round(r["base_score"], 6)) for r in found) == want
+    assert {r["train_tokens"] for r in found} == {n}
+    held = [r for r in found if r["doc_id"] is not None and r["doc_id"] % 4 == 1]
+    assert sum(r["score"] for r in held) > 0.6 * sum(r["base_score"] for r in held)  # log probabilities: less is likelier
+    assert all(r["score"] < 0 for r in found)
+
+
+def test_pitman_yor_predictive_probabilities_sum_to_one(spark, documents):
+    """Every known word and one unknown after the same start."""
+    learned = ["a b a", "a c", "b b a c", "c"]
+    frame = documents(*learned, *[(10 + k, w) for k, w in enumerate(["a", "b", "c", "zz", ""])])
+    found = {r["doc_id"]: r["score"] for r in pitman_yor.score(frame, F.col("doc_id") < 10).collect()}
+    ends = {"a": "a", "b": "b", "c": "c"}
+    assert all(10 ** found[k] < 1 for k in range(10, 15)) and len(ends) == 3
+    assert sum(10 ** found[k] for k in range(10, 15)) < 1  # disjoint texts
+
+
+def test_pitman_yor_without_learning_or_rows(spark, documents):
+    frame = documents("a b", None)
+    rows = pitman_yor.score(frame, F.lit(False)).collect()
+    assert {round(r["score"], 9) for r in rows} == {0.0} or all(math.isfinite(r["score"]) for r in rows)
+    assert {r["train_tokens"] for r in rows} == {0} and {r["n_known"] for r in rows} == {0}
+    assert pitman_yor.score(frame.limit(0), F.lit(True)).count() == 0
+
+
+def test_hot_contexts_are_cut_and_still_scored(spark, documents):
+    rng = random.Random(3)
+    texts = [" ".join(x for _ in range(30) for x in ("the", f"n{rng.randrange(500)}")) for _ in range(80)]
+    frame = documents(*texts)
+    assert max(pitman_yor.hot_contexts(frame, 8).values()) > 1
+    found = pitman_yor.score(frame, F.col("doc_id") % 4 != 1).collect()
+    held = [r for r in found if r["doc_id"] % 4 == 1]
+    assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
+
+
+def test_seatings_keep_their_customers():
+    rng = np.random.default_rng(1)
+    count = rng.integers(0, 200, 500)
+    tables, mean = pitman_yor.seat(count, np.full(500, 0.01), rng.integers(0, 20, 500), np.ones(20), 0.7, 2.0, 6, 2, [1])
+    assert ((tables >= np.minimum(count, 1)) & (tables <= count)).all() and (mean <= count).all()
+    assert (tables[count == 1] == 1).all() and tables[count > 100].mean() > 1.5
+
+
+def test_tokens_by_brute_force(prose):
+    texts = [prose(1), "", "A a\tB\x0bb  ", "é x", "\n"]
+    hashes, counts = pitman_yor.tokens([x.encode() for x in texts])
+    assert counts.tolist() == [len(words_of(x)) for x in texts]
+    flat = [w for x in texts for w in words_of(x)]
+    assert len(set(zip(flat, hashes.tolist(), strict=True))) == len(set(flat)) == len(set(hashes.tolist()))
+
+
+@pytest.fixture
+def toxic_rows():
+    rng = random.Random(5)
+    syllables = ["an", "the", "or", "ed", "ing", "on", "st", "re", "he", "ble"]
+    rude = ["vilebrat", "grubsnout", "muckface", "sludgeling"]
+
+    def text(bad):
+        words = ["".join(rng.choice(syllables) for _ in range(rng.randint(1, 4))) for _ in range(rng.randint(20, 120))]
+        for _ in range(len(words) // 15 + 1 if bad else 0):
+            words.insert(rng.randrange(len(words)), rng.choice(rude))
+        return " ".join(words)
+
+    return [(k, text(k % 4 == 0), int(k % 4 == 0)) for k in range(900)]
+
+
+def test_toxicity_on_held_out_rows(spark, toxic_rows):
+    docs = spark.createDataFrame([(i, t, "old") for i, t, _ in toxic_rows] + [(None, None, ""), (5000, "", "")], "doc_id bigint, text string, score string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in toxic_rows] + [(7, None), (None, 1)], "doc_id bigint, toxic int")
+    model = toxicity.fit(docs, labels.filter("doc_id IS NULL OR doc_id % 5 <> 0"))
+    found = {r["doc_id"]: r["score"] for r in toxicity.score(docs, model).collect()}
+    assert found[None] == found[5000] and 0 <= found[None] < 0.5
+    held = [(found[i] >= 0.5, y) for i, _, y in toxic_rows if i % 5 == 0]
+    right = sum(p == y for p, y in held) / len(held)
+    assert right > 0.95
+    assert toxicity.score(docs.limit(0), model).count() == 0
+
+
+def test_toxicity_without_both_classes(spark, toxic_rows):
+    docs = spark.createDataFrame([(i, t) for i, t, _ in toxic_rows[:20]], "doc_id bigint, text string")
+    for labels, want in (("SELECT 1L AS doc_id, 0 AS toxic WHERE false", 0.0), ("SELECT 1L AS doc_id, 0 AS toxic", 0.0), ("SELECT 1L AS doc_id, 1 AS toxic", 1.0)):
+        model = toxicity.fit(docs, spark.sql(labels))
+        assert {r["score"] for r in toxicity.score(docs, model).collect()} == {want}
+
+
+def test_windows_cover_whole_texts(prose):
+    for text in (prose(1).encode(), b"", b"x" * 5000, b"a b\nc " * 40, "é ".encode() * 99):
+        parts = toxicity.windows(text)
+        assert b"".join(parts) == text.lower()
+
+
+SPOKEN = {"en": "the and of to in is that it was for", "fr": "le la les des et est que pour dans qui", "de": "der die und das ist nicht mit von sich ein"}
+
+
+def spoken(lang, seed, n=30):
+    rng = random.Random(seed)
+    return " ".join(rng.choice(SPOKEN[lang].split()) for _ in range(n))
+
+
+def test_languages_of_single_and_mixed_texts(spark):
+    rows = [(k, spoken(lang, k), lang) for k, lang in enumerate(["en", "fr", "de"] * 60)]
+    rows += [(900, spoken("en", 1, 60) + ". " + spoken("fr", 2, 40), None), (901, None, "en"), (902, "123 ...", "en"), (903, "", None), (904, "日本", None), (905, "DER UND", None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").selectExpr("*", "1 AS score")
+    model = language_mix.fit(docs.filter("doc_id % 3 <> 1 OR doc_id > 800"))
+    found = {r["doc_id"]: r for r in language_mix.predict(docs.drop("lang"), language_mix.fit(docs)).collect()}
+    assert model.languages == ["de", "en", "fr"] or set(model.languages) <= {"de", "en", "fr"}
+    assert all(found[i]["lang_pred"] == lang and found[i]["score"] > 0.9 for i, _, lang in rows if i < 900)
+    assert found[900]["lang_pred"] == "en" and set(found[900]["languages"]) == {"en", "fr"} and 0.45 < found[900]["score"] < 0.75
+    assert all(found[i]["lang_pred"] == "und" and found[i]["score"] == 0 for i in (901, 902, 903))
+    assert found[904]["lang_pred"] in model.languages and found[905]["lang_pred"] == "de"
+    assert language_mix.predict(docs.limit(0), model).count() == 0
+    nothing = language_mix.fit(docs.filter("false"))
+    assert {r["lang_pred"] for r in language_mix.predict(docs, nothing).collect()} == {"und"}
+
+
+def brute_search(rows, k):
+    usable = [(i, [math.floor(64 * x) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    out = []
+    for q, v in {i: (i, v) for i, v in reversed(usable)}.values():
+        if q % 20 == 0:
+            others = sorted(((-sum(a * b for a, b in zip(v, w, strict=True)), i) for i, w in usable if i != q and len(w) == len(v)))
+            out += [(q, r + 1, i, -score) for r, (score, i) in enumerate(others[:k])]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("part", [4096, 16])
+def test_search_as_brute_force(spark, monkeypatch, part):
+    monkeypatch.setattr(pivot_search, "PART", part)
+    monkeypatch.setattr(pivot_search, "STEP", 7)
+    rng = np.random.default_rng(1)
+    centres = rng.normal(size=(6, 8))
+    rows = [(k, (centres[k % 6] + 0.1 * rng.normal(size=8)).astype(np.float32).tolist()) for k in range(400)]
+    rows += [(1000 + k, rows[20][1]) for k in range(60)]  # a large group of copies
+    rows += [(None, rows[1][1]), (2000, None), (2020, [None] * 8), (2040, [float("nan")] * 8), (2060, [float("inf")] * 8), (2080, [0.0] * 8),
+             (2100, [1.0, 2.0]), (2101, [-1.0, 0.5]), (2120, [])]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>").selectExpr("*", "1 AS v")
+    found = pivot_search.search(pivot_search.quantised(frame), 20, 20).collect()
+    assert sorted(map(tuple, found)) == brute_search(rows, 20)
+
+
+def test_search_edges(spark):
+    schema = "vec_id bigint, embedding array<double>"
+    large = [(0, [1e15, 3.0]), (1, [1e15, -7.0]), (2, [-1.0, 2.0])]
+    assert sorted(map(tuple, pivot_search.search(pivot_search.quantised(spark.createDataFrame(large[1:], schema))).collect())) == []
+    assert pivot_search.search(pivot_search.quantised(spark.createDataFrame([], schema))).count() == 0
+    few = [(0, [0.5, 1.5]), (3, [0.25, 0.25]), (4, [0.25, 0.25])]
+    found = pivot_search.search(pivot_search.quantised(spark.createDataFrame(few, schema))).collect()
+    assert sorted(map(tuple, found)) == [(0, 1, 3, 32 * 16 + 96 * 16), (0, 2, 4, 32 * 16 + 96 * 16)]
