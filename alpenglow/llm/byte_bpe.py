@@ -19,6 +19,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -247,7 +248,7 @@ def decode(frame: DataFrame, path: str, pattern: str, ids: str = "ids", decoded:
             column = batch.column(ids)
             for start in range(0, batch.num_rows, 500):
                 some = column.slice(start, 500)
-                sizes = np.asarray(pa.compute.fill_null(pa.compute.list_value_length(some), 0))
+                sizes = np.asarray(pc.fill_null(pc.list_value_length(some), 0))
                 bounds = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
                 data, ends = encoding.decode(np.asarray(some.flatten(), dtype=np.int64), bounds)
                 out = pa.array([data[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)], pa.binary())

@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,7 +45,7 @@ def encoded(texts: pa.Array) -> list[bytes]:
 def chunks(batch: pa.RecordBatch, text: str = "text", limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of a batch with about `limit` bytes of text each (one row at least)."""
     column = batch.column(batch.schema.get_field_index(text))
-    sizes = np.asarray(pa.compute.fill_null(pa.compute.binary_length(column), 0), dtype=np.int64)
+    sizes = np.asarray(pc.fill_null(pc.binary_length(column), 0), dtype=np.int64)
     total, start = np.cumsum(sizes), 0
     while start < batch.num_rows:
         before = total[start - 1] if start else 0
