@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from alpenglow.llm.common import chunks, encoded, joined, partitions
+from alpenglow.llm.common import chunks, encoded, joined, partitions, written
 from alpenglow.llm.difference_cover import ranks
 
 LENGTH = 400
@@ -170,13 +170,15 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, slot
     """row, doc_id, a, b: byte spans (a to before b) to remove from keyed documents; spans may overlap."""
     found = _occurrences(docs, length, gram, slots)
     again = found.groupBy("cell").agg(F.count("*").alias("in_cell")).filter("in_cell > 1").select("cell")
-    found = found.join(again, "cell")
-    kinds = found.groupBy("cell", "run").agg(F.count("*").alias("copies"), F.min(F.struct("row", "doc_id", "start")).alias("one"), F.max("n").alias("n"))
+    found = written(found.join(again, "cell"))  # the rest works on the few runs whose cell occurs again
+    kinds = written(found.groupBy("cell", "run").agg(
+        F.count("*").alias("copies"), F.min(F.struct("row", "doc_id", "start")).alias("one"), F.max("n").alias("n")))
     copied = found.join(kinds.filter("copies > 1").select("cell", "run"), ["cell", "run"])
     copied = copied.select("row", "doc_id", F.col("start").alias("a"), (F.col("start") + F.col("n") - 1 + length).alias("b"))
     several = kinds.groupBy("cell").agg(F.count("*").alias("kinds"), F.min("copies").alias("least")).filter("kinds > 1 AND least = 1")
     ones = kinds.join(several.select("cell", "kinds"), "cell").select("cell", "copies", "n", "kinds", "one.*")
-    texts = docs.select(F.col("row").alias("text_row"), F.col("doc_id").alias("text_id"), "text")
+    # the columns in the order of the keyed documents, so that their shuffle serves both this join and that with the spans
+    texts = docs.select(F.col("doc_id").alias("text_id"), "text", F.col("row").alias("text_row"))
     ones = ones.join(texts, (F.col("row") == F.col("text_row")) & F.col("doc_id").eqNullSafe(F.col("text_id")))
     ones = ones.select("cell", "copies", "n", "kinds", "row", "doc_id", "start", F.substring(
         F.col("text").cast("binary"), (F.col("start") + 1).cast("int"), F.col("n") - 1 + length).alias("bytes"))
@@ -206,12 +208,11 @@ def cut(text: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, int, int]:
     return b"".join(kept), gone, pieces
 
 
-def with_spans(docs: DataFrame, keys: DataFrame, length: int = LENGTH) -> DataFrame:
-    """The rows of docs (with the column row and a doc_id, as keyed) and an array column __spans (null: none)."""
-    spans = repeated_spans(keys, length)
+def with_spans(docs: DataFrame, spans: DataFrame, doc_id: str = "doc_id", row: str = "row") -> DataFrame:
+    """The rows of docs with their spans as an array column __spans (null: none)."""
     spans = spans.groupBy("row", "doc_id").agg(F.collect_set(F.struct("a", "b")).alias("__spans"))
     spans = spans.select(F.col("row").alias("__span_row"), F.col("doc_id").alias("__span_id"), "__spans")
-    on = (F.col("row") == F.col("__span_row")) & F.col("doc_id").eqNullSafe(F.col("__span_id"))
+    on = (F.col(row) == F.col("__span_row")) & F.col(doc_id).eqNullSafe(F.col("__span_id"))
     return docs.join(spans, on, "left").drop("__span_row", "__span_id")
 
 
@@ -230,7 +231,7 @@ def report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length:
                     names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     kind = keys.schema["doc_id"].dataType.simpleString()
-    return with_spans(keys, keys, length).select("doc_id", "text", "__spans").mapInArrow(
+    return with_spans(keys, repeated_spans(keys, length)).select("doc_id", "text", "__spans").mapInArrow(
         run, f"doc_id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
 
 
@@ -238,9 +239,8 @@ def remove(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length:
     """The rows with repeated bytes taken out of their texts; a character of which a part was taken goes, null stays null."""
     names = docs.columns
     keys = keyed(docs, doc_id, text)
-    marked = docs.select(F.struct(*names).alias("__all"), F.col(doc_id).alias("doc_id"), F.col(text).alias("text"),
-                         F.xxhash64(F.col(doc_id), F.coalesce(F.col(text), F.lit(""))).alias("row"))
-    marked = with_spans(marked, keys, length).select("__all.*", "__spans")
+    marked = docs.withColumn("__row", F.xxhash64(F.col(doc_id), F.coalesce(F.col(text), F.lit(""))))
+    marked = with_spans(marked, repeated_spans(keys, length), doc_id, "__row").drop("__row")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -48,10 +48,7 @@ def test_removed_bytes_as_brute_force(spark, prose, monkeypatch, most, length, g
              prose(5, 9) + other, "", "short", "x" * length, "x" * (length - 1), prose(1)[10:200] + "?" + prose(1)[200:], "ü" * 150, prose(4, 30, "ab")]
     texts += [prose(k, 5) + shared + prose(k + 50, 5) for k in range(200, 212)]
     keys = d.keyed(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"), "doc_id", "text")
-    spans = d.with_spans(keys, keys, length) if gram == 64 else None
-    if spans is None:
-        monkeypatch.setattr(d.repeated_spans, "__defaults__", (length, gram, 3))
-        spans = d.with_spans(keys, keys, length)
+    spans = d.with_spans(keys, d.repeated_spans(keys, length, gram))
     found = {r["doc_id"]: d.cut(r["text"].encode(), [(s["a"], s["b"]) for s in r["__spans"] or []]) for r in spans.collect()}
     assert [found[k] for k in range(len(texts))] == brute([x.encode() for x in texts], length)
 
