@@ -7,6 +7,7 @@ behind a date literal prunes to the months it needs.
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
@@ -56,9 +57,28 @@ def max_date(df: DataFrame, column: str = "date") -> date | None:
 
 
 def table_max_date(spark: SparkSession, table: str) -> date | None:
-    """The latest date of a month-partitioned table, read from its last month alone."""
-    months = spark.table(table).agg(F.max(MONTH)).first()[0]
-    return None if months is None else max_date(spark.table(table).filter(F.col(MONTH) == F.lit(months)))
+    """The latest date of a month-partitioned table, read from its last month alone (the catalog knows which)."""
+    months = [month for month in _partition_months(spark, table) if month is not None]
+    return max_date(spark.table(table).filter(F.col(MONTH) == F.lit(max(months)))) if months else None
+
+
+def latest_by_route(df: DataFrame, routes: Sequence[str], name: str = "latest") -> DataFrame:
+    """One row a route: its latest date."""
+    return df.groupBy(*routes).agg(F.max("date").alias(name)).filter(F.col(name).isNotNull())
+
+
+def after_each(source: DataFrame, cutoffs: DataFrame, routes: Sequence[str], name: str = "latest") -> DataFrame:
+    """The source rows after their own route's cutoff; a route without one counts in full."""
+    joined = source.join(cutoffs, list(routes), "left")
+    return joined.filter(F.col(name).isNull() | (F.col("date") > F.col(name))).drop(name)
+
+
+def behind(source: DataFrame, cutoffs: DataFrame, routes: Sequence[str], name: str = "latest") -> DataFrame:
+    """One row for each route with source days after its cutoff: the route, its cutoff (null: not in the target) and its
+    first source day. Both sides are aggregated before they meet."""
+    ends = source.groupBy(*routes).agg(F.min("date").alias("first_day"), F.max("date").alias("last_day"))
+    return ends.join(cutoffs, list(routes), "left").filter(
+        F.col(name).isNull() | (F.col("last_day") > F.col(name))).drop("last_day")
 
 
 # --- Progress watermark -----------------------------------------------------------------------------------------------
@@ -122,16 +142,15 @@ def upsert(
     batch = with_month(batch, day).observe(
         seen, F.count(F.lit(1)).alias("rows"), F.min(day).alias("min_date"), F.max(day).alias("max_date")
     )
-    if not spark.catalog.tableExists(table):
-        write_by_month(batch, table, keys)
-        return UpsertResult(created=True, **seen.get)
-
     commit = uuid.uuid4().hex
     staging = _Staging(table, commit)
     append(batch, staging.batch)
     staged = spark.table(staging.batch)
     try:
         months = _checked_months(staged, keys)
+        if not spark.catalog.tableExists(table):
+            write_by_month(staged, table, keys)
+            return UpsertResult(created=True, **seen.get)
         # Months the target does not have yet lose nothing if a write breaks off, so they need no merged copy. With
         # change capture they take the same way as the others, which ties the changes to the write.
         present = months if capture_changes else months & _partition_months(spark, table)
@@ -198,11 +217,13 @@ def _apply(spark: SparkSession, staging: _Staging, table: str, keys: Sequence[st
 
 def recover(spark: SparkSession, table: str, keys: Sequence[str] = ()) -> int:
     """Finish upserts that were interrupted after their merged months were complete and drop the staging of the
-    others; returns how many were finished."""
+    others; returns how many were finished. One writer at a time: staging of an upsert that still runs goes as well."""
     database, name = table.rsplit(".", 1)
-    left = {found.name for found in spark.catalog.listTables(database, f"{name}__*") if not found.isTemporary}
-    merged = f"{name}__merged_"
-    finished = [_Staging(table, found.removeprefix(merged)) for found in left if found.startswith(merged)]
+    # Only names that upserts of this table make; the catalog may have put them in lower case.
+    own = re.compile(rf"{re.escape(name)}__(batch|changes|merged)_([0-9a-f]{{32}})", re.IGNORECASE)
+    listed = (found.name for found in spark.catalog.listTables(database) if not found.isTemporary)
+    left = {found: kind for found in listed if (kind := own.fullmatch(found))}
+    finished = [_Staging(table, kind[2]) for kind in left.values() if kind[1].lower() == "merged"]
     for staging in finished:
         _apply(spark, staging, table, keys)
     for found in left:
@@ -265,11 +286,21 @@ def refresh_new_dates(
 ) -> UpsertResult:
     """Run a per-day model over the source days after the target's latest day and upsert the result.
 
-    A missing or empty target means a full run.
+    Each route has its own latest day: a route that the target lacks runs in full, one that lags from where it stopped. The
+    earliest day needed by a route that has new days prunes the read. A missing or empty target means a full run.
     """
     spark = source.sparkSession
-    last = table_max_date(spark, table) if spark.catalog.tableExists(table) else None
-    return upsert(model(since(source, last)), table, keys)
+    routes = [name for name in ("route_id",) if name in source.columns]
+    if not spark.catalog.tableExists(table):
+        return upsert(model(source), table, keys)
+    if not routes:
+        return upsert(model(since(source, table_max_date(spark, table))), table, keys)
+    cutoffs = latest_by_route(spark.table(table), routes)
+    open_routes = behind(source, cutoffs, routes)
+    earliest = open_routes.agg(F.min(F.coalesce("latest", "first_day"))).first()[0]
+    if earliest is None:
+        return upsert(model(source.limit(0)), table, keys)
+    return upsert(model(after_each(since(source, earliest, inclusive=True), cutoffs, routes)), table, keys)
 
 
 # --- Change feed ------------------------------------------------------------------------------------------------------

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from alpenglow import config as c
 from alpenglow.functions.scores import at_least_zero, at_most_hundred, falling, plateau, risk, weighted
-from alpenglow.operators.tables import UpsertResult, since, table_max_date, upsert
+from alpenglow.operators.tables import UpsertResult, latest_by_route, since, table_max_date, upsert
 from alpenglow.schemas import route_key
 
 # What the model reads of each waypoint with a role of its own.
@@ -207,47 +207,76 @@ def summit_window(weather: DataFrame) -> DataFrame:
 # --- Incremental refresh ----------------------------------------------------------------------------------------------
 
 
+def _days_needed(weather: DataFrame, until: Column) -> DataFrame:
+    """The 29 latest gouter days of each route up to its cutoff, which the first frames after it reach back to."""
+    newest_first = Window.partitionBy(*route_key(weather)).orderBy(F.col("date").desc())
+    return (
+        weather.filter(_is(c.GOUTER) & (F.col("date") <= until))
+        .select(*route_key(weather), "date")
+        .withColumn("nth", F.row_number().over(newest_first))
+        .filter(F.col("nth") < c.LONG_FRAME)
+    )
+
+
 def history_for_windows(weather: DataFrame, cutoff: date) -> DataFrame:
-    """The part of the weather table that the rows after `cutoff` depend on.
+    """The part of the weather table of a single route that the rows after `cutoff` depend on.
 
     A row frame of 30 reaches back 29 gouter days, however long ago they were. Those days are found on the key columns
-    of the gouter rows alone; each route then starts at its own first needed day, and the earliest of them is a literal
-    that prunes months.
+    of the gouter rows alone; the earliest of them is a literal that prunes months.
+    """
+    first = _days_needed(weather, F.lit(cutoff)).agg(F.min("date")).first()[0]
+    return since(weather, first if first is not None else cutoff, inclusive=first is not None)
+
+
+def routes_to_refresh(weather: DataFrame, target: DataFrame, last: date, lookback_days: int) -> DataFrame:
+    """route_id, cutoff (null: the target lacks the route), first_day of the routes to refresh.
+
+    Routes within the look-back of the target's latest day share one cutoff, that day minus the look-back. A route that
+    lags further has its own latest day minus the look-back, if it has newer days at all.
     """
     routes = route_key(weather)
-    newest_first = Window.partitionBy(*routes).orderBy(F.col("date").desc())
-    needed = (
-        weather.filter(_is(c.GOUTER) & (F.col("date") <= F.lit(cutoff)))
-        .select(*routes, "date")
-        .withColumn("nth", F.row_number().over(newest_first))
-        .filter(F.col("nth") < c.LONG_FRAME)
-    )
-    if not routes:
-        first = needed.agg(F.min("date")).first()[0]
-        return since(weather, first if first is not None else cutoff, inclusive=first is not None)
-    starts = needed.groupBy(*routes).agg(F.min("date").alias("first_needed"))
-    earliest = starts.agg(F.min("first_needed")).first()[0]
-    if earliest is None:
-        return since(weather, cutoff)
-    # Routes without gouter days up to the cutoff need nothing before it.
+    shared = last - timedelta(days=lookback_days)
+    ends = weather.groupBy(*routes).agg(F.min("date").alias("first_day"), F.max("date").alias("last_day"))
+    near = F.col("latest") >= F.lit(shared)
     return (
-        since(weather, earliest, inclusive=True)
-        .join(starts, routes, "left")
-        .filter((F.col("date") > F.lit(cutoff)) | (F.col("date") >= F.col("first_needed")))
-        .drop("first_needed")
+        ends.join(latest_by_route(target, routes), routes, "left")
+        .filter(F.col("latest").isNull() | near | (F.col("last_day") > F.col("latest")))
+        .select(*routes, F.when(near, F.lit(shared)).otherwise(F.date_sub("latest", lookback_days)).alias("cutoff"),
+                "first_day")
     )
 
 
+def history_by_route(weather: DataFrame, stale: DataFrame) -> DataFrame:
+    """What the rows after each route's cutoff depend on, with the column cutoff; rows of other routes are left out.
+
+    As `history_for_windows`, with a start for each route. Routes that are not refreshed do not hold back the pruning.
+    """
+    routes = route_key(weather)
+    needed = _days_needed(weather.join(stale, routes), F.col("cutoff"))
+    starts = stale.join(needed.groupBy(*routes).agg(F.min("date").alias("first_needed")), routes, "left").select(
+        *routes, "cutoff", F.coalesce("first_needed", F.date_add("cutoff", 1), "first_day").alias("start"))
+    earliest = starts.agg(F.min("start")).first()[0]
+    read = weather.limit(0) if earliest is None else since(weather, earliest, inclusive=True)
+    return read.join(starts, routes).filter(F.col("date") >= F.col("start")).drop("start")
+
+
 def refresh_summit_window(weather: DataFrame, table: str, lookback_days: int = c.LOOKBACK_DAYS) -> UpsertResult:
-    """Recompute the days after the target's latest day minus the look-back and upsert them.
+    """Recompute each route's days after its cutoff (see `routes_to_refresh`) and upsert them.
 
-    A missing or empty target means a full run.
+    A missing or empty target means a full run, and so does a route that the target lacks.
     """
     spark = weather.sparkSession
+    routes = route_key(weather)
+    keys = [*routes, "date"]
     last = table_max_date(spark, table) if spark.catalog.tableExists(table) else None
-    keys = [*route_key(weather), "date"]
     if last is None:
         return upsert(summit_window(weather), table, keys)
-    cutoff = last - timedelta(days=lookback_days)
-    fresh = summit_window(history_for_windows(weather, cutoff)).filter(F.col("date") > F.lit(cutoff))
+    if not routes:
+        cutoff = last - timedelta(days=lookback_days)
+        fresh = summit_window(history_for_windows(weather, cutoff)).filter(F.col("date") > F.lit(cutoff))
+        return upsert(fresh, table, keys)
+    stale = routes_to_refresh(weather, spark.table(table), last, lookback_days)
+    fresh = summit_window(history_by_route(weather, stale).drop("cutoff"))
+    fresh = fresh.join(stale.select(*routes, "cutoff"), routes).filter(
+        F.col("cutoff").isNull() | (F.col("date") > F.col("cutoff"))).drop("cutoff")
     return upsert(fresh, table, keys)

@@ -175,6 +175,22 @@ def test_incremental_refresh_equals_a_full_run(spark, tables, weather_rows, rout
     assert full.exceptAll(found).isEmpty() and found.exceptAll(full).isEmpty()
 
 
+def test_refresh_takes_added_and_lagging_routes_whole(spark, tables, weather_rows):
+    weather = random_weather(weather_rows, [1], 90, 5).unionByName(random_weather(weather_rows, [2], 90, 6)).unionByName(
+        random_weather(weather_rows, [3], 90, 7)).unionByName(
+        random_weather(weather_rows, [4], 90, 8, density=1.0).filter(F.col("date") < F.lit(START + timedelta(days=10))))
+    target = tables.gold("summit_window")
+    lagging = (F.col("route_id") == 2) & (F.col("date") >= F.lit(START + timedelta(days=20)))
+    sm.refresh_summit_window(weather.filter((F.col("route_id") != 3) & ~lagging), target)
+    sm.refresh_summit_window(weather, target)
+    full = sm.summit_window(weather)
+    found = spark.table(target).drop("month").select(full.columns)
+    assert full.exceptAll(found).isEmpty() and found.exceptAll(full).isEmpty()
+    last = full.agg(F.max("date")).first()[0]
+    stale = sm.routes_to_refresh(weather, spark.table(target), last, 30)
+    assert {r.route_id for r in stale.collect()} == {1, 2, 3}  # route 4 ended long ago and holds nothing back
+
+
 def test_history_starts_no_earlier_than_needed(spark, weather_rows):
     weather = table(weather_rows, days(START, 100))
     kept = sm.history_for_windows(weather, START + timedelta(days=69))

@@ -5,6 +5,7 @@ from urllib.parse import urlparse
 import pyarrow.parquet as pq
 import pytest
 from conftest import days
+from pyspark.sql import functions as F
 
 from alpenglow.config import NO_WATERMARK
 from alpenglow.operators import tables as tb
@@ -116,6 +117,24 @@ def test_duplicate_keys_are_rejected(spark, tables, weather_rows):
     assert set(table_rows(spark, tables.weather).values()) == {1.0}
 
 
+def test_duplicate_keys_are_rejected_by_the_first_upsert_too(spark, tables, weather_rows):
+    twice = weather(weather_rows, date(2024, 1, 1), 1, 2).unionByName(weather(weather_rows, date(2024, 1, 1), 1, 3))
+    with pytest.raises(tb.DuplicateKeysError):
+        tb.upsert(twice, tables.weather, KEYS)
+    assert not spark.catalog.tableExists(tables.weather)
+
+
+def test_recovery_touches_only_its_own_staging(spark, tables, weather_rows):
+    rows = weather(weather_rows, date(2024, 1, 1), 2, 1)
+    for other in ("__archive", "__batch_mine", "__merged_" + "g" * 32):
+        rows.write.saveAsTable(tables.weather + other)
+    rows.write.saveAsTable(f"{tables.weather}__batch_{'0' * 32}")
+    assert tb.recover(spark, tables.weather) == 0
+    for other in ("__archive", "__batch_mine", "__merged_" + "g" * 32):
+        assert spark.catalog.tableExists(tables.weather + other)
+    assert not spark.catalog.tableExists(f"{tables.weather}__batch_{'0' * 32}")
+
+
 def test_files_are_ordered_by_waypoint(spark, tables, weather_rows):
     names = ("summit", "chamonix", "vallot")
     rows = weather_rows([(w, d, {}) for d in days(date(2024, 1, 1), 40) for w in names])
@@ -218,6 +237,25 @@ def test_refresh_takes_new_dates_only(spark, tables, weather_rows):
     assert found["summit", date(2024, 1, 10)] == 1.0 and found["summit", date(2024, 1, 11)] == 2.0
 
 
+def test_refresh_follows_each_route(spark, tables, weather_rows):
+    def route(number, first, count, tmax):
+        return weather(weather_rows, first, count, tmax).withColumn("route_id", F.lit(number).cast("bigint"))
+
+    target = tables.gold("copy")
+    keys = ["route_id", *KEYS]
+    first = route(1, date(2024, 1, 1), 40, 1).unionByName(route(2, date(2024, 1, 1), 5, 1))
+    tb.refresh_new_dates(first, target, keys, lambda df: df)
+    # Route 1 has two more days, route 2 caught up, route 3 is new; days already there keep their values.
+    second = route(1, date(2024, 1, 1), 42, 2).unionByName(route(2, date(2024, 1, 1), 42, 2)).unionByName(
+        route(3, date(2023, 12, 1), 42, 2))
+    tb.refresh_new_dates(second, target, keys, lambda df: df)
+    found = spark.table(target).groupBy("route_id").agg(
+        F.count("*").alias("n"), F.sum((F.col("temperature_max_c") == 1).cast("int")).alias("old")).collect()
+    assert {r.route_id: (r.n, r.old) for r in found} == {1: (42, 40), 2: (42, 5), 3: (42, 0)}
+    tb.refresh_new_dates(second, target, keys, lambda df: df)
+    assert spark.table(target).count() == 126
+
+
 def test_refresh_of_an_empty_target_is_a_full_run(spark, tables, weather_rows):
     target = tables.gold("copy")
     tb.refresh_new_dates(weather(weather_rows, date(2024, 1, 1), 1, 1).filter("false"), target, KEYS, lambda df: df)
