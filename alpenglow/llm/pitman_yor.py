@@ -2,22 +2,22 @@
 
 The model: a restaurant for each previous word (and the text's start), all sharing one parent, the restaurant of words
 without context, whose own base is uniform over the V known words and one for all unknown. Customers of a context are its
-following words; each table a context opens for a word is a customer of the parent. Seatings are sampled by Gibbs: a
-customer of each (context, word) is taken from its table and seated again, at a table of size n with weight n - discount
-or at a new one with weight (strength + discount * tables) * parent probability. Seatings begin with customers arriving
-in turn; predictive probabilities are averaged over the samples after the first BURN moves.
+following words; each table a context opens for a word is a customer of the parent. Seatings are sampled by Gibbs: a move
+draws the tables of every (context, word), so of all its customers, from their conditional given the restaurant's total and
+the parent's probability of the word. Predictive probabilities are averaged over the samples after the first BURN moves.
 
 Distribution: a text's words become (previous, word) pairs. Every block of documents sends its pairs, sorted and packed,
-to the bucket of their context. Buckets seat their restaurants (1), with their own tables as a first estimate of the
-parent, and send the tables of each word to the word's shard. Shards add them up, seat the parent, and answer every bucket
-that has the word, with the shard's totals. Buckets then seat again under the parent's probabilities (2) and add up the log
-probabilities of each document's words, learned or held out; a last shuffle brings these sums together by block. The
-pairs' shuffle is written once and read by both passes where Spark reuses the exchange. Contexts are seated in parallel given
-the parent of the pass before, never gathered or broadcast; what moves are the corpus' pairs.
+to the bucket of their context. Buckets send the tables of each word, at first one a pair, to the word's shard. Shards add
+them up, seat the parent, and answer every bucket that has the word, with the shard's totals. Buckets then seat their
+restaurants under the parent's probabilities and send tables again, ROUNDS times; under the last parent they take averaged
+samples and add up the log probabilities of each document's words, learned or held out; a last shuffle brings these sums
+together by block. The pairs' shuffle is written once and read by all passes where Spark reuses the exchange. Contexts are
+seated in parallel given the parent of the pass before, never gathered or broadcast; what moves are the corpus' pairs.
 
 A context with more than its share of all words (1 / HOT_SHARE of a bucket) is cut by the hash of the following word into
-parts, each in a bucket of its own; the parts seat with their tables times the number of parts and are scored with the
-context's own totals. The list of such contexts is bounded by HOT_SHARE times the number of buckets.
+parts, each sent to a bucket of its own. A part is seated with the tables that the other buckets had in the pass before; its
+averaged tables are added up over all buckets before scoring, so that the context's probabilities sum to 1 as those of others
+do. The list of such contexts is bounded by HOT_SHARE times the number of buckets.
 
 Words are A-Z lower-cased runs without white space, then one end of text; null and empty texts are an end alone. Null ids
 are held out or learned like the empty id; repeated rows are texts of their own. With nothing learned every word has the
@@ -26,10 +26,13 @@ uniform probability.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
@@ -39,10 +42,16 @@ from alpenglow.llm.common import chunks, encoded, joined, partitions
 
 #: Discount and strength of the parent, and of the contexts.
 PARENT, CONTEXT = (0.65, 10.0), (0.85, 2.0)
-#: Gibbs moves of every (context, word) in the two passes; those before BURN are not averaged.
+#: Gibbs moves, each of all customers, in the first passes and the last; those before BURN are not averaged.
 MOVES, BURN = (4, 8), 3
 #: Hot contexts are cut into parts of about a HOT_SHARE-th of a bucket.
 HOT_SHARE = 4
+#: Moves at most before the counted ones, until the number of tables grows by less than a 200th.
+SETTLE = 40
+#: Passes over the contexts, each followed by one over the parent.
+ROUNDS = 2
+#: Customers of one dish up to which the Stirling numbers are a table.
+EXACT = 1024
 #: Text of one block of documents.
 BLOCK_BYTES = 12_000_000
 SEED = 11
@@ -161,8 +170,8 @@ def _send(batches: Iterator[pa.RecordBatch], buckets: int, hot: np.ndarray, part
 class _Bucket:
     """The pairs of one bucket: distinct ones with learned counts, and each block's occurrences as places in them."""
 
-    def __init__(self, table: pa.Table, hot: np.ndarray, parts: np.ndarray):
-        self.blocks, keys = [], []
+    def __init__(self, table: pa.Table, hot: np.ndarray):
+        self.blocks, keys, self.totals = [], [], np.zeros((0, 5))
         for block, data, about in zip(*(table.column(x).to_pylist() for x in ("block", "pairs", "about")), strict=True):
             context, per, word, times, doc, learn = _unpack(data, "<u8", "<u4", "<u8", "<u4", "u1", "u1")
             doc = doc.view("<u2" if len(learn) < 65536 else "<u4")
@@ -176,74 +185,144 @@ class _Bucket:
         learned = [np.add.reduceat(learn[doc].astype(np.int64), np.cumsum(times) - times) if len(times) else np.zeros(0, np.int64)
                    for _, times, doc, learn, _ in self.blocks]
         self.count = np.bincount(self.place, np.concatenate(learned) if learned else None, minlength=len(first)).astype(np.int64)
-        own = _place(self.context, self.word, hot, parts)
-        self.owners, self.owner = np.unique(own, return_inverse=True)
+        self.owners, self.owner = np.unique(self.context, return_inverse=True)
         self.words, self.word_at = np.unique(self.word, return_inverse=True)
         at = np.minimum(np.searchsorted(hot, self.context), max(len(hot) - 1, 0))
         is_hot = hot[at] == self.context if len(hot) else np.zeros(len(first), bool)
         self.hot_at = np.where(is_hot, at, -1)
-        self.scale = np.ones(len(self.owners))
-        if is_hot.any():
-            self.scale[self.owner[is_hot]] = parts[at[is_hot]]
+
+    def heard(self, answers: pa.Table, hot: np.ndarray) -> None:
+        """Takes in what the parent answers: its probability of each pair's word, and the totals of the hot contexts."""
+        got = sorted(answers.column("parent").to_pylist())  # always in one order
+        got = [_unpack(x, "<u8", "<i8", "<f8", "<i8", "<u8", "<i8", "<f8", "<f8") for x in got]
+        word = np.concatenate([x[0] for x in got])
+        order = np.argsort(word)  # each word once, the same words as self.words
+        customers, tables, self.learned = (np.concatenate([x[k] for x in got])[order] for k in (1, 2, 3))
+        self.totals = np.array([x[7] for x in got])
+        all_customers, all_tables, self.known, self.n_tokens = self.totals[:, :4].sum(axis=0)
+        discount, strength = PARENT
+        parent = (customers - discount * tables + (strength + discount * all_tables) / (self.known + 1)) / (strength + all_customers)
+        self.base = parent[self.word_at]
+        self.others, self.hot_count = np.zeros(len(self.owners)), np.zeros(len(hot))
+        for x in got:
+            self.others[np.searchsorted(self.owners, x[4])] = x[6]
+            self.hot_count[np.searchsorted(hot, x[4])] = x[5]
+
+    def seated(self, some: np.ndarray, moves: int, burn: int, seed: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        return seat(self.count[some], self.base[some], self.owner[some], np.ones(len(self.owners)), *CONTEXT, moves, burn, seed, self.others)
+
+    def by_hot(self, values: np.ndarray, hot: np.ndarray) -> np.ndarray:
+        heavy = self.hot_at >= 0
+        return np.bincount(self.hot_at[heavy], values[heavy], minlength=len(hot))
+
+
+@lru_cache(maxsize=2)
+def _stirling(discount: float) -> list[np.ndarray]:
+    """Logarithms of the generalised Stirling numbers: row c, for 1 to c tables, up to EXACT customers."""
+    rows = [np.zeros(0), np.zeros(1)]
+    for c in range(1, EXACT):
+        with np.errstate(divide="ignore"):
+            stay = np.append(rows[c] + np.log(c - discount * np.arange(1, c + 1)), -np.inf)
+        rows.append(np.logaddexp(np.append(-np.inf, rows[c]), stay))
+    return rows
+
+
+def _bisected(value, target: np.ndarray) -> np.ndarray:
+    """y in (0, 1) where value(y), which falls with y, meets the target."""
+    low, high = np.full(len(target), -400.0), np.zeros(len(target))
+    for _ in range(60):
+        middle = (low + high) / 2
+        more = value(np.exp(middle)) > target
+        low, high = np.where(more, middle, low), np.where(more, high, middle)
+    return np.exp((low + high) / 2)
+
+
+def _large(c: int, t: np.ndarray, d: float) -> np.ndarray:
+    """As _stirling for more than EXACT customers, without the terms of c alone: the coefficient of x^c in (1 - (1 - x)^d)^t, from
+    its binomial series where that settles, else at its saddle point (relative error about 1 / t). t: a range."""
+    out = np.empty(len(t))
+    few = t < 0.5 * c**d
+    if few.any():
+        some, total = t[few].astype(float), np.zeros(few.sum())
+        choose = np.ones(len(some))
+        for j in range(1, 121):
+            choose = choose * (some - j + 1) / j
+            if c <= j * d:
+                break
+            size = math.exp(math.lgamma(1 + j * d) + math.lgamma(c - j * d) - math.lgamma(c - d))
+            total += (-1) ** (j + 1) * choose * size * math.sin(math.pi * j * d)
+            if (abs(choose) * size).max() < 1e-14:
+                break
+        out[few] = np.log(np.maximum(total, 1e-300)) + math.lgamma(c - d) - math.lgamma(c + 1) - math.log(math.pi)
+    if not few.all():
+        some = t[~few].astype(float)
+        y = _bisected(lambda y: d * (1 - y) * y ** (d - 1) / -np.expm1(d * np.log(y)), c / some)
+        r, f = 1 - y, -np.expm1(d * np.log(y))
+        mean = r * d * y ** (d - 1) / f
+        spread = mean + r * r * d * (1 - d) * y ** (d - 2) / f - mean**2
+        out[~few] = some * np.log(f) - c * np.log1p(-y) - 0.5 * np.log(2 * np.pi * some * np.maximum(spread, 1e-12))
+    out = np.where(t == c, c * math.log(d), out)
+    return out - math.lgamma(t[0] + 1) - np.append(0.0, np.cumsum(np.log(t[1:]))) - t * math.log(d)
+
+
+def _draw(c: np.ndarray, rate: np.ndarray, discount: float, rng: np.random.Generator) -> np.ndarray:
+    """Tables t of dishes with c customers, with a chance in proportion to Stirling(c, t) * (discount * rate) ** t. c is sorted."""
+    t = np.ones(len(c), np.int64)
+    rows, weight = _stirling(discount), np.log(np.maximum(discount * rate, 1e-300))
+    values, begins = np.unique(c, return_index=True)
+    for value, a, z in zip(values.tolist(), begins.tolist(), [*begins[1:].tolist(), len(c)], strict=True):
+        if value > EXACT:
+            break
+        step = max(1, 2_000_000 // value)
+        for x in range(a, z, step):
+            chance = rows[value] + weight[x : min(x + step, z), None] * np.arange(1, value + 1)
+            chance = np.cumsum(np.exp(chance - chance.max(axis=1, keepdims=True)), axis=1)
+            t[x : min(x + step, z)] = 1 + (chance < rng.random(len(chance))[:, None] * chance[:, -1:]).sum(axis=1)
+    large = int(np.searchsorted(c, EXACT, side="right"))
+    if large < len(c):
+        n, lam, d = c[large:].astype(float), np.maximum(rate[large:], 1e-300), discount
+        y = _bisected(lambda y: d * (1 - y) * y ** (d - 1), n / lam)
+        r, mean = 1 - y, lam * -np.expm1(d * np.log(y))
+        spread = np.maximum(mean - n**2 / (lam * (r * d * y ** (d - 1) + r * r * d * (1 - d) * y ** (d - 2))), 0) ** 0.5
+        low, high = np.maximum(np.floor(mean - 10 * spread - 20), 1), np.minimum(np.ceil(mean + 10 * spread + 40), n)
+        for k, (size, a, z) in enumerate(zip(c[large:].tolist(), low.astype(int).tolist(), high.astype(int).tolist(), strict=True)):
+            some = np.arange(a, z + 1)
+            chance = _large(size, some, d) + some * weight[large + k]
+            chance = np.cumsum(np.exp(chance - chance.max()))
+            t[large + k] = a + np.searchsorted(chance, rng.random() * chance[-1])
+    return t
 
 
 def seat(count: np.ndarray, base: np.ndarray, owner: np.ndarray, scale: np.ndarray, discount: float, strength: float, moves: int,
-         burn: int, seed: list[int]) -> tuple[np.ndarray, np.ndarray]:
+         burn: int, seed: list[int], others: np.ndarray | float = 0.0) -> tuple[np.ndarray, np.ndarray]:
     """Tables of each (restaurant, dish): the last sample, and the mean of the samples after `burn` moves.
 
-    count: customers; base: the dish's probability in the parent; owner: the restaurant; scale: its tables' factor.
+    A move samples all customers of every dish anew. The seatings' probability has the restaurant's total in it through one
+    gamma function; given a gamma variable of that shape the dishes are independent, so that each draws its tables from its
+    conditional, exact whatever the number of its customers.
+    count: customers; base: the dish's probability in the parent; owner: the restaurant; scale, others: factor of its tables,
+    and tables of it that are elsewhere.
     """
     rng = np.random.default_rng(seed)
     tables = (count > 0).astype(np.int64)
     several = np.flatnonzero(count > 1)
     if not len(several):
         return tables, tables.astype(float)
+    several = several[np.argsort(count[several], kind="stable")]
     c, p, u = count[several], base[several], owner[several]
     alone = np.bincount(owner[count == 1], minlength=len(scale)).astype(float)
-    t = np.ones(len(c), np.int64)
+    t, total, samples = np.ones(len(c), np.int64), np.zeros(len(c)), 0
 
-    def weight() -> np.ndarray:
-        return (strength + discount * scale * (alone + np.bincount(u, t, minlength=len(scale))))[u] * p
-
-    # customers in turn: when the next new table opens, by inverting its waiting time
-    new, at, active = weight(), np.ones(len(c)), np.arange(len(c))
-    while len(active):
-        with np.errstate(over="ignore"):
-            rest = at[active] - discount * t[active]
-            at[active] = np.floor(discount * t[active] + rest * rng.random(len(active)) ** (-1 / new[active])) + 1
-        active = active[at[active] <= c[active]]
-        t[active] += 1
-    first = np.cumsum(t) - t
-    share = rng.exponential(size=int(t.sum())) / (1 + np.arange(int(t.sum())) - np.repeat(first, t))
-    share /= np.repeat(np.add.reduceat(share, first), t)
-    size = 1 + np.floor(np.repeat(c - t, t) * share).astype(np.int64)
-    size[first] += c - np.add.reduceat(size, first)
-    customers = np.cumsum(c) - c
-    total, samples = np.zeros(len(c)), 0
+    def moved() -> np.ndarray:
+        shape = strength / discount + others + scale * (alone + np.bincount(u, t, minlength=len(scale)))
+        return _draw(c, rng.gamma(shape)[u] * p, discount, rng)
+
+    for _ in range(SETTLE):  # from one table a dish to where the number of tables stays
+        before, t = t.sum(), moved()
+        if t.sum() - before < 0.005 * before:
+            break
     for move in range(moves):
-        ends = np.cumsum(size)
-        table = np.searchsorted(ends, customers + rng.integers(0, c), side="right")
-        size[table] -= 1
-        emptied = size[table] == 0
-        t = t - emptied
-        new = weight()
-        opens = rng.random(len(c)) * (new + (c - 1) - discount * t) < new
-        stay = np.flatnonzero(~opens)
-        ends = np.cumsum(size)
-        begin = np.r_[0, np.cumsum(c - 1)][:-1]
-        chosen = np.zeros(len(c), np.int64)
-        while len(stay):  # a table by its customers, kept with (n - discount) / n
-            table = np.searchsorted(ends, begin[stay] + rng.integers(0, c[stay] - 1), side="right")
-            kept = rng.random(len(stay)) * size[table] < size[table] - discount
-            chosen[stay[kept]] = table[kept]
-            stay = stay[~kept]
-        size[chosen[~opens]] += 1
-        filled = np.add.reduceat(np.ones(len(size), np.int64), first)
-        opening = np.flatnonzero(opens)
-        size = np.insert(size, (first + filled)[opening], 1)
-        t = t + opens
-        size = size[size > 0]
-        first = np.cumsum(t) - t
+        t = moved()
         if move >= burn or move == moves - 1:
             total += t
             samples += 1
@@ -253,81 +332,112 @@ def seat(count: np.ndarray, base: np.ndarray, owner: np.ndarray, scale: np.ndarr
     return tables, mean
 
 
-def _first_pass(table: pa.Table, buckets: int, hot: np.ndarray, parts: np.ndarray) -> pa.Table:
-    """Of each word of the bucket, by shard: its tables over the bucket's contexts and its learned occurrences; of each part of
-    a hot context its customers and tables."""
-    number = table.column("bucket")[0].as_py()
-    pairs = _Bucket(table, hot, parts)
-    seen = (pairs.count > 0).astype(float)
-    parent = np.bincount(pairs.word_at, seen, minlength=len(pairs.words))
-    parent = (parent + 0.5) / (parent.sum() + 0.5 * len(parent) + 1)
-    tables, _ = seat(pairs.count, parent[pairs.word_at], pairs.owner, pairs.scale, *CONTEXT, MOVES[0], 0, [SEED, 1, number])
+def _told(pairs: _Bucket, number: int, tables: np.ndarray, buckets: int, hot: np.ndarray) -> pa.Table:
+    """Of each word of the bucket, by shard: its tables over the bucket's contexts and its learned occurrences; of hot contexts
+    their customers and tables here; and what the shard said last: the parent's tables in other shards, and all known words."""
     per_word = np.bincount(pairs.word_at, tables, minlength=len(pairs.words)).astype(np.int64)
     learned = np.bincount(pairs.word_at, pairs.count, minlength=len(pairs.words)).astype(np.int64)
     shard = (mixed(pairs.words) >> np.uint64(17)) % np.uint64(buckets)
-    heavy = pairs.hot_at >= 0
-    hot_tables = np.bincount(pairs.hot_at[heavy], tables[heavy], minlength=len(hot)).astype(np.int64)
-    hot_count = np.bincount(pairs.hot_at[heavy], pairs.count[heavy], minlength=len(hot)).astype(np.int64)
-    here = np.unique(pairs.hot_at[heavy])
+    hot_tables, hot_count = pairs.by_hot(tables, hot), pairs.by_hot(pairs.count, hot).astype(np.int64)
+    here = np.unique(pairs.hot_at[pairs.hot_at >= 0])
+    last = {int(x[4]): (pairs.totals[:, 1].sum() - x[1], pairs.known) for x in pairs.totals}
     rows = []
     for s in range(buckets):
         some = shard == s
         mine = here[(hot[here] % np.uint64(buckets)) == s] if len(here) else here
         rows.append((s, number, _pack(pairs.words[some], per_word[some], learned[some], hot[mine] if len(hot) else np.zeros(0, np.uint64),
-                                      hot_count[mine], hot_tables[mine])))
+                                      hot_count[mine], hot_tables[mine].astype(float), np.array(last.get(s, (-1.0, -1.0))))))
     return pa.table({"shard": pa.array([r[0] for r in rows], pa.int32()), "bucket": pa.array([r[1] for r in rows], pa.int32()),
                      "tables": pa.array([r[2] for r in rows], pa.binary())})
 
 
-def _parent(table: pa.Table, buckets: int) -> pa.Table:
-    """Seats a shard of the parent and answers each bucket: customers, tables and learned occurrences of its words, the totals of
-    its hot contexts, and the shard's totals (customers, tables, words, occurrences)."""
+def _first_pass(table: pa.Table, buckets: int, hot: np.ndarray) -> pa.Table:
+    """Every pair with one table, for a first parent that all buckets share."""
+    pairs = _Bucket(table, hot)
+    return _told(pairs, table.column("bucket")[0].as_py(), (pairs.count > 0).astype(np.int64), buckets, hot)
+
+
+def _context_pass(table: pa.Table, answers: pa.Table, buckets: int, hot: np.ndarray, turn: int) -> pa.Table:
+    """Seats the contexts under the parent that the pass before has left."""
+    number, pairs = table.column("bucket")[0].as_py(), _Bucket(table, hot)
+    pairs.heard(answers, hot)
+    tables, _ = pairs.seated(np.arange(len(pairs.count)), MOVES[0], 0, [SEED, 1, number, turn])
+    return _told(pairs, number, tables, buckets, hot)
+
+
+def _parent(table: pa.Table, buckets: int, turn: int) -> pa.Table:
+    """Seats a shard of the parent and answers each bucket: customers, tables and learned occurrences of its words, the
+    customers of its hot contexts and their tables in other buckets, and the shard's totals (customers, tables, words,
+    occurrences) and number."""
     shard = table.column("shard")[0].as_py()
     froms = table.column("bucket").to_pylist()
-    asked = [_unpack(x, "<u8", "<i8", "<i8", "<u8", "<i8", "<i8") for x in table.column("tables").to_pylist()]
+    asked = [_unpack(x, "<u8", "<i8", "<i8", "<u8", "<i8", "<f8", "<f8") for x in table.column("tables").to_pylist()]
     words, place = np.unique(np.concatenate([x[0] for x in asked]), return_inverse=True)
     customers = np.bincount(place, np.concatenate([x[1] for x in asked]), minlength=len(words)).astype(np.int64)
     learned = np.bincount(place, np.concatenate([x[2] for x in asked]), minlength=len(words)).astype(np.int64)
     known = int((learned > 0).sum())
-    base = np.full(len(words), 1 / (known * buckets + 1))
-    _, tables = seat(customers, base, np.zeros(len(words), np.int64), np.array([float(buckets)]), *PARENT, MOVES[1], BURN, [SEED, 2, shard])
+    others, all_known = max(x[6].tolist() for x in asked)
+    first = all_known < 0  # no totals yet: the other shards are taken to be like this one
+    base = np.full(len(words), 1 / ((known * buckets if first else all_known) + 1))
+    _, tables = seat(customers, base, np.zeros(len(words), np.int64), np.array([float(buckets if first else 1)]), *PARENT, MOVES[1], BURN,
+                     [SEED, 2, shard, turn], 0.0 if first else others)
     hot, at = np.unique(np.concatenate([x[3] for x in asked]), return_inverse=True)
     hot_count = np.bincount(at, np.concatenate([x[4] for x in asked]), minlength=len(hot)).astype(np.int64)
-    hot_tables = np.bincount(at, np.concatenate([x[5] for x in asked]), minlength=len(hot)).astype(np.int64)
-    totals = np.array([customers.sum(), tables.sum(), known, learned.sum()], float)
+    hot_tables = np.bincount(at, np.concatenate([x[5] for x in asked]), minlength=len(hot))
+    totals = np.array([customers.sum(), tables.sum(), known, learned.sum(), shard], float)
     rows, start, start_hot = [], 0, 0
     for bucket, own in zip(froms, asked, strict=True):
         mine, mine_hot = place[start : start + len(own[0])], at[start_hot : start_hot + len(own[3])]
         start, start_hot = start + len(own[0]), start_hot + len(own[3])
-        rows.append((bucket, _pack(own[0], customers[mine], tables[mine], learned[mine], own[3], hot_count[mine_hot], hot_tables[mine_hot], totals)))
+        rows.append((bucket, _pack(own[0], customers[mine], tables[mine], learned[mine], own[3], hot_count[mine_hot], hot_tables[mine_hot] - own[5], totals)))
     return pa.table({"bucket": pa.array([r[0] for r in rows], pa.int32()), "parent": pa.array([r[1] for r in rows], pa.binary())})
 
 
-def _second_pass(table: pa.Table, answers: pa.Table, hot: np.ndarray, parts: np.ndarray) -> pa.Table:
-    """Of each block: the documents met in this bucket, and the sums over their words here."""
+def _hot_pass(table: pa.Table, answers: pa.Table, buckets: int, hot: np.ndarray) -> pa.Table:
+    """The averaged tables of hot contexts in this bucket; the last pass draws the same samples again."""
+    number, pairs = table.column("bucket")[0].as_py(), _Bucket(table, hot)
+    pairs.heard(answers, hot)
+    heavy = np.flatnonzero(pairs.hot_at >= 0)
+    mean = np.zeros(len(pairs.count))
+    mean[heavy] = pairs.seated(heavy, MOVES[1], BURN, [SEED, 4, number])[1]
+    here, sums = np.unique(pairs.hot_at[heavy]), pairs.by_hot(mean, hot)
+    return pa.table({"context": pa.array(hot[here].view(np.int64), pa.int64()), "bucket": pa.array([number] * len(here), pa.int32()),
+                     "tables": pa.array(sums[here], pa.float64())})
+
+
+def _hot_totals(table: pa.Table) -> pa.Table:
+    """The tables of a hot context over all of its buckets, for each of them."""
+    data = _pack(np.array([table.column("context")[0].as_py()], np.int64).view(np.uint64), np.array([math.fsum(table.column("tables").to_pylist())]))
+    return pa.table({"bucket": table.column("bucket"), "parent": pa.nulls(len(table), pa.binary()), "hot": pa.array([data] * len(table), pa.binary())})
+
+
+def _valued(table: pa.Table, answers: pa.Table, hot: np.ndarray) -> tuple[_Bucket, np.ndarray]:
+    """The bucket's pairs and their predictive probabilities."""
     number = table.column("bucket")[0].as_py()
-    pairs = _Bucket(table, hot, parts)
-    got = [_unpack(x, "<u8", "<i8", "<f8", "<i8", "<u8", "<i8", "<i8", "<f8") for x in answers.column("parent").to_pylist()]
-    word = np.concatenate([x[0] for x in got])
-    order = np.argsort(word)  # each word once, the same words as pairs.words
-    customers, tables, learned = (np.concatenate([x[k] for x in got])[order] for k in (1, 2, 3))
-    all_customers, all_tables, known, n_tokens = sum(x[7] for x in got)
-    discount, strength = PARENT
-    parent = (customers - discount * tables + (strength + discount * all_tables) / (known + 1)) / (strength + all_customers)
-    base = parent[pairs.word_at]
-    _, mean = seat(pairs.count, base, pairs.owner, pairs.scale, *CONTEXT, MOVES[1], BURN, [SEED, 3, number])
+    pairs = _Bucket(table, hot)
+    pairs.heard(answers.filter(pc.is_valid(answers.column("parent"))), hot)
+    heavy, mean = pairs.hot_at >= 0, np.zeros(len(pairs.count))
+    mean[heavy] = pairs.seated(np.flatnonzero(heavy), MOVES[1], BURN, [SEED, 4, number])[1]
+    mean[~heavy] = pairs.seated(np.flatnonzero(~heavy), MOVES[1], BURN, [SEED, 3, number])[1]
     context_count = np.bincount(pairs.owner, pairs.count, minlength=len(pairs.owners)).astype(float)[pairs.owner]
     context_tables = np.bincount(pairs.owner, mean, minlength=len(pairs.owners))[pairs.owner]
-    heavy = pairs.hot_at >= 0
     if heavy.any():
-        hot_words, hot_count, hot_tables = (np.concatenate([x[k] for x in got]) for k in (4, 5, 6))
-        by_word = np.argsort(hot_words)
-        at = by_word[np.searchsorted(hot_words[by_word], pairs.context[heavy])]
-        context_count[heavy], context_tables[heavy] = hot_count[at], hot_tables[at]
+        hot_tables = np.zeros(len(hot))
+        for data in answers.column("hot").drop_null().to_pylist():
+            context, tables = _unpack(data, "<u8", "<f8")
+            hot_tables[np.searchsorted(hot, context)] = tables
+        context_count[heavy], context_tables[heavy] = pairs.hot_count[pairs.hot_at[heavy]], hot_tables[pairs.hot_at[heavy]]
     discount, strength = CONTEXT
-    value = (np.maximum(pairs.count - discount * mean, 0) + (strength + discount * context_tables) * base) / (strength + context_count)
-    value, plain = np.log10(value), np.log10(learned + 0.5)[pairs.word_at]
-    is_known = (learned > 0)[pairs.word_at]
+    value = (np.maximum(pairs.count - discount * mean, 0) + (strength + discount * context_tables) * pairs.base) / (strength + context_count)
+    return pairs, value
+
+
+def _second_pass(table: pa.Table, answers: pa.Table, hot: np.ndarray) -> pa.Table:
+    """Of each block: the documents met in this bucket, and the sums over their words here."""
+    pairs, value = _valued(table, answers, hot)
+    value, plain = np.log10(value), np.log10(pairs.learned + 0.5)[pairs.word_at]
+    is_known = (pairs.learned > 0)[pairs.word_at]
+    known, n_tokens = pairs.known, pairs.n_tokens
     rows, start = [], 0
     for block, times, doc, learn, about in pairs.blocks:
         at = np.repeat(pairs.place[start : start + len(times)], times)
@@ -363,9 +473,25 @@ def score(docs: DataFrame, learn: Column, doc_id: str = "doc_id", text: str = "t
     hot = np.array(sorted(x & (2**64 - 1) for x in split), np.uint64)
     parts = np.array([split[int(x)] for x in hot.view(np.int64)], np.int64)
     sent = rows.mapInArrow(lambda x: _send(x, buckets, hot, parts), "bucket int, block bigint, pairs binary, about binary")
-    first = sent.groupBy("bucket").applyInArrow(lambda x: _first_pass(x, buckets, hot, parts), "shard int, bucket int, tables binary")
-    answers = first.groupBy("shard").applyInArrow(lambda x: _parent(x, buckets), "bucket int, parent binary")
-    sums = sent.groupBy("bucket").cogroup(answers.groupBy("bucket")).applyInArrow(
-        lambda a, b: _second_pass(a, b, hot, parts), "block bigint, sums binary, about binary, known double, n double")
+
+    def parent(turn: int) -> Callable[[pa.Table], pa.Table]:
+        return lambda x: _parent(x, buckets, turn)
+
+    def contexts(turn: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+        return lambda a, b: _context_pass(a, b, buckets, hot, turn)
+
+    told = sent.groupBy("bucket").applyInArrow(lambda x: _first_pass(x, buckets, hot), "shard int, bucket int, tables binary")
+    for turn in range(ROUNDS + 1):
+        answers = told.groupBy("shard").applyInArrow(parent(turn), "bucket int, parent binary")
+        if turn < ROUNDS:
+            told = sent.groupBy("bucket").cogroup(answers.groupBy("bucket")).applyInArrow(
+                contexts(turn), "shard int, bucket int, tables binary")
+    heard = answers.withColumn("hot", F.lit(None).cast("binary"))
+    if len(hot):
+        tables = sent.groupBy("bucket").cogroup(answers.groupBy("bucket")).applyInArrow(
+            lambda a, b: _hot_pass(a, b, buckets, hot), "context bigint, bucket int, tables double")
+        heard = heard.unionByName(tables.groupBy("context").applyInArrow(_hot_totals, "bucket int, parent binary, hot binary"))
+    sums = sent.groupBy("bucket").cogroup(heard.groupBy("bucket")).applyInArrow(
+        lambda a, b: _second_pass(a, b, hot), "block bigint, sums binary, about binary, known double, n double")
     return sums.groupBy("block").applyInArrow(
         _documents, "doc_id bigint, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")

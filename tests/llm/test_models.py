@@ -5,8 +5,11 @@ from __future__ import annotations
 import math
 import random
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
@@ -94,6 +97,71 @@ def test_seatings_keep_their_customers():
     assert (tables[count == 1] == 1).all() and tables[count > 100].mean() > 1.5
 
 
+def customer_by_customer(count, base, discount, strength, sweeps):
+    """Mean tables of a Gibbs sampler that reseats one customer at a time."""
+    rng, tables, total = random.Random(3), [[n] for n in count], np.zeros(len(count))
+    for sweep in range(sweeps):
+        for own, n, p in zip(tables, count, base, strict=True):
+            for _ in range(n):
+                k = rng.choices(range(len(own)), own)[0]
+                own[k] -= 1
+                if not own[k]:
+                    own.pop(k)
+                new = (strength + discount * sum(map(len, tables))) * p
+                k = rng.choices(range(len(own) + 1), [*(x - discount for x in own), new])[0]
+                own[k : k + 1] = [own[k] + 1] if k < len(own) else [1]
+        if sweep >= 50:
+            total += [len(x) for x in tables]
+    return total / (sweeps - 50)
+
+
+def test_seatings_are_those_of_single_customers():
+    count, base = np.array([1, 2, 5, 20, 60, 200]), np.array([0.05, 0.1, 0.2, 0.02, 0.1, 0.3])
+    want = customer_by_customer(count.tolist(), base.tolist(), 0.85, 2.0, 450)
+    runs = [pitman_yor.seat(count, base, np.zeros(6, int), np.ones(1), 0.85, 2.0, 8, 3, [k])[1] for k in range(300)]
+    assert np.abs(np.mean(runs, axis=0) / want - 1).max() < 0.15
+
+
+@pytest.mark.parametrize("discount", [0.65, 0.85])
+def test_stirling_numbers_of_large_counts(discount):
+    """The way of large counts against the recursion."""
+    c = pitman_yor.EXACT
+    got = pitman_yor._large(c, np.arange(1, c + 1), discount) + math.lgamma(c + 1)
+    assert np.abs(got - pitman_yor._stirling(discount)[c])[: c * 9 // 10].max() < 1e-3
+
+
+@pytest.mark.parametrize("buckets", [2, 50])
+def test_probabilities_after_a_cut_context_sum_to_one(monkeypatch, buckets):
+    """All passes without Spark. Held-out texts put every known word and one unknown after the cut context."""
+    monkeypatch.setattr(pitman_yor.TaskContext, "get", lambda: SimpleNamespace(partitionId=lambda: 0))
+    rng = random.Random(3)
+    learned = [" ".join(x for _ in range(30) for x in ("the", f"n{int(rng.paretovariate(0.6)) % 90}")) for _ in range(40)]
+    probes = [f"the {w}" for w in sorted({w for x in learned for w in x.split()} | {"unseen"})]
+    the = pitman_yor.tokens([b"the"])[0][:1]
+    parts = np.array([2 * buckets])
+
+    def grouped(tables, by):
+        whole = pa.concat_tables(tables)
+        return {k: whole.filter(pc.equal(whole.column(by), k)) for k in set(whole.column(by).to_pylist())}
+
+    texts = [*learned, *probes, "the"]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text": texts, "learn": [k < 40 for k in range(len(texts))]})
+    sent = grouped([pa.Table.from_batches(pitman_yor._send(iter([batch]), buckets, the, parts))], "bucket")
+    told = [pitman_yor._first_pass(x, buckets, the) for x in sent.values()]
+    for turn in range(pitman_yor.ROUNDS + 1):
+        heard = grouped([pitman_yor._parent(x, buckets, turn) for x in grouped(told, "shard").values() if any(map(len, x))], "bucket")
+        if turn < pitman_yor.ROUNDS:
+            told = [pitman_yor._context_pass(x, heard[b], buckets, the, turn) for b, x in sent.items()]
+    tables = grouped([pitman_yor._hot_pass(x, heard[b], buckets, the) for b, x in sent.items()], "context")
+    totals = grouped([pitman_yor._hot_totals(x) for x in tables.values()], "bucket")
+    total = 0.0
+    for b, x in sent.items():
+        answers = heard[b].append_column("hot", pa.nulls(len(heard[b]), pa.binary()))
+        pairs, value = pitman_yor._valued(x, pa.concat_tables([answers, *([totals[b]] if b in totals else [])]), the)
+        total += value[pairs.context == the[0]].sum()
+    assert total == pytest.approx(1, abs=1e-9)
+
+
 def test_tokens_by_brute_force(prose):
     texts = [prose(1), "", "A a\tB\x0bb  ", "é x", "\n"]
     hashes, counts = pitman_yor.tokens([x.encode() for x in texts])
