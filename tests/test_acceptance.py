@@ -1,11 +1,15 @@
-"""Every registered query against its comparison SQL on the smallest data."""
+"""Every registered query of the analytics against its comparison SQL on the smallest data. Queries of separate parts
+are tested beside them."""
 
 from collections import Counter
 from pathlib import Path
 
 import pytest
 
-from __spark_entry__ import SMOKE_DIR, entry, oracle_sql, queries
+import __spark_entry__
+from __spark_entry__ import SMOKE_DIR, entry
+from acceptance.oracle import oracle_sql
+from acceptance.queries import queries
 
 pytestmark = pytest.mark.skipif(not Path(SMOKE_DIR).exists(), reason="no test data")
 SQL_TYPES = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "date": "DATE"}
@@ -24,6 +28,12 @@ def test_entry(spark):
     assert entry(spark).count() > 0
 
 
+def test_the_entry_registers_them_all():
+    assert queries().keys() <= __spark_entry__.queries().keys()
+    assert oracle_sql().items() <= __spark_entry__.oracle_sql().items()
+    assert __spark_entry__.oracle_sql().keys() <= __spark_entry__.queries().keys()
+
+
 def test_only_approximate_metrics_have_no_sql():
     assert set(queries()) - set(oracle_sql()) == {"profile_monthly_sketches"}
     assert set(oracle_sql()) <= set(queries())

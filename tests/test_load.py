@@ -4,9 +4,9 @@ import sys
 from dataclasses import replace
 from datetime import date, timedelta
 
-import conftest
+import helpers
 import pytest
-from conftest import daily, payload
+from helpers import daily, payload
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
@@ -19,7 +19,7 @@ from alpenglow.sources.archive import FetchError
 from alpenglow.sources.planner import waypoints
 from alpenglow.streaming.silver import stream_silver
 
-for module in (conftest, sys.modules[__name__]):
+for module in (helpers, sys.modules[__name__]):
     cloudpickle.register_pickle_by_value(module)  # Station runs in the Python workers
 
 SETTINGS = LoadSettings(start=date(2024, 1, 10), fixed_end=date(2024, 2, 20), today=date(2024, 3, 1))

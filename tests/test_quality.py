@@ -1,7 +1,7 @@
 from datetime import date, timedelta
 
 import pytest
-from conftest import days
+from helpers import days
 from pyspark.sql import functions as F
 
 from alpenglow.config import ACCEPTED_RANGES, MEASURES, WAYPOINT_NAMES

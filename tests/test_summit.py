@@ -3,7 +3,7 @@ from datetime import date, timedelta
 from decimal import Decimal
 
 import pytest
-from conftest import HEIGHTS, days
+from helpers import HEIGHTS, days
 from pyspark.sql import functions as F
 
 from alpenglow.operators.tables import with_month

@@ -4,7 +4,7 @@ from urllib.parse import urlparse
 
 import pyarrow.parquet as pq
 import pytest
-from conftest import days
+from helpers import days
 from pyspark.sql import functions as F
 
 from alpenglow.config import NO_WATERMARK
