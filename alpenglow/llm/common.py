@@ -7,12 +7,18 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+import alpenglow
 from alpenglow.session import shared_folder
 
+# What runs in the tasks travels with its code, so the executors need no copy of this package.
+cloudpickle.register_pickle_by_value(alpenglow)
+
 #: Bytes of text handled at once inside a task; what numpy holds beside it is a small multiple.
 CHUNK_BYTES = 2_000_000
 
@@ -75,3 +81,16 @@ def joined(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 def fields(frame: DataFrame, *names: str) -> list[T.StructField]:
     return [frame.schema[x] for x in names]
+
+
+def packed(*arrays: np.ndarray) -> bytes:
+    """Arrays as one compressed value; `unpacked` takes their kinds."""
+    sizes = np.array([x.nbytes for x in arrays], np.int64).tobytes()
+    return zstandard.ZstdCompressor(level=1).compress(sizes + b"".join(x.tobytes() for x in arrays))
+
+
+def unpacked(data: bytes, *kinds: str) -> list[np.ndarray]:
+    raw = zstandard.ZstdDecompressor().decompress(data)
+    sizes = np.frombuffer(raw, np.int64, len(kinds))
+    ends = 8 * len(kinds) + np.cumsum(sizes)
+    return [np.frombuffer(raw[e - s : e], k) for k, s, e in zip(kinds, sizes.tolist(), ends.tolist(), strict=True)]
