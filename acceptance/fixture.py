@@ -140,3 +140,33 @@ def faulty_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Everything the archive delivered: first fetches with faults, and refetches."""
     return faulty_raw(spark, sf_dir).unionByName(refetched_raw(spark, sf_dir))
+
+
+def archive_slices(raw: DataFrame, slices: DataFrame) -> DataFrame:
+    """The payload of every planned slice; a month without days is an empty payload, not a missing one."""
+    keys = ["route_id", "waypoint_name", "period_start"]
+    nothing = F.to_json(F.struct(F.struct(*[
+        F.array().cast("array<string>").alias(name) for name in (TIME_FIELD, *_PAYLOAD_FIELD.values())
+    ]).alias("daily")))
+    given = raw.select(*keys, "response_json")
+    return slices.select(*keys).join(given, keys, "left").withColumn(
+        "response_json", F.coalesce("response_json", nothing))
+
+
+def damaged_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The faulty first fetches, some more of them with an array that ends early or a day that is no date."""
+    rows = faulty_raw(spark, sf_dir).withColumns({
+        "d": F.col("period_start"), "w": F.expr(f"CAST({m.WAYPOINT} AS INT)")})
+    shorter = F.regexp_replace("response_json", r'("snow_depth_max":\[[^\]]*),[^,\]]*\]', "$1]")
+    undated = F.regexp_replace("response_json", r'"time":\["(\d{4})-\d\d-', '"time":["$1-13-')
+    damaged = F.when(F.expr(m.RAGGED), shorter).when(F.expr(m.BAD_DATE), undated).otherwise(F.col("response_json"))
+    return rows.withColumn("response_json", damaged).drop("d", "w")
+
+
+def held_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Slices that an earlier load has left, with holes and overlaps."""
+    slices = payload_slices(cells(spark, sf_dir)).filter(m.HELD)
+    return slices.withColumns({
+        "waypoint_name": F.expr(m.NAME),
+        "period_end": F.expr(m.HELD_END.format(ten_later="date_add(period_end, 10)")),
+    }).withColumn("period_start", F.expr(m.HELD_START.format(nine_later="date_add(period_start, 9)")))

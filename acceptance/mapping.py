@@ -34,6 +34,7 @@ MEASURES = (
 
 ELEVATION = "CASE w " + " ".join(f"WHEN {i} THEN {e}" for i, (_, _, _, e) in enumerate(WAYPOINTS)) + " END"
 NAME = "CASE w " + " ".join(f"WHEN {i} THEN '{n}'" for i, (n, *_) in enumerate(WAYPOINTS)) + " END"
+WAYPOINT = "CASE waypoint_name " + " ".join(f"WHEN '{n}' THEN {i}" for i, (n, *_) in enumerate(WAYPOINTS)) + " END"
 LAT = "CASE w " + " ".join(f"WHEN {i} THEN {x}" for i, (_, x, _, _) in enumerate(WAYPOINTS)) + " END"
 LON = "CASE w " + " ".join(f"WHEN {i} THEN {x}" for i, (_, _, x, _) in enumerate(WAYPOINTS)) + " END"
 
@@ -45,6 +46,8 @@ ONE_DEGREE = "100"
 MISSING_VARIABLE = "month(d) = 5 AND (route_id + w) % 7 = 0"
 MALFORMED = "month(d) = 7 AND (route_id + w) % 5 = 0"
 REFETCHED = "month(d) = 3"
+RAGGED = "month(d) = 2 AND (route_id + w) % 3 = 0"  # the last snow depth is lacking
+BAD_DATE = "month(d) = 10 AND (route_id + w) % 4 = 0"  # the first day is said to be in month 13
 # What silver should hold after all payloads: the refetched months one degree warmer.
 SILVER_SHIFT = f"CASE WHEN {REFETCHED} THEN 100 ELSE 0 END"
 
@@ -61,3 +64,15 @@ OVERLAP_FROM = "2000-11-15"
 REVISED_FROM = "2000-12-10"
 TODAY = "2001-12-31"
 FRESHNESS_TODAY = "2001-11-17"
+
+# What a later upsert changes beside new days: older months come again, and some rows go.
+LATE_AGAIN = f"d >= DATE '{OVERLAP_FROM}' OR month(d) = 3"
+GONE = "(w = 3 AND day(d) = 5) OR (w = 2 AND day(d) = 9 AND month(d) = 6)"
+
+# Raw slices that are there already: some months not at all, some cut short, some reaching into the next month.
+HELD = "(route_id + w + month(period_start)) % 5 <> 0"
+HELD_START = "CASE WHEN month(period_start) % 3 = 0 THEN {nine_later} ELSE period_start END"
+HELD_END = "CASE WHEN month(period_start) % 4 = 0 THEN {ten_later} ELSE period_end END"
+WANTED_FROM, WANTED_TO = "1995-02-10", "1998-11-20"
+MID_FROM, MID_TO = "1996-01-17", "1997-03-11"
+PUSHED_FROM = "1998-01-01"

@@ -16,16 +16,18 @@ from alpenglow import config as c
 from alpenglow.operators import profile as prof
 from alpenglow.operators import quality as dq
 from alpenglow.operators import tables as tb
-from alpenglow.operators.flatten import latest_fetch, quarantine, transform_silver
+from alpenglow.operators.flatten import explode_payloads, latest_fetch, quarantine, transform_silver
 from alpenglow.plans import conditions as cond
 from alpenglow.plans import medallion as md
 from alpenglow.plans import summit as sm
 from alpenglow.plans.gradient import elevation_gradient
-from alpenglow.schemas import PAYLOAD
+from alpenglow.plans.upkeep import follow_changes
+from alpenglow.schemas import FETCHED, PAYLOAD
 from alpenglow.session import shared_folder
 from alpenglow.sources.archive import FileTransport, fetch_payloads
+from alpenglow.sources.datasource import read_archive
 from alpenglow.sources.files import scan_file
-from alpenglow.sources.planner import month_slices, request_manifest, with_load_range
+from alpenglow.sources.planner import missing_ranges, month_slices, request_manifest, with_load_range
 from alpenglow.streaming.silver import stream_silver
 
 KEYS = ["route_id", "waypoint_name", "date"]
@@ -66,9 +68,11 @@ def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return request_manifest(fx.waypoints(spark, sf_dir).join(load_range(spark, sf_dir), "route_id"))
 
 
-def stored_archive(raw: DataFrame, folder: str) -> FileTransport:
-    """Keep payloads where FileTransport finds them: one directory per route, a route's rows possibly in many files."""
-    stored = raw.select("route_id", "waypoint_name", "period_start", "response_json")
+def stored_archive(spark: SparkSession, sf_dir: str, folder: str) -> FileTransport:
+    """Keep the record's payloads where FileTransport finds them: one directory per route, a route's rows possibly in many
+    files."""
+    slices = month_slices(with_load_range(fx.waypoints(spark, sf_dir), c.NO_WATERMARK, RECORD))
+    stored = fx.archive_slices(fx.clean_raw(spark, sf_dir), slices)
     stored.hint("rebalance", "route_id").write.partitionBy("route_id").parquet(f"{folder}/archive")
     return FileTransport(f"{folder}/archive", by="route_id")
 
@@ -78,15 +82,65 @@ def with_day_count(raw: DataFrame) -> DataFrame:
     return raw.withColumn("n_days", days)
 
 
-def archive_source_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    transport = stored_archive(fx.clean_raw(spark, sf_dir), shared_folder(spark))
-    ranged = with_load_range(fx.waypoints(spark, sf_dir), c.NO_WATERMARK, RECORD)
-    rows = fetch_payloads(request_manifest(ranged), transport, RECORD.requests_per_task)
+def _record_manifest(spark: SparkSession, sf_dir: str, settings: c.LoadSettings = RECORD) -> DataFrame:
+    return request_manifest(with_load_range(fx.waypoints(spark, sf_dir), c.NO_WATERMARK, settings))
+
+
+def _payload_counts(rows: DataFrame) -> DataFrame:
     return with_day_count(rows).groupBy("route_id", "waypoint_name", "elevation").agg(
         F.count(F.lit(1)).alias("n_payloads"), F.sum("n_days").alias("n_days")
     )
 
 
+def archive_source_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    transport = stored_archive(spark, sf_dir, shared_folder(spark))
+    return _payload_counts(fetch_payloads(_record_manifest(spark, sf_dir), transport, RECORD.requests_per_task))
+
+
+def _archive_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_folder(spark)
+    transport = stored_archive(spark, sf_dir, folder)
+    return read_archive(spark, _record_manifest(spark, sf_dir), transport, f"{folder}/manifest", RECORD.requests_per_task)
+
+
+def archive_datasource(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The archive as a table that a query reads."""
+    return _payload_counts(_archive_table(spark, sf_dir))
+
+
+def archive_datasource_pushed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The source asks only for what the filter wants."""
+    wanted = F.col("waypoint_name").isin(c.GOUTER, c.SUMMIT) & (F.col("period_start") >= F.lit(m.PUSHED_FROM).cast("date"))
+    return _payload_counts(_archive_table(spark, sf_dir).filter(wanted))
+
+
+def archive_mid_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A range that begins and ends inside a month: the stored months are clipped to it."""
+    transport = stored_archive(spark, sf_dir, shared_folder(spark))
+    settings = replace(RECORD, start=date.fromisoformat(m.MID_FROM), fixed_end=date.fromisoformat(m.MID_TO))
+    rows = fetch_payloads(_record_manifest(spark, sf_dir, settings), transport, RECORD.requests_per_task)
+    return explode_payloads(rows).groupBy("route_id", "waypoint_name").agg(
+        F.count(F.lit(1)).alias("n_days"), F.min("date").alias("first_day"), F.max("date").alias("last_day"))
+
+
+def missing_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What to ask for beside the slices that are there."""
+    wanted = fx.waypoints(spark, sf_dir).withColumns({
+        "load_start": F.lit(m.WANTED_FROM).cast("date"), "load_end": F.lit(m.WANTED_TO).cast("date")})
+    return request_manifest(missing_ranges(wanted, fx.held_slices(spark, sf_dir))).select(
+        "route_id", "waypoint_name", "period_start", "period_end", "start_date", "end_date")
+
+
+def slice_commits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load that commits month by month: the raw rows, and how far the watermark went."""
+    tables, folder = new_tables(spark)
+    transport = stored_archive(spark, sf_dir, folder)
+    settings = replace(RECORD, start=date(1996, 1, 10), fixed_end=date(1996, 4, 20), commit="slice")
+    md.load_bronze(spark, tables, fx.waypoints(spark, sf_dir), transport, settings)
+    mark = tb.read_watermark(spark, tables.watermark, "bronze")
+    return _slices(spark.table(tables.raw)).withColumn("watermark", F.lit(mark))
+
+
 def appended_raw(spark: SparkSession, sf_dir: str) -> md.Tables:
     tables, _ = new_tables(spark)
     raw = fx.clean_raw(spark, sf_dir)
@@ -175,6 +229,49 @@ def captured_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(f"{tables.weather}_changes").drop(tb.COMMIT)
 
 
+def changed_weather(spark: SparkSession, sf_dir: str, between: Callable[[md.Tables], None] = lambda tables: None) -> md.Tables:
+    """A weather table with three captured versions: a first part; new and revised days; older months that come again,
+    and rows that go. `between` is called after the first."""
+    tables, _ = new_tables(spark)
+    warm = fx.weather(spark, sf_dir, m.ONE_DEGREE)
+    gone = F.expr(m.GONE.replace("w =", f"{m.WAYPOINT} =").replace("(d)", "(date)"))
+    tb.upsert(base_weather(spark, sf_dir), tables.weather, KEYS, capture_changes=True)
+    between(tables)
+    tb.upsert(warm.filter(F.col("date") >= F.lit(OVERLAP)), tables.weather, KEYS, capture_changes=True)
+    again = warm.filter((F.month("date") == 3) & (F.col("date") < F.lit(OVERLAP)) & ~gone)
+    tb.upsert(again, tables.weather, KEYS, capture_changes=True, gone=warm.filter(gone).select(*KEYS))
+    return tables
+
+
+def weather_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table at each of its versions, from its rows and its changes."""
+    table = changed_weather(spark, sf_dir).weather
+    states = [tb.as_of(spark, table, KEYS, at).withColumn("version", F.lit(at)) for at in range(3)]
+    return states[0].unionByName(states[1]).unionByName(states[2])
+
+
+def weather_validity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tb.validity(spark, changed_weather(spark, sf_dir).weather, KEYS)
+
+
+def _diverted(spark: SparkSession, sf_dir: str) -> md.Tables:
+    tables, _ = new_tables(spark)
+    md.append_raw(fx.damaged_raw(spark, sf_dir), tables.raw)
+    md.load_silver(spark, tables, divert=True)
+    return tables
+
+
+def load_rejected_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a load puts aside of damaged payloads."""
+    return spark.table(_diverted(spark, sf_dir).rejected).select(
+        "route_id", "waypoint_name", "period_start", "position", "reason", "missing_variables", "time")
+
+
+def load_good_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the same load keeps."""
+    return spark.table(_diverted(spark, sf_dir).weather).drop(tb.MONTH, FETCHED)
+
+
 def late_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Older slices fetched again after silver had passed them, taken in by ingestion day."""
     tables, _ = new_tables(spark)
@@ -185,7 +282,7 @@ def late_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
     later = F.lit("2002-01-31").cast("timestamp")
     md.append_raw(fx.raw_rows(again).withColumn("ingestion_timestamp", later), tables.raw)
     md.load_silver(spark, tables, late_periods=True)
-    return spark.table(tables.weather).drop(tb.MONTH)
+    return spark.table(tables.weather).drop(tb.MONTH, FETCHED)
 
 
 # --- Gold -------------------------------------------------------------------------------------------------------------
@@ -283,6 +380,42 @@ def seasonal_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cond.seasonal_summary(weather, sm.summit_window(weather))
 
 
+def seasonal_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads; the second renews the month states it touches and merges the calendar months they fall into."""
+    tables, _ = new_tables(spark)
+    summit, states, seasonal = (tables.gold(x) for x in ("summit_window", "seasonal_states", "seasonal_summary"))
+    months = None
+    for rows in (base_weather(spark, sf_dir), fx.weather(spark, sf_dir).filter(F.col("date") > F.lit(CUTOFF))):
+        tb.upsert(rows, tables.weather, KEYS)
+        weather = spark.table(tables.weather)
+        renewed = sm.refresh_summit_window(weather, summit)
+        if months is not None:
+            months = [x for x in tb.table_months(spark, tables.weather) if x >= renewed.min_date.replace(day=1)]
+        cond.refresh_seasonal(weather, spark.table(summit), states, seasonal, months)
+        months = []
+    return spark.table(seasonal)
+
+
+def rolling_single_route(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One long series, rolled in blocks of days."""
+    return sm.rolling_conditions(sm.route_pivot(fx.weather_single_route(spark, sf_dir))).select(
+        "date", "gouter_3d_temp_mean", "gouter_30d_temp_max", "route_3d_snowfall", "route_30d_snow_depth",
+        "route_7d_snow_depth_change",
+    )
+
+
+def followed(models: tuple[str, ...], table: str) -> Callable[[SparkSession, str], DataFrame]:
+    """A model kept up from the weather table's changes, after new days, late slices and deletions."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        tables = changed_weather(spark, sf_dir, lambda tables: follow_changes(spark, tables, models))
+        follow_changes(spark, tables, models)
+        rows = spark.table(tables.gold(table))
+        return rows if table in ("monthly_conditions", "seasonal_summary") else rows.drop(tb.MONTH)
+
+    return query
+
+
 # --- Quality and profiles ---------------------------------------------------------------------------------------------
 
 
@@ -328,6 +461,12 @@ def dq_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def dq_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of days without a row, of every waypoint."""
+    first, last = date(1995, 1, 1), date(2001, 11, 30)
+    return dq.gaps(fx.weather(spark, sf_dir), fx.waypoints(spark, sf_dir), ["route_id", "waypoint_name"], first, last)
+
+
 def dq_populated(spark: SparkSession, sf_dir: str) -> DataFrame:
     weather = fx.weather(spark, sf_dir)
     return dq.has_rows({
@@ -354,6 +493,21 @@ def profile_monthly_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prof.profile_sketches(fx.weather(spark, sf_dir), c.MEASURES, "1 month")
 
 
+def profile_rollup_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches stored by day, merged to months, and judged by all rows."""
+    tables, _ = new_tables(spark)
+    weather, stored = fx.weather(spark, sf_dir), tables.names.table("meta", "weather_sketches")
+    tb.write_by_month(tb.with_month(prof.day_sketches(weather, c.MEASURES), "window_start"), stored, [])
+    metrics = prof.sketched_metrics(prof.roll_up(spark.table(stored), "1 month"))
+    return prof.within_bounds(metrics, weather, c.MEASURES, "1 month")
+
+
+def drift_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far each month's distribution is from the one before it."""
+    ranges = {name: ends for name, ends in c.ACCEPTED_RANGES.items() if name != "elevation"}
+    return prof.drift_distribution(prof.histograms(fx.weather(spark, sf_dir), ranges, "1 month"))
+
+
 def drift_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prof.drift(profile_monthly(spark, sf_dir))
 
@@ -369,13 +523,27 @@ def stream_silver_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     for delivered in (fx.faulty_raw(spark, sf_dir), fx.refetched_raw(spark, sf_dir)):
         delivered.write.mode("append").parquet(landing)
         stream_silver(spark, landing, schema, tables, checkpoint).awaitTermination()
-    return spark.table(tables.weather).drop(tb.MONTH)
+    return spark.table(tables.weather).drop(tb.MONTH, FETCHED)
+
+
+def streamed_in(files_per_batch: int) -> Callable[[SparkSession, str], DataFrame]:
+    """The refetches land before the fetches they replace, in several files, so many of one micro-batch each."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        tables, folder = new_tables(spark)
+        for delivered, files in ((fx.refetched_raw(spark, sf_dir), 1), (fx.faulty_raw(spark, sf_dir), 2)):
+            delivered.repartition(files).write.mode("append").parquet(f"{folder}/landing")
+        schema = fx.faulty_raw(spark, sf_dir).schema
+        stream_silver(spark, f"{folder}/landing", schema, tables, f"{folder}/progress", files_per_batch).awaitTermination()
+        return spark.table(tables.weather).drop(tb.MONTH, FETCHED)
+
+    return query
 
 
 def medallion_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two runs: the record up to the cutoff, then the rest incrementally."""
     tables, folder = new_tables(spark)
-    transport = stored_archive(fx.clean_raw(spark, sf_dir), folder)
+    transport = stored_archive(spark, sf_dir, folder)
     places = fx.waypoints(spark, sf_dir)
     for end in (CUTOFF, RECORD.fixed_end):
         settings = replace(RECORD, fixed_end=end, today=date.fromisoformat(m.FRESHNESS_TODAY))
@@ -402,6 +570,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "plan_month_slices": plan_month_slices,
         "request_manifest": manifest,
         "archive_source_payloads": archive_source_payloads,
+        "archive_datasource": archive_datasource,
+        "archive_datasource_pushed": archive_datasource_pushed,
+        "archive_mid_month": archive_mid_month,
+        "missing_requests": missing_requests,
+        "slice_commits": slice_commits,
         "bronze_append": bronze_append,
         "incremental_scan": incremental_scan,
         "watermark_roundtrip": watermark_roundtrip,
@@ -412,6 +585,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "create_if_absent": create_if_absent,
         "change_feed": change_feed,
         "captured_changes": captured_changes,
+        "weather_as_of": weather_as_of,
+        "weather_validity": weather_validity,
+        "load_rejected_days": load_rejected_days,
+        "load_good_days": load_good_days,
         "late_periods": late_periods,
         "daily_conditions": daily_conditions,
         "elevation_gradient": gradient,
@@ -428,18 +605,29 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "summit_window_incremental": summit_window_incremental,
         "monthly_conditions": monthly_conditions,
         "seasonal_summary": seasonal_summary,
+        "seasonal_incremental": seasonal_incremental,
+        "rolling_single_route": rolling_single_route,
+        "followed_monthly": followed(("monthly",), "monthly_conditions"),
+        "followed_gradient": followed(("gradient",), "elevation_gradient"),
+        "followed_summit": followed(("summit",), "summit_window"),
+        "followed_seasonal": followed(("summit", "seasonal"), "seasonal_summary"),
         "dq_not_null": dq_not_null,
         "dq_accepted_values": dq_accepted_values,
         "dq_accepted_range": dq_accepted_range,
         "dq_unique": dq_unique,
         "dq_completeness": dq_completeness,
+        "dq_gaps": dq_gaps,
         "dq_populated": dq_populated,
         "freshness": freshness,
         "profile_daily": profile_daily,
         "profile_monthly": profile_monthly,
         "profile_monthly_sketches": profile_monthly_sketches,
+        "profile_rollup_bounds": profile_rollup_bounds,
         "drift_monthly": drift_monthly,
+        "drift_distribution": drift_distribution,
         "stream_silver_upsert": stream_silver_upsert,
+        "stream_small_batches": streamed_in(1),
+        "stream_one_batch": streamed_in(50),
         "medallion_end_to_end": medallion_end_to_end,
         "file_scan_csv": file_scan_csv,
         "file_scan_json": file_scan_json,

@@ -172,10 +172,15 @@ class LoadSettings:
     requests_per_task: int = 500
     late_periods: bool = False  # take in re-fetched slices that start before the silver watermark
     capture_changes: bool = False  # keep the row changes of every weather upsert
+    follow_changes: bool = False  # keep the models up from these changes, so that late slices reach all of them
+    divert: bool = True  # write unusable days to the table of rejected days
+    resume: str = "watermark"  # "watermark": ask for the days after it; "gaps": for the days no landed slice holds
 
     def __post_init__(self):
         if self.commit not in ("load", "slice"):
             raise ValueError(f"commit must be 'load' or 'slice', not {self.commit!r}")
+        if self.resume not in ("watermark", "gaps"):
+            raise ValueError(f"resume must be 'watermark' or 'gaps', not {self.resume!r}")
 
 
 @dataclass(frozen=True)

@@ -9,18 +9,19 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import date
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from alpenglow.config import NO_WATERMARK, TableNames
 from alpenglow.functions.dates import month_of
-from alpenglow.schemas import WATERMARK
+from alpenglow.schemas import FETCHED, WATERMARK
 from alpenglow.session import conf_scope
 
 MONTH = "month"
@@ -73,10 +74,14 @@ def after_each(source: DataFrame, cutoffs: DataFrame, routes: Sequence[str], nam
     return joined.filter(F.col(name).isNull() | (F.col("date") > F.col(name))).drop(name)
 
 
-def behind(source: DataFrame, cutoffs: DataFrame, routes: Sequence[str], name: str = "latest") -> DataFrame:
-    """One row for each route with source days after its cutoff: the route, its cutoff (null: not in the target) and its
-    first source day. Both sides are aggregated before they meet."""
-    ends = source.groupBy(*routes).agg(F.min("date").alias("first_day"), F.max("date").alias("last_day"))
+def route_ends(source: DataFrame, routes: Sequence[str]) -> DataFrame:
+    """One row a route: its first and last day."""
+    return source.groupBy(*routes).agg(F.min("date").alias("first_day"), F.max("date").alias("last_day"))
+
+
+def behind(ends: DataFrame, cutoffs: DataFrame, routes: Sequence[str], name: str = "latest") -> DataFrame:
+    """One row for each route that ends after its cutoff: the route, its cutoff (null: not in the target) and its first
+    day. Both sides have a row a route."""
     return ends.join(cutoffs, list(routes), "left").filter(
         F.col(name).isNull() | (F.col("last_day") > F.col(name))).drop("last_day")
 
@@ -120,7 +125,8 @@ class UpsertResult:
 
 
 def upsert(
-    batch: DataFrame, table: str, keys: Sequence[str], day: str = "date", capture_changes: bool = False
+    batch: DataFrame, table: str, keys: Sequence[str], day: str = "date", capture_changes: bool = False,
+    newer_by: str | None = None, gone: DataFrame | None = None, progress_by: Sequence[str] = (),
 ) -> UpsertResult:
     """Update the rows of `table` that match the batch on `keys`, insert the others; create the table on first use.
 
@@ -134,7 +140,11 @@ def upsert(
     which the next upsert of the table does first. Every step can be repeated with the same result.
 
     With capture_changes the row changes of each later upsert (the first one is the table itself) are kept in
-    `<table>_changes`, one partition per upsert.
+    `<table>_changes`, one partition per upsert, numbered in their order.
+
+    newer_by names a column that orders the states of a row: a batch row then replaces only a row whose value is smaller
+    or unknown. gone holds keys whose rows are deleted (those of the batch come back with the batch). progress_by names
+    the groups whose first and last day of this batch are noted, for `progress`.
     """
     spark = batch.sparkSession
     recover(spark, table, keys)
@@ -142,26 +152,42 @@ def upsert(
     batch = with_month(batch, day).observe(
         seen, F.count(F.lit(1)).alias("rows"), F.min(day).alias("min_date"), F.max(day).alias("max_date")
     )
-    commit = uuid.uuid4().hex
-    staging = _Staging(table, commit)
+    staging = _Staging(table, _new_commit(spark, table, capture_changes))
     append(batch, staging.batch)
     staged = spark.table(staging.batch)
+    created = not spark.catalog.tableExists(table)
     try:
         months = _checked_months(staged, keys)
-        if not spark.catalog.tableExists(table):
+        if created:
             write_by_month(staged, table, keys)
-            return UpsertResult(created=True, **seen.get)
-        # Months the target does not have yet lose nothing if a write breaks off, so they need no merged copy. With
-        # change capture they take the same way as the others, which ties the changes to the write.
-        present = months if capture_changes else months & _partition_months(spark, table)
-        absent = months - present
-        if absent:
-            replace_partitions(staged.filter(_in_months(absent)).hint("rebalance", MONTH), table, keys)
-        if present:
-            _merge_months(staged.filter(_in_months(present)), present, staging, table, keys, capture_changes)
+        else:
+            if newer_by is not None and newer_by not in spark.table(table).columns:
+                raise ValueError(f"{table} has no column {newer_by} to tell newer rows by")
+            there = _partition_months(spark, table)
+            lost = None
+            if gone is not None and there:
+                lost_keys = with_month(gone.select(*dict.fromkeys([*keys, day])).filter(F.col(day).isNotNull()), day)
+                append(lost_keys.filter(_in_months(there)), staging.gone)  # other months have nothing to lose
+                lost = spark.table(staging.gone)
+                months |= {row[MONTH] for row in lost.select(MONTH).distinct().collect()}
+            # Months the target does not have yet lose nothing if a write breaks off, so they need no merged copy. With
+            # change capture they take the same way as the others, which ties the changes to the write.
+            present = months if capture_changes else months & there
+            absent = months - present
+            if absent:
+                replace_partitions(staged.filter(_in_months(absent)).hint("rebalance", MONTH), table, keys)
+            if present:
+                rows = staged.filter(_in_months(present))
+                if newer_by is not None:
+                    rows = _only_newer(rows, spark.table(table).filter(_in_months(present)), keys, newer_by, staging)
+                _merge_months(rows, present, staging, table, keys, capture_changes, lost)
+            spark.sql(f"DROP TABLE IF EXISTS {staging.gone}")
+        if progress_by:
+            note_progress(staged, table, progress_by, day)
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {staging.batch}")
-    return UpsertResult(created=False, **seen.get)
+        spark.sql(f"DROP TABLE IF EXISTS {staging.newer}")
+    return UpsertResult(created=created, **seen.get)
 
 
 COMMIT = "_commit"
@@ -178,6 +204,14 @@ class _Staging:
     def batch(self) -> str:
         return f"{self.table}__batch_{self.commit}"
 
+    @property
+    def newer(self) -> str:
+        return f"{self.table}__newer_{self.commit}"
+
+    @property
+    def gone(self) -> str:
+        return f"{self.table}__gone_{self.commit}"
+
     @property
     def changes(self) -> str:
         return f"{self.table}__changes_{self.commit}"
@@ -187,31 +221,57 @@ class _Staging:
         return f"{self.table}__merged_{self.commit}"
 
 
+def _new_commit(spark: SparkSession, table: str, captured: bool) -> str:
+    """32 hex digits: the number of a captured upsert (from 1, in their order), then chance."""
+    done = commits(spark, table) if captured else []
+    return f"{version_of(done[-1]) + 1 if done else int(captured):012x}{uuid.uuid4().hex[:20]}"
+
+
+def _only_newer(
+    rows: DataFrame, target: DataFrame, keys: Sequence[str], newer_by: str, staging: _Staging
+) -> DataFrame:
+    """The rows that are newer than the target's row of their key, staged since they are read several times."""
+    held = target.select(MONTH, *keys, F.col(newer_by).alias("__held"))
+    newer = F.col("__held").isNull() | (F.col(newer_by) > F.col("__held"))
+    append(rows.join(held, [MONTH, *keys], "left").filter(newer).drop("__held"), staging.newer)
+    return rows.sparkSession.table(staging.newer)
+
+
 def _merge_months(
-    staged: DataFrame, months: set[date], staging: _Staging, table: str, keys: Sequence[str], capture_changes: bool
+    staged: DataFrame, months: set[date], staging: _Staging, table: str, keys: Sequence[str], capture_changes: bool,
+    gone: DataFrame | None = None,
 ) -> None:
     spark = staged.sparkSession
     target = spark.table(table).filter(_in_months(months))
-    batch_keys = staged.select(MONTH, *keys)
+    replaced = staged.select(MONTH, *keys)
+    if gone is not None:
+        replaced = replaced.unionByName(gone.select(MONTH, *keys)).distinct()
     if capture_changes:
-        before = target.join(batch_keys, [MONTH, *keys], "left_semi").drop(MONTH)
+        before = target.join(replaced, [MONTH, *keys], "left_semi").drop(MONTH, FETCHED)
         feed = change_feed(before, staged.select(*before.columns), keys)
         append(feed.withColumn(COMMIT, F.lit(staging.commit)), staging.changes)
-    kept = target.join(batch_keys, [MONTH, *keys], "left_anti")
+    kept = target.join(replaced, [MONTH, *keys], "left_anti")
     append(kept.unionByName(staged).hint("rebalance", MONTH), staging.merged, partition_by=[MONTH])
     _apply(spark, staging, table, keys)
 
 
 def _apply(spark: SparkSession, staging: _Staging, table: str, keys: Sequence[str]) -> None:
     replace_partitions(spark.table(staging.merged), table, keys)
+    if spark.catalog.tableExists(staging.gone):
+        # A month that lost all its rows is in no merged partition, so nothing has replaced it.
+        touched = {row[MONTH] for row in spark.table(staging.gone).select(MONTH).distinct().collect()}
+        emptied = (touched - _partition_months(spark, staging.merged)) & _partition_months(spark, table)
+        for month in sorted(emptied):
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({MONTH} = DATE'{month}')")
     if spark.catalog.tableExists(staging.changes):
-        changes, feed = spark.table(staging.changes), f"{table}_changes"
+        changes, feed = spark.table(staging.changes), changes_table(table)
         if spark.catalog.tableExists(feed):
             replace_partitions(changes, feed)
         else:
             append(changes, feed, partition_by=[COMMIT])
     # The merged table goes last: as long as it exists the upsert counts as unfinished.
     spark.sql(f"DROP TABLE IF EXISTS {staging.changes}")
+    spark.sql(f"DROP TABLE IF EXISTS {staging.gone}")
     spark.sql(f"DROP TABLE IF EXISTS {staging.merged}")
 
 
@@ -220,7 +280,7 @@ def recover(spark: SparkSession, table: str, keys: Sequence[str] = ()) -> int:
     others; returns how many were finished. One writer at a time: staging of an upsert that still runs goes as well."""
     database, name = table.rsplit(".", 1)
     # Only names that upserts of this table make; the catalog may have put them in lower case.
-    own = re.compile(rf"{re.escape(name)}__(batch|changes|merged)_([0-9a-f]{{32}})", re.IGNORECASE)
+    own = re.compile(rf"{re.escape(name)}__(batch|newer|gone|changes|merged)_([0-9a-f]{{32}})", re.IGNORECASE)
     listed = (found.name for found in spark.catalog.listTables(database) if not found.isTemporary)
     left = {found: kind for found in listed if (kind := own.fullmatch(found))}
     finished = [_Staging(table, kind[2]) for kind in left.values() if kind[1].lower() == "merged"]
@@ -231,6 +291,26 @@ def recover(spark: SparkSession, table: str, keys: Sequence[str] = ()) -> int:
     return len(finished)
 
 
+@contextmanager
+def held(df: DataFrame, table: str) -> Iterator[DataFrame]:
+    """A frame that several reads share, kept beside `table` for as long; a crash leaves it to `drop_held`."""
+    name = f"{table}__held_{uuid.uuid4().hex}"
+    append(df, name)
+    try:
+        yield df.sparkSession.table(name)
+    finally:
+        df.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def drop_held(spark: SparkSession, table: str) -> None:
+    """Drop what a run that broke off has left beside a table; not while another holds something there."""
+    database, name = table.rsplit(".", 1)
+    own = re.compile(rf"{re.escape(name)}__held_[0-9a-f]{{32}}", re.IGNORECASE)
+    for found in spark.catalog.listTables(database):
+        if not found.isTemporary and own.fullmatch(found.name):
+            spark.sql(f"DROP TABLE IF EXISTS {database}.{found.name}")
+
+
 def write_by_month(df: DataFrame, table: str, keys: Sequence[str]) -> None:
     """Create a month-partitioned table. Rebalancing gives each month few large files and lets AQE split a month that
     is larger than the others."""
@@ -278,29 +358,63 @@ def _partition_months(spark: SparkSession, table: str) -> set[date | None]:
     return {None if value in ("null", "__HIVE_DEFAULT_PARTITION__") else date.fromisoformat(value) for value in values}
 
 
+# --- Progress by group ------------------------------------------------------------------------------------------------
+
+
+def progress_table(table: str) -> str:
+    return f"{table}_progress"
+
+
+def note_progress(rows: DataFrame, table: str, groups: Sequence[str], day: str = "date") -> None:
+    """Note the first and last day that these rows add to each group. Notes are only appended, so a run that is repeated
+    after a crash adds the same ones again and nothing is ever half replaced."""
+    ends = rows.filter(F.col(day).isNotNull()).groupBy(*groups).agg(
+        F.min(day).alias("first_day"), F.max(day).alias("last_day"))
+    append(ends.coalesce(1), progress_table(table))
+
+
+def progress(spark: SparkSession, table: str, groups: Sequence[str], day: str = "date") -> DataFrame:
+    """One row a group: the first and last day its rows have reached, without reading the table. A table that was never
+    noted is scanned once."""
+    if not spark.catalog.tableExists(progress_table(table)):
+        note_progress(spark.table(table), table, groups, day)
+    return spark.table(progress_table(table)).groupBy(*groups).agg(
+        F.min("first_day").alias("first_day"), F.max("last_day").alias("last_day"))
+
+
+def table_months(spark: SparkSession, table: str) -> list[date]:
+    """The months a table has rows of, as the catalog knows them."""
+    return sorted(month for month in _partition_months(spark, table) if month is not None)
+
+
 # --- Incremental models -----------------------------------------------------------------------------------------------
 
 
 def refresh_new_dates(
-    source: DataFrame, table: str, keys: Sequence[str], model: Callable[[DataFrame], DataFrame]
+    source: DataFrame, table: str, keys: Sequence[str], model: Callable[[DataFrame], DataFrame],
+    ends: DataFrame | None = None,
 ) -> UpsertResult:
     """Run a per-day model over the source days after the target's latest day and upsert the result.
 
     Each route has its own latest day: a route that the target lacks runs in full, one that lags from where it stopped. The
     earliest day needed by a route that has new days prunes the read. A missing or empty target means a full run.
+
+    The target's latest days come from its progress notes. `ends` are those of the source (first_day and last_day a
+    route); without them its key columns are aggregated.
     """
     spark = source.sparkSession
     routes = [name for name in ("route_id",) if name in source.columns]
     if not spark.catalog.tableExists(table):
-        return upsert(model(source), table, keys)
+        return upsert(model(source), table, keys, progress_by=routes)
     if not routes:
         return upsert(model(since(source, table_max_date(spark, table))), table, keys)
-    cutoffs = latest_by_route(spark.table(table), routes)
-    open_routes = behind(source, cutoffs, routes)
+    cutoffs = progress(spark, table, routes).select(*routes, F.col("last_day").alias("latest"))
+    open_routes = behind(route_ends(source, routes) if ends is None else ends, cutoffs, routes)
     earliest = open_routes.agg(F.min(F.coalesce("latest", "first_day"))).first()[0]
     if earliest is None:
         return upsert(model(source.limit(0)), table, keys)
-    return upsert(model(after_each(since(source, earliest, inclusive=True), cutoffs, routes)), table, keys)
+    fresh = after_each(since(source, earliest, inclusive=True), cutoffs, routes)
+    return upsert(model(fresh), table, keys, progress_by=routes)
 
 
 # --- Change feed ------------------------------------------------------------------------------------------------------
@@ -336,3 +450,84 @@ def change_feed(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> Dat
         .select(*keys, F.inline(changes))
         .select(*[F.col(c) if c in keys else F.col(f"image.{c}") for c in columns], "_change_type")
     )
+
+
+# --- The kept changes of a table --------------------------------------------------------------------------------------
+
+
+def changes_table(table: str) -> str:
+    return f"{table}_changes"
+
+
+def version_of(commit: str) -> int:
+    """The number of a captured upsert, which its name begins with."""
+    return int(commit[:12], 16)
+
+
+def commits(spark: SparkSession, table: str) -> list[str]:
+    """The captured upserts of a table in their order; the catalog knows them, no rows are read."""
+    if not spark.catalog.tableExists(changes_table(table)):
+        return []
+    parts = spark.sql(f"SHOW PARTITIONS {changes_table(table)}").collect()
+    return sorted(row.partition.removeprefix(f"{COMMIT}=") for row in parts)
+
+
+def version(spark: SparkSession, table: str) -> int:
+    """How many captured upserts have followed the first one."""
+    done = commits(spark, table)
+    return version_of(done[-1]) if done else 0
+
+
+def changes_between(spark: SparkSession, table: str, after: int, until: int | None = None) -> DataFrame:
+    """Row changes of the versions after `after` up to `until`, with the column `version`. Only the partitions of these
+    upserts are read."""
+    chosen = [x for x in commits(spark, table) if after < version_of(x) and (until is None or version_of(x) <= until)]
+    changes = spark.table(changes_table(table)).filter(F.col(COMMIT).isin(chosen))
+    return changes.withColumn("version", F.conv(F.substring(COMMIT, 1, 12), 16, 10).cast("bigint")).drop(COMMIT)
+
+
+def net_changes(changes: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """What several versions add up to: of each key the image before its first change and the one after its last. Images
+    that came and went in between are left out."""
+    of_key = Window.partitionBy(*keys)
+    ends = changes.withColumns({"__first": F.min("version").over(of_key), "__last": F.max("version").over(of_key)})
+    old, new = (F.col("_change_type").isin(*kinds) for kinds in (("delete", "update_preimage"), ("insert", "update_postimage")))
+    return ends.filter((old & (F.col("version") == F.col("__first"))) | (new & (F.col("version") == F.col("__last")))).drop(
+        "__first", "__last")
+
+
+def as_of(spark: SparkSession, table: str, keys: Sequence[str], at: int) -> DataFrame:
+    """The rows of a table as they were at a version (0: after the first upsert), from its rows and its kept changes.
+
+    The first change of a key after that version says what was there: nothing before an insert, the old image before an
+    update or a deletion. Only the changes since then are read and ranked (one row a key after the limit), and the
+    table is read once. Rows with a NULL in their key have no changes of their own and count as they are now.
+    """
+    current = spark.table(table).drop(MONTH, FETCHED)
+    if at >= version(spark, table):
+        return current
+    old = changes_between(spark, table, at).filter(F.col("_change_type") != "update_postimage")
+    first = Window.partitionBy(*keys).orderBy("version")
+    old = old.withColumn("__n", F.row_number().over(first)).filter(F.col("__n") == 1)
+    restored = old.filter(F.col("_change_type") != "insert").select(*current.columns)
+    return current.join(old.select(*keys), list(keys), "left_anti").unionByName(restored)
+
+
+def validity(spark: SparkSession, table: str, keys: Sequence[str]) -> DataFrame:
+    """Every state every row has had, with valid_from (the version that brought it; null: the first upsert) and valid_to
+    (the version that ended it; null: it still holds). A key's group is as large as it has had changes."""
+    current = spark.table(table).drop(MONTH, FETCHED)
+    columns = current.columns
+    if not commits(spark, table):
+        return current.withColumns({name: F.lit(None).cast("bigint") for name in ("valid_from", "valid_to")})
+    changes = changes_between(spark, table, 0)
+    begins = F.col("_change_type").isin("insert", "update_postimage")
+    events = changes.select(
+        *columns, F.when(begins, F.col("version")).alias("begun"), (~begins).alias("is_state"), "version"
+    ).unionByName(current.withColumns({
+        "begun": F.lit(None).cast("bigint"), "is_state": F.lit(True), "version": F.lit(None).cast("bigint")}))
+    # Within a version the old image ends before the new one begins; what holds now ends last.
+    before = Window.partitionBy(*keys).orderBy(F.col("version").asc_nulls_last(), F.col("is_state").desc()).rowsBetween(
+        Window.unboundedPreceding, -1)
+    states = events.withColumn("valid_from", F.last("begun", ignorenulls=True).over(before)).filter("is_state")
+    return states.select(*columns, "valid_from", F.col("version").alias("valid_to"))

@@ -15,17 +15,17 @@ from alpenglow.config import (
     ACCEPTED_RANGES, NOT_NULL, WAYPOINT_NAMES, LoadSettings, TableNames,
 )
 from alpenglow.operators import quality
-from alpenglow.operators.flatten import transform_silver
+from alpenglow.operators.flatten import good_days, latest_fetch, rejected_days, split_days, transform_silver
 from alpenglow.operators.tables import (
-    MONTH, UpsertResult, append, read_watermark, refresh_new_dates, replace_partitions, since, upsert, write_by_month,
-    write_watermark,
+    MONTH, UpsertResult, append, drop_held, held, progress, read_watermark, refresh_new_dates, replace_partitions, since,
+    table_months, upsert, write_by_month, write_watermark,
 )
-from alpenglow.plans.conditions import monthly_conditions, publish_table_view, seasonal_summary
+from alpenglow.plans.conditions import monthly_conditions, publish_table_view, refresh_seasonal
 from alpenglow.plans.gradient import elevation_gradient
 from alpenglow.plans.summit import refresh_summit_window
-from alpenglow.schemas import route_key
+from alpenglow.schemas import FETCHED, route_key
 from alpenglow.sources.archive import Transport, fetch_payloads
-from alpenglow.sources.planner import month_slices, request_manifest, with_load_range
+from alpenglow.sources.planner import missing_ranges, month_slices, request_manifest, with_load_range
 
 PERIOD_MONTH = "period_month"
 
@@ -52,6 +52,14 @@ class Tables:
     def watermark(self) -> str:
         return self.names.table("meta", "watermark")
 
+    @property
+    def rejected(self) -> str:
+        return self.names.table("silver", "rejected_days")
+
+    @property
+    def versions(self) -> str:
+        return self.names.table("meta", "model_versions")
+
     def gold(self, model: str) -> str:
         return self.names.table("gold", model)
 
@@ -73,11 +81,22 @@ def load_bronze(
     """Fetch and append every slice after the watermark; returns the new watermark, None when nothing was due.
 
     By default all slices are one job. With commit="slice" each month is appended and its watermark written before
-    the next one starts, so a long first load resumes where it stopped.
+    the next one starts, so a long first load resumes where it stopped. With resume="gaps" the watermark only ends the
+    range: what is asked for are the days of the range, from its start on, that no landed slice of the waypoint holds.
     """
     mark = read_watermark(spark, tables.watermark, "bronze")
     due = with_load_range(spark.range(1), mark, settings)
     start, end = due.select("load_start", "load_end").first()
+    if settings.resume == "gaps":
+        ranged = waypoints.withColumns({"load_start": F.lit(settings.start), "load_end": F.lit(end)})
+        if spark.catalog.tableExists(tables.raw):
+            ranged = missing_ranges(ranged, spark.table(tables.raw))
+        with held(request_manifest(ranged), tables.raw) as manifest:
+            if manifest.isEmpty():
+                return None
+            append_raw(fetch_payloads(manifest, transport, settings.requests_per_task), tables.raw)
+        write_watermark(spark, tables.watermark, "bronze", end)
+        return end
     if start > end:
         return None
     if settings.commit == "slice":
@@ -116,15 +135,29 @@ def weather_keys(df: DataFrame) -> list[str]:
 
 
 def load_silver(
-    spark: SparkSession, tables: Tables, late_periods: bool = False, capture_changes: bool = False
+    spark: SparkSession, tables: Tables, late_periods: bool = False, capture_changes: bool = False,
+    divert: bool = False,
 ) -> UpsertResult:
-    """Flatten and upsert the new raw rows; the latest date comes from the write itself."""
+    """Flatten and upsert the new raw rows; the latest date comes from the write itself.
+
+    Rows keep the fetch they stem from. With late_periods, where older slices come again, only a newer fetch replaces a
+    row. With divert the days that cannot be used are written to the table of rejected days, with the reason, instead
+    of being padded or failing the load; payloads are read once for both.
+    """
+    drop_held(spark, tables.weather)
     raw = read_new_raw(spark, tables, late_periods)
     ingested = None
     if late_periods:
         ingested = raw.agg(F.max(F.to_date("ingestion_timestamp"))).first()[0]
-    weather = transform_silver(raw)
-    result = upsert(weather, tables.weather, weather_keys(weather), capture_changes=capture_changes)
+    how = {"capture_changes": capture_changes, "newer_by": FETCHED if late_periods else None, "progress_by": route_key(raw)}
+    if divert:
+        with held(split_days(raw), tables.weather) as days:
+            reject_days(days, tables.rejected)
+            weather = latest_fetch(good_days(days), keep_fetch=True)
+            result = upsert(weather, tables.weather, weather_keys(weather), **how)
+    else:
+        weather = transform_silver(raw, keep_fetch=True)
+        result = upsert(weather, tables.weather, weather_keys(weather), **how)
     last = result.max_date
     if late_periods and last is not None:
         last = max(last, read_watermark(spark, tables.watermark, "silver"))
@@ -133,27 +166,34 @@ def load_silver(
     return result
 
 
+def reject_days(days: DataFrame, table: str) -> int:
+    """Keep the rejected days of a split, once each however often the load runs; returns how many there are."""
+    keys = [*route_key(days), "waypoint_name", "period_end", "ingestion_timestamp", "payload_hash", "position"]
+    return upsert(rejected_days(days), table, keys, day="period_start").rows
+
+
 # --- Gold -------------------------------------------------------------------------------------------------------------
 
 
 def build_gold(spark: SparkSession, tables: Tables, changed_from: date | None = None) -> None:
     """Refresh the models. Monthly rows are recomputed from the first changed month on, the others by their own
-    incremental rule; seasonal statistics span all years and are rebuilt from columns of the summit rows."""
+    incremental rule; seasonal statistics are merged from month states, of which those that changed are renewed."""
     weather = spark.table(tables.weather)
+    routes = route_key(weather)
+    ends = progress(spark, tables.weather, routes) if routes else None
     publish_table_view(tables.weather, tables.gold("daily_conditions"), weather)
-    refresh_new_dates(weather, tables.gold("elevation_gradient"), weather_keys(weather), elevation_gradient)
-    refresh_summit_window(weather, tables.gold("summit_window"))
-    monthly, monthly_keys = tables.gold("monthly_conditions"), [*route_key(weather), "waypoint_name", "elevation"]
+    refresh_new_dates(weather, tables.gold("elevation_gradient"), weather_keys(weather), elevation_gradient, ends)
+    renewed = refresh_summit_window(weather, tables.gold("summit_window"), ends=ends)
+    monthly, monthly_keys = tables.gold("monthly_conditions"), [*routes, "waypoint_name", "elevation"]
     if not spark.catalog.tableExists(monthly):
         write_by_month(monthly_conditions(weather), monthly, monthly_keys)
     elif changed_from is not None:
         changed = since(weather, changed_from.replace(day=1), inclusive=True)
         replace_partitions(monthly_conditions(changed).hint("rebalance", MONTH), monthly, monthly_keys)
-    append(
-        seasonal_summary(weather, spark.table(tables.gold("summit_window"))),
-        tables.gold("seasonal_summary"),
-        mode="overwrite",
-    )
+    first = min((day.replace(day=1) for day in (changed_from, renewed.min_date) if day is not None), default=None)
+    months = [] if first is None else [month for month in table_months(spark, tables.weather) if month >= first]
+    refresh_seasonal(weather, spark.table(tables.gold("summit_window")), tables.gold("seasonal_states"),
+                     tables.gold("seasonal_summary"), months)
 
 
 # --- Checks -----------------------------------------------------------------------------------------------------------
@@ -222,8 +262,14 @@ def run_load(
 ) -> RunReport:
     """One full run. Backfills of a closed period have no meaningful age: pass check_freshness=False for them."""
     loaded_to = load_bronze(spark, tables, waypoints, transport, settings)
-    silver = load_silver(spark, tables, settings.late_periods, settings.capture_changes)
-    build_gold(spark, tables, silver.min_date)
+    silver = load_silver(
+        spark, tables, settings.late_periods, settings.capture_changes or settings.follow_changes, settings.divert)
+    if settings.follow_changes:
+        from alpenglow.plans.upkeep import follow_changes
+
+        follow_changes(spark, tables)
+    else:
+        build_gold(spark, tables, silver.min_date)
     require_quality(spark, tables)
     fresh = require_fresh(spark, tables, settings) if check_freshness else None
     return RunReport(loaded_to, silver, fresh)

@@ -12,6 +12,10 @@ MEASURE_TYPE = T.DecimalType(10, 2)
 # Extra leading key of tables that hold several routes. Optional everywhere: without it a table is one route.
 ROUTE_KEY = "route_id"
 
+# The fetch a weather row stems from (period end, ingestion, payload hash); later ones compare as greater. Kept with the
+# rows of the weather table, outside its fifteen columns.
+FETCHED = "_fetched"
+
 PAYLOAD = T.StructType([
     T.StructField(
         "daily",

@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from alpenglow.operators.flatten import transform_silver
 from alpenglow.operators.tables import read_watermark, upsert, write_watermark
 from alpenglow.plans.medallion import Tables, weather_keys
+from alpenglow.schemas import FETCHED, route_key
 
 
 def stream_silver(
@@ -22,13 +23,14 @@ def stream_silver(
     """Process every raw file not yet recorded in the checkpoint, then stop.
 
     The file source keeps the progress, so re-fetched older slices are taken in as well. A batch that is repeated
-    after a crash upserts the same keys with the same values. Between batches the later arrival wins.
+    after a crash upserts the same keys with the same values. Every row keeps the fetch it stems from, and only a newer
+    fetch replaces it, so the table does not depend on how files fall into batches or in which order they arrive.
     """
 
     def merge(batch: DataFrame, _batch_id: int) -> None:
         session = batch.sparkSession
-        weather = transform_silver(batch)
-        result = upsert(weather, tables.weather, weather_keys(weather))
+        weather = transform_silver(batch, keep_fetch=True)
+        result = upsert(weather, tables.weather, weather_keys(weather), newer_by=FETCHED, progress_by=route_key(weather))
         if result.max_date is not None:
             done = read_watermark(session, tables.watermark, "silver")
             write_watermark(session, tables.watermark, "silver", max(done, result.max_date))
