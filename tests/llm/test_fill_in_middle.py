@@ -1,0 +1,99 @@
+from __future__ import annotations
+
+import hashlib
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from alpenglow.llm import fill_in_middle as fim
+
+
+def brute(name, text):
+    """(n, form, prefix, middle, output) as the contract words it."""
+    text = text or ""
+    hexes = hashlib.sha256(f"1:{name}".encode()).hexdigest()
+    h = [int(hexes[8 * k : 8 * k + 8], 16) for k in range(4)]
+    n = len(text)
+    a, b = sorted((h[0] % (n + 1), h[1] % (n + 1)))
+    if not text or "<P>" in text or "<S>" in text or "<M>" in text or h[2] % 100 >= 90:
+        return n, "plain", None, None, text
+    if h[3] % 100 < 20:
+        return n, "spm", a, b - a, f"<S>{text[b:]}<P>{text[:a]}<M>{text[a:b]}"
+    return n, "psm", a, b - a, f"<P>{text[:a]}<S>{text[b:]}<M>{text[a:b]}"
+
+
+def sha(text):
+    return hashlib.sha256((text or "").encode()).hexdigest()
+
+
+AWKWARD = [None, "", "a", "<", "<P", "<<<<", "x <P> y", "<M>", "mixed <S", "é" * 5, "\U0001f600 \x00 tab\t", "a\r\nb\n\n", "S>" * 40, "<P" * 40, "P>S>M>"]
+
+
+def test_round_trip_against_brute_force(documents, prose):
+    texts = [*AWKWARD, *(prose(k, words=1 + k % 9) for k in range(60))]
+    for chunk in (1, 7, 4096):
+        rows = fim.round_trip(documents(*texts), chunk=chunk).collect()
+        got = {r.doc_id: tuple(r)[1:] for r in rows}
+        assert len(rows) == len(texts)
+        for k, text in enumerate(texts):
+            *want, output = brute(k, text)
+            assert got[k] == (*want, sha(output), sha(text))
+
+
+def test_all_forms_occur(documents, prose):
+    rows = fim.transform(documents(*(prose(k, words=5) for k in range(200)))).collect()
+    assert {r.form for r in rows} == {"plain", "psm", "spm"}
+    for r in rows:
+        assert (r.n, r.form, r.prefix, r.middle, r.output) == brute(r.doc_id, prose(r.doc_id, words=5))
+
+
+def test_very_long_text_and_other_columns(documents, prose):
+    long = prose(1, words=60_000) + "é"
+    docs = documents("short", long, extra="'x' AS row").withColumns({"place": F.lit(1), "piece": F.lit("p"), "form": F.lit("f")})
+    got = {r.doc_id: r for r in fim.round_trip(docs).collect()}
+    *want, output = brute(1, long)
+    assert tuple(got[1])[1:] == (*want, sha(output), sha(long))
+
+
+def test_repeated_rows_null_ids_and_text_ids(spark, documents):
+    docs = documents((1, "same text"), (1, "same text"), (1, "other text"), (None, "no id"), (None, None))
+    rows = sorted((str(r.doc_id), r.n, r.restored_sha256) for r in fim.round_trip(docs.repartition(3)).collect())
+    assert rows == sorted([("1", 9, sha("same text"))] * 2 + [("1", 10, sha("other text")), ("None", 5, sha("no id")), ("None", 0, sha(""))])
+    named = docs.withColumn("doc_id", F.concat(F.lit("d"), F.col("doc_id").cast("string")))
+    assert sorted(str(r.doc_id) for r in fim.round_trip(named).collect()) == ["None", "None", "d1", "d1", "d1"]
+
+
+def test_empty_table(documents):
+    assert fim.round_trip(documents()).collect() == [] and fim.transform(documents()).collect() == []
+
+
+def test_units_of_a_pattern(documents):
+    text = "one two  three four"
+    for k in range(40):
+        form, ends, first, last = fim.plan(str(k), text, unit=r"\w+\s*")
+        assert [text[a:z] for a, z in zip(ends[:-1], ends[1:], strict=True)] == ["one ", "two  ", "three ", "four"]
+        assert 0 <= first <= last <= 4
+    rows = fim.transform(documents(*[text] * 20), unit=r"\w+\s*").collect()
+    assert all(r.n == 4 for r in rows) and {len(r.output) for r in rows} == {len(text), len(text) + 9}
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text("<PSM>a", max_size=30), st.integers(0, 500), st.integers(1, 9))
+def test_parser_restores_any_text_cut_anywhere(text, name, step):
+    _, form, _, _, output = brute(name, text)
+    parser, parts = fim.Parser(form), {}
+    for piece in [output[k : k + step] for k in range(0, len(output), step)]:
+        for part, found in parser.feed(piece):
+            parts[part] = parts.get(part, "") + found
+    for part, found in parser.feed("", last=True):
+        parts[part] = parts.get(part, "") + found
+    assert "".join(parts[k] for k in sorted(parts)) == text
+
+
+def test_a_damaged_output_is_an_error():
+    with pytest.raises(ValueError, match="without <M>"):
+        list(fim.Parser("psm").feed("<P>a<S>b", last=True))
+    with pytest.raises(ValueError, match="before its first"):
+        list(fim.Parser("psm").feed("text<P>"))
