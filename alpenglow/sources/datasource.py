@@ -16,6 +16,7 @@ from datetime import UTC, datetime
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import datasource as ds
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import from_arrow_schema
 
@@ -146,8 +147,19 @@ def register(spark: SparkSession, transport: Transport) -> None:
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
 
 
+def load_archive(spark: SparkSession, staged: str) -> DataFrame:
+    """The raw rows of a staged manifest.
+
+    Load once for each use that filters in its own way: Spark 4.1 keeps with a relation the filters it was pushed last,
+    so one frame in two branches of a query (a union of two of its filters, say) reads the later branch's rows in both.
+    Uses one after the other are safe: the condition that holds for all requests is always pushed, so each plans anew.
+    """
+    return spark.read.format(FORMAT).option("manifest", staged).load().filter(F.col("period_start").isNotNull())
+
+
 def read_archive(spark: SparkSession, manifest: DataFrame, transport: Transport, folder: str,
                  requests_per_task: int = 500) -> DataFrame:
-    """Raw rows of a manifest, as `fetch_payloads`, through the data source; `folder` is a new shared folder."""
+    """Raw rows of a manifest, as `fetch_payloads`, through the data source; `folder` is a new shared folder, from which
+    `load_archive` gives further frames."""
     register(spark, transport)
-    return spark.read.format(FORMAT).option("manifest", stage_manifest(manifest, folder, requests_per_task)).load()
+    return load_archive(spark, stage_manifest(manifest, folder, requests_per_task))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from alpenglow.config import NO_WATERMARK, LoadSettings
 from alpenglow.schemas import WEATHER_RAW
 from alpenglow.sources.archive import FetchError, MissingSliceError
-from alpenglow.sources.datasource import FORMAT, read_archive, register, stage_manifest
+from alpenglow.sources.datasource import FORMAT, load_archive, read_archive, register, stage_manifest
 from alpenglow.sources.planner import request_manifest, waypoints, with_load_range
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -67,11 +67,16 @@ def test_filters_are_taken_over_and_save_requests(spark, folders):
     df = read_archive(spark, manifest(spark), Echo(asked), staged, requests_per_task=3)
     wanted = df.filter(F.col("waypoint_name").isin("summit", "gouter") & (F.col("period_start") >= date(2020, 3, 1)))
     plan = plan_of(wanted)
-    assert "Filter" not in plan.replace("PushedFilters", "").replace("pushedFilters", ""), plan
-    assert wanted.rdd.getNumPartitions() < df.rdd.getNumPartitions()  # files that hold nothing wanted are not scheduled
+    assert "BatchScan weather_archive" in plan and "Filter " not in plan, plan  # nothing is left to filter after the scan
+    assert 0 < wanted.rdd.getNumPartitions() < 7  # files that hold nothing wanted are not scheduled
     assert {(r.waypoint_name, str(r.period_start)) for r in wanted.collect()} == {
         (name, day) for name in ("summit", "gouter") for day in ("2020-03-01", "2020-04-01")}
     assert len(list(asked.iterdir())) == 4
+    assert df.rdd.getNumPartitions() == 7
+    assert df.count() == 20 and df.filter("waypoint_name = 'summit'").count() == 4 and df.count() == 20
+    both = [load_archive(spark, staged).filter(f"waypoint_name = '{name}'") for name in ("summit", "gouter")]
+    found = both[0].union(both[1]).union(load_archive(spark, staged)).groupBy("waypoint_name").count().collect()
+    assert sorted(map(tuple, found)) == [("chamonix", 4), ("gouter", 8), ("summit", 8), ("tete_rousse", 4), ("vallot", 4)]
 
 
 @pytest.mark.parametrize("condition, n", [
@@ -89,6 +94,8 @@ def test_errors_keep_their_type(spark, folders):
     with pytest.raises(Exception, match="MissingSliceError"):
         read_archive(spark, manifest(spark), Echo(asked, lacks=("summit",)), staged).collect()
     assert (asked / "summit_2020-01-10").read_text() == "x"
+    for noted in asked.iterdir():
+        noted.write_text("")
     register(spark, Echo(asked, down=("gouter",)))
     with pytest.raises(Exception, match="FetchError"):
         spark.read.format(FORMAT).option("manifest", staged).load().filter("waypoint_name = 'gouter'").collect()

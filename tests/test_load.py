@@ -2,7 +2,7 @@
 
 import sys
 from dataclasses import replace
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta
 
 import helpers
 import pytest
@@ -153,3 +153,55 @@ def test_stream_takes_files_once_and_resumes(spark, tables, tmp_path):
     query = stream_silver(spark, landing, raw_rows(spark).schema, tables, progress)
     query.awaitTermination()
     assert len(tmax(spark, tables)) == 3
+
+
+def test_a_load_that_follows_changes_takes_late_slices_to_all_models(spark, tables):
+    settings = replace(SETTINGS, late_periods=True, follow_changes=True)
+    md.run_load(spark, tables, waypoints(spark), Station(), settings, check_freshness=False)
+    late = md.month_slices(waypoints(spark).withColumns({"load_start": F.lit(date(2024, 1, 12)), "load_end": F.lit(date(2024, 1, 14))}))
+    again = md.fetch_payloads(md.request_manifest(waypoints(spark).withColumns(
+        {"load_start": F.lit(date(2024, 1, 12)), "load_end": F.lit(date(2024, 2, 1))})), Station(temperature=4.0))
+    assert late.count() == 5
+    md.append_raw(again.withColumn("ingestion_timestamp", F.col("ingestion_timestamp") + F.expr("INTERVAL 1 DAY")), tables.raw)
+    md.run_load(spark, tables, waypoints(spark), Station(), settings, check_freshness=False)
+    weather = spark.table(tables.weather)
+    assert weather.filter("temperature_max_c = 4").count() > 0
+    full = summit_window(weather.drop("month"))
+    found = spark.table(tables.gold("summit_window")).select(*full.columns)
+    assert sorted(map(repr, found.collect())) == sorted(map(repr, full.collect()))
+
+
+def test_a_load_by_gaps_asks_for_what_is_not_there(spark, tables):
+    asked = []
+    settings = replace(SETTINGS, resume="gaps")
+    first = md.fetch_payloads(md.request_manifest(waypoints(spark).filter("waypoint_name <> 'summit'").withColumns(
+        {"load_start": F.lit(date(2024, 1, 15)), "load_end": F.lit(date(2024, 2, 20))})), Station())
+    md.append_raw(first, tables.raw)
+    assert md.load_bronze(spark, tables, waypoints(spark), Station(), settings) == date(2024, 2, 20)
+    asked = {(r.waypoint_name, r.period_start, r.period_end) for r in spark.table(tables.raw).collect()}
+    assert {(date(2024, 1, 10), date(2024, 1, 14)), (date(2024, 1, 15), date(2024, 1, 31)), (date(2024, 2, 1), date(2024, 2, 20))} == {
+        x[1:] for x in asked if x[0] == "gouter"}
+    assert {x[1:] for x in asked if x[0] == "summit"} == {(date(2024, 1, 10), date(2024, 1, 31)), (date(2024, 2, 1), date(2024, 2, 20))}
+    assert md.load_bronze(spark, tables, waypoints(spark), Station(), settings) is None
+    assert read_watermark(spark, tables.watermark, "bronze") == date(2024, 2, 20)
+
+
+def test_rejected_days_are_kept_once(spark, tables):
+    times = ["2024-01-10", "2024-13-11", "2024-01-12"]
+    raw = spark.createDataFrame([("summit", 4808, date(2024, 1, 1), date(2024, 1, 31), payload(times), datetime(2024, 2, 8))], WEATHER_RAW)
+    md.append_raw(raw, tables.raw)
+    for _ in range(2):
+        md.load_silver(spark, tables, late_periods=True, divert=True)
+    assert [(r.position, r.reason) for r in spark.table(tables.rejected).collect()] == [(1, "bad_date")]
+    assert sorted(r.date.day for r in spark.table(tables.weather).collect()) == [10, 12]
+
+
+@pytest.mark.parametrize("files_per_batch", [1, 50])
+def test_the_stream_does_not_depend_on_batches_or_arrival(spark, tables, tmp_path, files_per_batch):
+    landing = str(tmp_path / "landing")
+    fetches = [(5.0, date(2024, 2, 29)), (3.0, date(2024, 1, 31)), (4.0, date(2024, 2, 10))]  # the newest lands first
+    for value, period_end in fetches:
+        rows = [("summit", 4808, date(2024, 1, 1), period_end, payload(["2024-01-05"], temperature_2m_max=[value]), datetime(2024, 3, 1))]
+        spark.createDataFrame(rows, WEATHER_RAW).coalesce(1).write.mode("append").parquet(landing)
+    stream_silver(spark, landing, WEATHER_RAW, tables, str(tmp_path / "progress"), files_per_batch).awaitTermination()
+    assert [float(r.temperature_max_c) for r in spark.table(tables.weather).collect()] == [5.0]

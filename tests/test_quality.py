@@ -1,4 +1,6 @@
+import random
 from datetime import date, timedelta
+from decimal import Decimal
 
 import pytest
 from helpers import days
@@ -6,7 +8,9 @@ from pyspark.sql import functions as F
 
 from alpenglow.config import ACCEPTED_RANGES, MEASURES, WAYPOINT_NAMES
 from alpenglow.operators import quality as dq
-from alpenglow.operators.profile import drift, profile, profile_sketches
+from alpenglow.operators.profile import (
+    day_sketches, drift, drift_distribution, histograms, profile, profile_sketches, roll_up, sketched_metrics, within_bounds,
+)
 
 TODAY = date(2024, 2, 1)
 
@@ -87,3 +91,65 @@ def test_sketches(weather_rows):
     row = profile_sketches(df, ["snow_depth_m"], "1 month").first()
     assert row.approx_distinct == 5
     assert row.quartiles == [1.0, 2.0, 3.0]
+
+
+# --- Gaps, sketches, distributions ------------------------------------------------------------------------------------
+
+
+def test_gaps(spark, weather_rows):
+    present = [date(2024, 1, 3), date(2024, 1, 4), date(2024, 1, 4), date(2024, 1, 8), date(2024, 1, 31), date(2024, 2, 9)]
+    weather = weather_rows([("summit", day, {}) for day in present] + [("vallot", day, {}) for day in days(date(2024, 1, 1), 31)])
+    expected = spark.createDataFrame([("summit",), ("vallot",), ("gouter",), ("gouter",)], "waypoint_name string")
+    found = dq.gaps(weather, expected, ["waypoint_name"], date(2024, 1, 1), date(2024, 1, 31))
+    assert sorted(tuple(r) for r in found.collect()) == [
+        ("gouter", date(2024, 1, 1), date(2024, 1, 31), 31),
+        ("summit", date(2024, 1, 1), date(2024, 1, 2), 2),
+        ("summit", date(2024, 1, 5), date(2024, 1, 7), 3),
+        ("summit", date(2024, 1, 9), date(2024, 1, 30), 22),
+    ]
+
+
+def numbers(spark, rows):
+    return spark.createDataFrame(rows, "date date, x double, y double")
+
+
+def test_day_sketches_merge_to_months_within_their_bounds(spark):
+    rng = random.Random(1)
+    rows = [(date(2024, 1 + k % 3, 1 + k % 28), rng.gauss(0, 1), float(k % 9000) if k % 7 else None) for k in range(60_000)]
+    df = numbers(spark, rows)
+    stored = day_sketches(df, ["x", "y"])
+    assert stored.count() == 2 * len({r[0] for r in rows})
+    rolled = roll_up(stored, "1 month")
+    judged = within_bounds(sketched_metrics(rolled), df, ["x", "y"], "1 month").collect()
+    assert len(judged) == 6 and all(r.distinct_ok and r.quartiles_ok for r in judged)
+    counts = {(r.window_start, r.column_name): (r.n_rows, r.n_nulls) for r in rolled.collect()}
+    assert counts[date(2024, 1, 1), "y"] == (20_000, sum(r[0].month == 1 and r[2] is None for r in rows))
+
+
+def test_bounds_catch_wrong_metrics(spark):
+    df = numbers(spark, [(date(2024, 1, 1), float(k), 1.0) for k in range(1000)])
+    good = sketched_metrics(roll_up(day_sketches(df, ["x"]), "1 month"))
+    wrong = good.withColumn("quartiles", F.transform("quartiles", lambda q: q + 50))
+    assert within_bounds(good, df, ["x"], "1 month").first().quartiles_ok
+    assert not within_bounds(wrong, df, ["x"], "1 month").first().quartiles_ok
+    fewer = good.withColumn("approx_distinct", F.lit(800).cast("bigint"))
+    assert not within_bounds(fewer, df, ["x"], "1 month").first().distinct_ok
+
+
+def test_sketches_of_nothing_but_nulls(spark):
+    df = numbers(spark, [(date(2024, 1, 1), None, 1.0)])
+    row = sketched_metrics(roll_up(day_sketches(df, ["x"]), "1 month")).first()
+    assert (row.n_rows, row.n_nulls, row.quartiles, row.approx_distinct) == (1, 1, None, 0)
+
+
+def test_drift_of_distributions(spark):
+    schema = "date date, x decimal(10,2)"
+    values = {1: [1, 2, 3, 9], 2: [1, 2, 3, 9], 3: [9, 9, 9, 12], 4: [-1, None, 10, 10]}
+    df = spark.createDataFrame([(date(2024, m, 1), None if v is None else Decimal(v)) for m, x in values.items() for v in x], schema)
+    counts = histograms(df, {"x": (0, 10)}, "1 month", bins=5)
+    assert sorted((r.window_start.month, r.bin, r.n) for r in counts.collect()) == [
+        (1, 1, 1), (1, 2, 2), (1, 5, 1), (2, 1, 1), (2, 2, 2), (2, 5, 1), (3, 5, 3), (3, 6, 1), (4, 0, 1), (4, 5, 2)]
+    found = {r.window_start.month: (r.n, r.psi, r.ks) for r in drift_distribution(counts, bins=5).collect()}
+    assert found[1] == (4, None, None) and found[2] == (4, 0.0, 0.0)
+    assert found[3][0] == 4 and found[3][2] == 0.75 and found[3][1] > 0.5
+    assert found[4][0] == 3 and found[4][2] == 0.3333

@@ -195,3 +195,33 @@ def test_history_starts_no_earlier_than_needed(spark, weather_rows):
     weather = table(weather_rows, days(START, 100))
     kept = sm.history_for_windows(weather, START + timedelta(days=69))
     assert kept.agg(F.min("date")).first()[0] == START + timedelta(days=41)  # 29 gouter days up to the cutoff
+
+
+@pytest.mark.parametrize("block_days, share", [(1, 1.0), (3, 0.5), (7, 0.2), (40, 0.9), (100_000, 1.0)])
+def test_a_series_in_blocks_rolls_as_in_one_window(spark, weather_rows, monkeypatch, block_days, share):
+    rng = random.Random(block_days)
+    rows = [("gouter", day, {"temperature_max_c": rng.randint(-20, 5), "snow_depth_m": rng.randint(0, 9)})
+            for day in days(date(2023, 12, 1), 150) if rng.random() < share]
+    pivot = sm.route_pivot(weather_rows(rows))
+    plain = sm.rolling_conditions(pivot.withColumn("route_id", F.lit(1))).drop("route_id")
+    monkeypatch.setattr(sm.with_halo, "__defaults__", (block_days,))
+    blocked = sm.rolling_conditions(pivot)
+    assert sorted(map(tuple, blocked.select(*plain.columns).collect())) == sorted(map(tuple, plain.collect()))
+    copies = sm.with_halo(pivot.filter("has_gouter"), 29, block_days).filter("__halo").groupBy("__block").count()
+    assert all(r["count"] <= 29 for r in copies.collect())
+
+
+def test_history_is_looked_for_near_the_cutoff_first(spark, tables, weather_rows):
+    """Dense routes read some months; a sparse one is looked up in all of them, alone."""
+    dense = [(1, "gouter", day, {}) for day in days(date(2022, 1, 1), 700)]
+    sparse = [(2, "gouter", day, {}) for day in days(date(2022, 1, 1), 700)[::20]]
+    weather = with_month(weather_rows(dense + sparse, routes=True))
+    weather.write.partitionBy("month").saveAsTable(tables.weather)
+    weather = spark.table(tables.weather)
+    cutoff = date(2023, 11, 1)
+    stale = spark.createDataFrame([(1, cutoff, date(2022, 1, 1)), (2, cutoff, date(2022, 1, 1))], "route_id bigint, cutoff date, first_day date")
+    found = {r.route_id: r.first_needed for r in sm._first_needed(weather, stale).collect()}
+    gouter = {route: sorted(day for r, _, day, _ in dense + sparse if r == route and day <= cutoff) for route in (1, 2)}
+    assert found == {route: own[-29] for route, own in gouter.items()}
+    plan = sm._first_needed(weather, stale.filter("route_id = 1"))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(month" in plan and ">= 2023-08-01" in plan, plan
