@@ -12,8 +12,9 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from alpenglow.llm.common import chunks, encoded, joined, map_batches, partitions
@@ -86,28 +87,30 @@ def compare(pairs: DataFrame, left: str, right: str, out: str = "likeness") -> D
 
 
 def with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Rows in ranges of ids: __part, __tail, doc_id, text, sorted in each task, each range followed by the next range's
-    first row as its tail (the last range by the first row of all).
+    """Rows in ranges of ids (long): __part, __tail, doc_id, text, sorted in each task, each range followed by the next
+    range's first row as its tail (the last range by the first row of all).
 
-    The driver holds one id for each task. Null ids come first; rows of one id are in the order of their texts.
+    The driver holds one id for each range; where ranges begin is a frame of one row a range, which every task is given.
+    Null ids come first; rows of one id are in the order of their texts.
     """
     n = partitions(docs.sparkSession)
-    docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    cuts = sorted(set(docs.approxQuantile("doc_id", [k / n for k in range(1, n)], 0.2 / n))) if n > 1 else []
-    cuts = [int(x) for x in cuts]
-    part = F.coalesce(F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c <= F.col("doc_id"))), F.lit(0)) if cuts else F.lit(0)
-    placed = docs.withColumn("__part", F.when(F.col("doc_id").isNull(), 0).otherwise(part))
+    docs = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
+    cuts = docs.approxQuantile("doc_id", [k / n for k in range(1, n)], 0.2 / n) if n > 1 else []
+    cuts = np.array(sorted({int(x) for x in cuts}), np.int64)
+
+    @F.pandas_udf("int")
+    def part_of(ids: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(cuts, ids.to_numpy(np.int64), side="right").astype(np.int32))
+
+    placed = docs.withColumn("__part", part_of(F.coalesce("doc_id", F.lit(-(2**63)))))
     firsts = placed.groupBy("__part").agg(  # nulls come first, and min() skips them
-        F.when(F.max(F.col("doc_id").isNull()), F.lit(None)).otherwise(F.min("doc_id")).alias("first")).collect()
-    firsts = sorted((r["__part"], r["first"]) for r in firsts)
-    before = {part: firsts[k - 1][0] for k, (part, _) in enumerate(firsts)}
-    copies = F.array(F.struct(F.col("__part").alias("part"), F.lit(False).alias("tail")))
-    for part_no, first in firsts:
-        here = (F.col("__part") == part_no) & F.col("doc_id").eqNullSafe(F.lit(first))
-        copies = F.when(here, F.array(
-            F.struct(F.lit(part_no).alias("part"), F.lit(False).alias("tail")),
-            F.struct(F.lit(before[part_no]).alias("part"), F.lit(True).alias("tail")))).otherwise(copies)
-    rows = placed.select("doc_id", "text", F.explode(copies).alias("__c")).select(
+        F.when(F.max(F.col("doc_id").isNull()), F.lit(None)).otherwise(F.min("doc_id")).alias("__first"))
+    before = F.coalesce(F.lag("__part").over(Window.orderBy("__part")), F.max("__part").over(Window.partitionBy()))
+    firsts = firsts.withColumn("__before", before).withColumnRenamed("__part", "__begins")
+    on = (F.col("__part") == F.col("__begins")) & F.col("doc_id").eqNullSafe(F.col("__first"))
+    own, tail = (F.struct(F.col(part).alias("part"), F.lit(is_tail).alias("tail")) for part, is_tail in (("__part", False), ("__before", True)))
+    copies = F.when(F.col("__begins").isNotNull(), F.array(own, tail)).otherwise(F.array(own))
+    rows = placed.join(F.broadcast(firsts), on, "left").select("doc_id", "text", F.explode(copies).alias("__c")).select(
         F.col("__c.part").alias("__part"), F.col("__c.tail").alias("__tail"), "doc_id", "text")
     return rows.repartition(n, "__part").sortWithinPartitions("__part", "__tail", "doc_id", "text")
 

@@ -61,3 +61,16 @@ def test_every_boundary_between_ranges(spark, prose):
         assert found[i]["edited_sha256"] == hashlib.sha256((texts[i][: len(texts[i]) - n] + texts[after][:n]).encode()).hexdigest()
         assert found[i]["fingerprint"] == prints[i]
         assert found[i]["near_next"] == q.likeness(*q.codes([texts[i].encode()]), *q.codes([texts[after].encode()]))[0]
+
+
+def test_more_ranges_than_rows_and_thousands_of_partitions(spark, prose):
+    """What a task is given about the ranges stays flat, however many there are."""
+    rows = [(k * k, prose(k, 6)) for k in range(300)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    want = sorted(map(tuple, q.edited_pairs(frame).collect()))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "2000")
+        assert sorted(map(tuple, q.edited_pairs(frame).collect())) == want
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
