@@ -183,7 +183,8 @@ def upsert(
                 _merge_months(rows, present, staging, table, keys, capture_changes, lost)
             spark.sql(f"DROP TABLE IF EXISTS {staging.gone}")
         if progress_by:
-            note_progress(staged, table, progress_by, day)
+            noted = created or spark.catalog.tableExists(progress_table(table))
+            note_progress(staged if noted else spark.table(table), table, progress_by, day)
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {staging.batch}")
         spark.sql(f"DROP TABLE IF EXISTS {staging.newer}")

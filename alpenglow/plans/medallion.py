@@ -8,7 +8,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from alpenglow.config import (
@@ -151,8 +151,11 @@ def load_silver(
         ingested = raw.agg(F.max(F.to_date("ingestion_timestamp"))).first()[0]
     how = {"capture_changes": capture_changes, "newer_by": FETCHED if late_periods else None, "progress_by": route_key(raw)}
     if divert:
-        with held(split_days(raw), tables.weather) as days:
-            reject_days(days, tables.rejected)
+        seen = Observation()
+        rejected = F.count_if(F.col("reason").isNotNull()).alias("rejected")
+        with held(split_days(raw).observe(seen, rejected), tables.weather) as days:
+            if seen.get["rejected"]:
+                reject_days(days, tables.rejected)
             weather = latest_fetch(good_days(days), keep_fetch=True)
             result = upsert(weather, tables.weather, weather_keys(weather), **how)
     else:

@@ -1,5 +1,6 @@
 """Upserts by recency, deletions, kept changes, earlier states, progress notes."""
 
+import re
 from datetime import date
 from decimal import Decimal
 
@@ -8,6 +9,7 @@ from helpers import days
 from pyspark.sql import functions as F
 
 from alpenglow.operators import tables as tb
+from alpenglow.plans.gradient import elevation_gradient
 from alpenglow.schemas import FETCHED
 
 KEYS = ["waypoint_name", "date"]
@@ -120,3 +122,37 @@ def test_progress_is_noted_and_seeded(spark, tables, weather_rows):
     tb.upsert(of((1, date(2024, 2, 1)), (3, date(2023, 1, 1))), tables.weather, keys, progress_by=["route_id"])
     found = {r.route_id: (r.first_day, r.last_day) for r in tb.progress(spark, tables.weather, ["route_id"]).collect()}
     assert found == {**seeded, 1: (date(2024, 1, 5), date(2024, 2, 1)), 3: (date(2023, 1, 1), date(2023, 1, 1))}
+
+
+def test_a_refresh_reads_the_open_months_alone(spark, tables, weather_rows, monkeypatch):
+    """Cutoffs come from notes: the target is not read at all, the source from the earliest open month on."""
+    keys = ["route_id", *KEYS]
+
+    def of(first, count):
+        return weather_rows([(route, "gouter", day, {}) for route in (1, 2) for day in days(first, count)], routes=True)
+
+    target = tables.gold("elevation_gradient")
+    tb.upsert(of(date(2023, 1, 1), 300), tables.weather, keys, progress_by=["route_id"])
+    tb.refresh_new_dates(spark.table(tables.weather), target, keys, elevation_gradient)
+    tb.upsert(of(date(2023, 10, 28), 20), tables.weather, keys, progress_by=["route_id"])
+    plans, real = [], tb.upsert
+
+    def watched(batch, *args, **how):
+        plans.append(batch._jdf.queryExecution().executedPlan().toString())
+        return real(batch, *args, **how)
+
+    monkeypatch.setattr(tb, "upsert", watched)
+    ends = tb.progress(spark, tables.weather, ["route_id"])
+    result = tb.refresh_new_dates(spark.table(tables.weather), target, keys, elevation_gradient, ends)
+    assert (result.rows, result.min_date, result.max_date) == (40, date(2023, 10, 28), date(2023, 11, 16))
+    scans = re.findall(r"FileScan parquet \S*?\.(\w+)\[.*?PartitionFilters: \[(.*?)\], PushedFilters", plans[0])
+    assert {name for name, _ in scans} == {"weather", "elevation_gradient_progress"}
+    assert all(">= 2023-10-01" in filters for name, filters in scans if name == "weather")
+
+
+def test_a_table_that_was_never_noted_is_noted_in_whole(spark, tables, weather_rows):
+    keys = ["route_id", *KEYS]
+    for day, noted in ((date(2024, 1, 5), []), (date(2024, 3, 5), ["route_id"])):
+        tb.upsert(weather_rows([(1, "gouter", day, {})], routes=True), tables.weather, keys, progress_by=noted)
+    row = tb.progress(spark, tables.weather, ["route_id"]).first()
+    assert (row.first_day, row.last_day) == (date(2024, 1, 5), date(2024, 3, 5))
