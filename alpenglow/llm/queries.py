@@ -124,14 +124,14 @@ FROM (SELECT *, unnest(range(1, copies + 1)) AS c FROM drawn WHERE copies > 0)
 
 PIVOT_SEARCH_SQL = """
 WITH usable AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), scored AS (
-  SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i]))::BIGINT AS score
-  FROM usable q JOIN usable c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+  SELECT q.r AS q, c.r AS c, q.vec_id AS query_id, c.vec_id, list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i]))::BIGINT AS score
+  FROM usable q JOIN usable c ON q.vec_id % 20 = 0 AND q.r <> c.r AND len(q.v) = len(c.v)
 )
-SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score
-FROM scored QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 20
+SELECT query_id, row_number() OVER (PARTITION BY q ORDER BY score DESC, vec_id, c)::INT AS rank, vec_id, score
+FROM scored QUALIFY row_number() OVER (PARTITION BY q ORDER BY score DESC, vec_id, c) <= 20
 """
 
 
