@@ -38,7 +38,9 @@ BITS = 64
 WIDTH = BITS // BLOCKS
 SEED = 42
 #: Fingerprints whose variants a task emits at once.
-BATCH = 4096
+BATCH = 1024
+#: Variants of a bucket, which one task holds.
+BUCKET_BYTES = 4_000_000
 
 
 def simhash(text: bytes, shingle: int = SHINGLE) -> int:
@@ -176,8 +178,11 @@ def _flipped(values: np.ndarray, owner: np.ndarray, flips: list[int]) -> tuple[n
 
 
 def fingerprint_links(fps: DataFrame) -> DataFrame:
-    """a, b: enough links between fingerprints (longs, distinct) at most RADIUS bits apart to connect all that are."""
-    buckets = partitions(fps.sparkSession)
+    """a, b: enough links between fingerprints (longs, distinct) at most RADIUS bits apart to connect all that are.
+
+    Buckets of keys are as many as the number of fingerprints asks for, so what a task holds of one does not grow with them."""
+    spread = BLOCKS * (BITS - WIDTH + 1) * 17  # bytes that a fingerprint's variants take
+    buckets = max(partitions(fps.sparkSession), -(-fps.count() * spread // BUCKET_BYTES))
     packed = fps.select("fp").repartition(buckets).mapInArrow(lambda batches: _emit(batches, buckets), "bucket int, rows binary")
 
     def run(group: pa.Table) -> pa.Table:

@@ -41,6 +41,8 @@ RECURS_SHARE = 0.02
 OWN_RATIO = 10
 GAINS = (1, 2, 3, 4, 5, 6, 8)
 RIDGE = 0.5
+#: Text scored at once.
+SCORED_BYTES = 500_000
 _WORD = re.compile(rb"[^\s.,;:!?|()\"]+")
 _PARAMETERS = {"window_log": 18, "hash_log": 17, "chain_log": 17, "search_log": 4, "min_match": 3, "target_length": 32,
                "strategy": zstandard.STRATEGY_BTOPT, "write_content_size": 0, "write_checksum": 0, "write_dict_id": 0,
@@ -193,7 +195,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", out: str = "score")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compressors = model.compressors() if model.weights is not None else None
         for batch in batches:
-            for piece in chunks(batch, text):
+            for piece in chunks(batch, text, SCORED_BYTES):
                 value = model.score(encoded(piece.column(text)), compressors)
                 yield pa.RecordBatch.from_arrays([*(piece.column(x.name) for x in kept), pa.array(value)], schema=None,
                                                  names=[*(x.name for x in kept), out])

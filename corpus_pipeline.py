@@ -3,6 +3,11 @@
 Each stage takes the session, the documents its predecessor kept and the data folder, and returns documents with the same
 columns (the last: token ids). Toxic documents go, one document of each near-duplicate group stays, passages that repeat
 anywhere are cut from the texts, sources are mixed to equal weights, and texts become token ids.
+
+Every stage takes nulls, empty and very long texts, repeated rows, empty tables and further columns as its operator defines
+them (stated at the head of its module): null and empty texts are not toxic unless empty ones are as a rule, count as one
+group of near-duplicates, keep their text, and give no tokens; a null source is a source; further columns pass through the
+first four stages unchanged.
 """
 
 from __future__ import annotations
@@ -17,6 +22,9 @@ from alpenglow.llm.common import id_remainder, table, written
 #: Documents whose score reaches this are rejected.
 TOXIC = 0.5
 SEED = 20
+#: Bytes of a repeated passage that is cut: shorter than the 400 of the operator's own query, since passages of fifty words
+#: have about 250 to 350.
+PASSAGE = 200
 BPE_PATH = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
@@ -34,7 +42,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the bytes of passages that repeat; n_chars follows the text."""
-    cut = suffix_dedup.remove(docs)
+    cut = suffix_dedup.remove(docs, length=PASSAGE)
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         cut = cut.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.char_length("text").cast(kind)))
