@@ -6,7 +6,7 @@
    runs whose cell occurs once are dropped by a count.
 2. Equal runs. Runs with the same bytes are counted; if there are several, all their windows repeat, and of all of them one
    stands in what follows. Copies of a passage, whether two or a third of all rows, end here.
-3. Suffix order. The different runs of a cell meet in a task (sorted by cell, a few megabytes at a time); the suffixes of
+3. Suffix order. The different runs of a cell meet in a task (sorted by cell, half a megabyte at a time); the suffixes of
    their texts are put in order by the difference cover algorithm (sort sampled triples, recurse on names, merge the
    rest), and the first LENGTH bytes of adjacent suffixes are compared. Windows of equal prefixes repeat.
    A cell with more than MOST different runs is not given to one task: its windows are exploded, grouped by digest and
@@ -24,21 +24,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from alpenglow.llm.common import chunks, encoded, joined, partitions, written
 from alpenglow.llm.difference_cover import ranks
+from alpenglow.llm.words import ranges
 
 LENGTH = 400
 GRAM = 64
 SLOTS = 3
 #: Different runs of a cell that one task orders; beyond, windows are grouped by digest.
 MOST = 3000
-#: Text put in order at once.
-SORT_BYTES = 1_000_000
+#: Text whose windows are looked at, and text put in order, at once: numpy holds some hundred times as much beside it.
+LOOK_BYTES, SORT_BYTES = 500_000, 500_000
 _BASE = 0xD1342543DE82EF95
 
 
@@ -102,7 +103,7 @@ def keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 def _occurrences(docs: DataFrame, length: int, gram: int, slots: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in chunks(batch):
+            for piece in chunks(batch, limit=LOOK_BYTES):
                 at, cell, own, start, n = runs(encoded(piece.column("text")), length, gram, slots)
                 at = pa.array(at)
                 yield pa.RecordBatch.from_arrays(
@@ -113,13 +114,15 @@ def _occurrences(docs: DataFrame, length: int, gram: int, slots: int) -> DataFra
     return docs.mapInArrow(run, f"row bigint, doc_id {kind}, cell bigint, run bigint, start bigint, n int")
 
 
-def repeated_windows(texts: list[bytes], cells: np.ndarray, counts: np.ndarray, length: int) -> list[np.ndarray]:
-    """For each text (with `counts` windows): whether each of its windows also begins in another place among texts of its cell."""
-    data, bounds = joined([x + b"\0" * 8 for x in texts])
+def repeated_windows(texts: list[bytes], cells: np.ndarray, counts: np.ndarray, length: int) -> np.ndarray:
+    """For each window (text k has counts[k]): whether it also begins in another place among texts of its cell."""
+    pad = b"\0" * 8
+    data = np.frombuffer(pad.join([*texts, b""]), np.uint8)
+    ends = np.cumsum([len(x) + 8 for x in texts])
     symbols = data.astype(np.int64) + 1
-    symbols[(bounds[1:, None] - np.arange(8, 0, -1)).ravel()] = 0
+    symbols[(ends[:, None] - np.arange(8, 0, -1)).ravel()] = 0
     rank = ranks(symbols, length)
-    start = np.concatenate([np.arange(a, a + m) for a, m in zip(bounds[:-1].tolist(), counts.tolist(), strict=True)])
+    start = ranges(np.r_[0, ends[:-1]], counts)
     cell = np.repeat(np.unique(cells, return_inverse=True)[1], counts)
     order = np.lexsort((rank[start], cell))
     place = start[order]
@@ -131,49 +134,101 @@ def repeated_windows(texts: list[bytes], cells: np.ndarray, counts: np.ndarray,
     flag = np.zeros(len(start), bool)
     flag[order[same]] = True
     flag[order[same + 1]] = True
-    return np.split(flag, np.cumsum(counts)[:-1])
+    return flag
+
+
+def _spans(batch: pa.RecordBatch, length: int) -> pa.RecordBatch:
+    """Spans (row, doc_id, a, b) of the repeated windows of some cells' runs; runs that stand for copies give none."""
+    counts = np.asarray(batch.column("n"), dtype=np.int64)
+    flag = repeated_windows(batch.column("bytes").to_pylist(), np.asarray(batch.column("cell")), counts, length)
+    flag &= np.repeat(np.asarray(batch.column("copies")) == 1, counts)
+    first = np.cumsum(counts) - counts
+    before, after = np.r_[False, flag[:-1]], np.r_[flag[1:], False]
+    before[first] = False
+    after[first + counts - 1] = False
+    begins, ends = np.flatnonzero(flag & ~before), np.flatnonzero(flag & ~after)
+    run = np.searchsorted(first, begins, side="right") - 1
+    start = np.asarray(batch.column("start"))[run] - first[run]
+    at = pa.array(run)
+    return pa.RecordBatch.from_arrays(
+        [batch.column("row").take(at), batch.column("doc_id").take(at), pa.array(start + begins), pa.array(start + ends + length)],
+        names=["row", "doc_id", "a", "b"])
+
+
+def _by_cells(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by cell in pieces of about `size` bytes that end where a cell does."""
+    held: list[pa.RecordBatch] = []
+    full, last = 0, None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        cells = np.asarray(batch.column("cell"))
+        total = np.cumsum(np.asarray(pc.binary_length(batch.column("bytes")), dtype=np.int64))
+        borders = np.flatnonzero(np.r_[last is not None and last != cells[0], cells[1:] != cells[:-1]])
+        at = 0
+        while True:
+            # the first border from which on the piece is large enough
+            done = total[at - 1] if at else 0
+            enough = int(np.searchsorted(total, done + size - full, side="left")) + 1 if full < size else at
+            border = int(np.searchsorted(borders, enough))
+            if border == len(borders):
+                break
+            cut = int(borders[border])
+            held.append(batch.slice(at, cut - at))
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, full, at = [], 0, cut
+        held.append(batch.slice(at))
+        full += int(total[-1] - (total[at - 1] if at else 0))
+        last = cells[-1]
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
 
 def _ordered(rows: DataFrame, length: int) -> DataFrame:
     """Spans (row, doc_id, a, b) of the repeated windows of runs that meet in a cell."""
-
-    def spans(held: list[dict]) -> pa.RecordBatch:
-        flags = repeated_windows([x["bytes"] for x in held], np.array([x["cell"] for x in held]), np.array([x["n"] for x in held]), length)
-        out = []
-        for x, flag in zip(held, flags, strict=True):
-            if x["copies"] == 1 and flag.any():
-                edge = np.flatnonzero(np.diff(np.r_[False, flag, False].astype(np.int8)))
-                out += [(x["row"], x["doc_id"], x["start"] + a, x["start"] + b - 1 + length) for a, b in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True)]
-        columns = list(zip(*out, strict=True)) if out else [[]] * 4
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["row", "doc_id", "a", "b"])
-
-    kind = rows.schema["doc_id"].dataType
-    kinds = [pa.int64(), pa.int64() if isinstance(kind, T.LongType) else None, pa.int64(), pa.int64()]
+    kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-        for batch in batches:
-            for row in batch.to_pylist():
-                if size >= SORT_BYTES and row["cell"] != held[-1]["cell"]:
-                    yield spans(held)
-                    held, size = [], 0
-                held.append(row)
-                size += len(row["bytes"])
-        if held:
-            yield spans(held)
+        for piece in _by_cells(batches, SORT_BYTES):
+            yield _spans(piece, length)
 
     n = partitions(rows.sparkSession)
-    return rows.repartition(n, "cell").sortWithinPartitions("cell").mapInArrow(run, f"row bigint, doc_id {kind.simpleString()}, a bigint, b bigint")
+    return rows.repartition(n, "cell").sortWithinPartitions("cell").mapInArrow(run, f"row bigint, doc_id {kind}, a bigint, b bigint")
+
+
+def _with_hot(rows: DataFrame, small: DataFrame, on: list[str], size: str) -> DataFrame:
+    """rows joined to `small` on some keys, of each of which `size` says how many rows it has.
+
+    Keys with more than a share of all rows (one of four a partition, so no more keys than that) are cut into parts on both
+    sides, so no task gets a whole hot one. These few keys are all that every task is given.
+    """
+    total = small.agg(F.sum(size)).first()[0] or 0
+    share = max(1, total // (4 * partitions(rows.sparkSession)))
+    parts = F.ceil(F.col(size) / share).cast("int")
+    hot = small.filter(F.col(size) > share).select(*on, parts.alias("__parts"))
+    rows = rows.join(F.broadcast(hot), on, "left")
+    rows = rows.withColumn("__part", F.pmod(F.xxhash64("row", "start"), F.coalesce("__parts", F.lit(1))).cast("int")).drop("__parts")
+    small = small.withColumn("__part", F.explode(F.sequence(F.lit(0), F.when(F.col(size) > share, parts).otherwise(1) - 1)))
+    return rows.join(small.drop(size), [*on, "__part"]).drop("__part")
+
+
+def merged_spans(spans: DataFrame) -> DataFrame:
+    """Spans that overlap or touch become one, so that a document has no more spans than runs of removed bytes."""
+    in_text = Window.partitionBy("row", "doc_id").orderBy("a", "b")
+    reached = F.max("b").over(in_text.rowsBetween(Window.unboundedPreceding, -1))
+    begins = F.when(reached.isNull() | (F.col("a") > reached), 1).otherwise(0)
+    numbered = spans.withColumn("__begins", begins).withColumn("__run", F.sum("__begins").over(in_text))
+    return numbered.groupBy("row", "doc_id", "__run").agg(F.min("a").alias("a"), F.max("b").alias("b")).drop("__run")
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, slots: int = SLOTS) -> DataFrame:
     """row, doc_id, a, b: byte spans (a to before b) to remove from keyed documents; spans may overlap."""
     found = _occurrences(docs, length, gram, slots)
-    again = found.groupBy("cell").agg(F.count("*").alias("in_cell")).filter("in_cell > 1").select("cell")
-    found = written(found.join(again, "cell"))  # the rest works on the few runs whose cell occurs again
+    again = written(found.groupBy("cell").agg(F.count("*").alias("in_cell")).filter("in_cell > 1"))
+    found = written(_with_hot(found, again, ["cell"], "in_cell"))  # the rest works on the few runs whose cell occurs again
     kinds = written(found.groupBy("cell", "run").agg(
         F.count("*").alias("copies"), F.min(F.struct("row", "doc_id", "start")).alias("one"), F.max("n").alias("n")))
-    copied = found.join(kinds.filter("copies > 1").select("cell", "run"), ["cell", "run"])
+    copied = _with_hot(found, kinds.filter("copies > 1").select("cell", "run", "copies"), ["cell", "run"], "copies")
     copied = copied.select("row", "doc_id", F.col("start").alias("a"), (F.col("start") + F.col("n") - 1 + length).alias("b"))
     several = kinds.groupBy("cell").agg(F.count("*").alias("kinds"), F.min("copies").alias("least")).filter("kinds > 1 AND least = 1")
     ones = kinds.join(several.select("cell", "kinds"), "cell").select("cell", "copies", "n", "kinds", "one.*")
@@ -210,14 +265,14 @@ def cut(text: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, int, int]:
 
 def with_spans(docs: DataFrame, spans: DataFrame, doc_id: str = "doc_id", row: str = "row") -> DataFrame:
     """The rows of docs with their spans as an array column __spans (null: none)."""
-    spans = spans.groupBy("row", "doc_id").agg(F.collect_set(F.struct("a", "b")).alias("__spans"))
+    spans = merged_spans(spans).groupBy("row", "doc_id").agg(F.collect_list(F.struct("a", "b")).alias("__spans"))
     spans = spans.select(F.col("row").alias("__span_row"), F.col("doc_id").alias("__span_id"), "__spans")
     on = (F.col(row) == F.col("__span_row")) & F.col(doc_id).eqNullSafe(F.col("__span_id"))
     return docs.join(spans, on, "left").drop("__span_row", "__span_id")
 
 
 def report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every document."""
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and kept_text (as `remove` leaves it) of every document."""
     keys = keyed(docs, doc_id, text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -227,12 +282,13 @@ def report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length:
                 done = [cut(x, [(s["a"], s["b"]) for s in spans or []]) for x, spans in zip(texts, piece.column("__spans").to_pylist(), strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [piece.column("doc_id"), pa.array([len(x) for x in texts], pa.int64()), pa.array([x[1] for x in done], pa.int64()),
-                     pa.array([x[2] for x in done], pa.int64()), pa.array([hashlib.sha256(x[0]).hexdigest() for x in done])],
-                    names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+                     pa.array([x[2] for x in done], pa.int64()), pa.array([hashlib.sha256(x[0]).hexdigest() for x in done]),
+                     pa.array([x[0].decode(errors="ignore") for x in done], pa.string())],
+                    names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"])
 
     kind = keys.schema["doc_id"].dataType.simpleString()
     return with_spans(keys, repeated_spans(keys, length)).select("doc_id", "text", "__spans").mapInArrow(
-        run, f"doc_id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
+        run, f"doc_id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept_text string")
 
 
 def remove(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:

@@ -3,9 +3,11 @@ from __future__ import annotations
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from alpenglow.llm import suffix_dedup as d
 from alpenglow.llm.difference_cover import ranks
@@ -70,3 +72,49 @@ def test_whole_copies_nulls_and_repeated_rows(spark, documents, prose):
 def test_cut_merges_and_counts():
     assert d.cut(b"0123456789", [(6, 8), (1, 3), (2, 4), (4, 5)]) == (b"05" + b"89", 6, 2)
     assert d.cut(b"abc", []) == (b"abc", 0, 0)
+
+
+def test_a_passage_in_most_texts_is_cut_into_parts(spark, prose, monkeypatch):
+    """Hot cells and hot runs are salted on both sides, and give what brute force gives."""
+    shared = prose(1, 60)
+    texts = [shared] * 40 + [prose(k, 3) + " " + shared + " " + prose(k + 100, 3) for k in range(40)] + [prose(k, 40) for k in range(300, 320)]
+    keys = d.keyed(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"), "doc_id", "text")
+    found, small = [], []
+    real = d._with_hot
+
+    def watched(rows, few, on, size):
+        total = few.agg(F.sum(size)).first()[0]
+        found.append(few.filter(F.col(size) > total / 32).count())
+        out = real(rows, few, on, size)
+        small.append((out.count(), rows.join(few.select(*on), on).count()))
+        return out
+
+    monkeypatch.setattr(d, "_with_hot", watched)
+    spans = d.with_spans(keys, d.repeated_spans(keys, 65, 16))
+    cut = {r["doc_id"]: d.cut(r["text"].encode(), [(s["a"], s["b"]) for s in r["__spans"] or []]) for r in spans.collect()}
+    assert [cut[k] for k in range(len(texts))] == brute([x.encode() for x in texts], 65)
+    assert min(found) > 0 and all(a == b for a, b in small)
+
+
+def test_spans_are_merged_before_they_are_gathered(spark):
+    rows = [(1, 5, 0, 4), (1, 5, 3, 9), (1, 5, 9, 10), (1, 5, 12, 14), (1, None, 1, 2), (1, None, 0, 5), (2, 5, 0, 1)]
+    frame = spark.createDataFrame(rows, "row bigint, doc_id bigint, a bigint, b bigint")
+    assert sorted(map(tuple, d.merged_spans(frame).collect()), key=repr) == sorted(
+        [(1, 5, 0, 10), (1, 5, 12, 14), (1, None, 0, 5), (2, 5, 0, 1)], key=repr)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 9), st.integers(1, 30)), max_size=40), st.integers(1, 12), st.integers(1, 60))
+def test_pieces_end_where_a_cell_does(rows, per_batch, size):
+    rows = sorted(rows)
+    batch = pa.RecordBatch.from_arrays([pa.array([c for c, _ in rows], pa.int64()), pa.array([b"x" * n for _, n in rows], pa.binary())], names=["cell", "bytes"])
+    pieces = [x.to_pylist() for x in d._by_cells((batch.slice(k, per_batch) for k in range(0, len(rows), per_batch)), size)]
+    assert [r for x in pieces for r in x] == batch.to_pylist()
+    cells = [{r["cell"] for r in x} for x in pieces]
+    assert all(not (a & b) for a, b in zip(cells[:-1], cells[1:], strict=True))
+    for x in pieces[:-1]:
+        own = sum(len(r["bytes"]) for r in x)
+        assert own >= size
+    for x in pieces:  # no piece could have ended earlier
+        last = x[-1]["cell"]
+        assert sum(len(r["bytes"]) for r in x if r["cell"] != last) < size
