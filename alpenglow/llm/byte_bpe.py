@@ -5,8 +5,8 @@ round every row merges its leftmost pair of minimum rank, ranks come from one ha
 are shifted left over the merged token, and finished rows leave the matrix. A worker keeps the encoding of the pieces it
 has met in a table of bounded size, which changes nothing but the time.
 
-Long pieces (a row of their own) merge all occurrences of the minimum pair in a round, from the left, up to the first one
-after which a lower rank appears: what single rounds would do in the same order.
+Long pieces (a row of their own) merge the same pairs in the same order, the leftmost of minimum rank first, from a heap of
+(rank, place): their time grows as n log n, whatever the text is.
 
 Null and empty texts have no ids and decode to no bytes. Ids outside the table raise on decoding.
 """
@@ -14,8 +14,8 @@ Null and empty texts have no ids and decode to no bytes. Ids outside the table r
 from __future__ import annotations
 
 import base64
+import heapq
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -24,13 +24,15 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from alpenglow.llm.common import chunks
+from alpenglow.llm.common import chunks, worker_cache
 
 NONE = np.int32(2**31 - 1)
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 #: Widths of the matrices; a piece of more bytes is encoded on its own.
 WIDTHS = (2, 3, 4, 6, 8, 12, 16, 24, 32, 48, 64, 128)
 ROWS = 20_000
+#: Bits of a place in a long piece.
+_PLACE = 40
 #: Pieces a worker remembers.
 REMEMBERED = 300_000
 
@@ -130,28 +132,28 @@ class Encoding:
             rank[has, at[has]] = self.pairs.find(ids[has, at[has]], ids[has, at[has] + 1])
         return done
 
-    def merge_long(self, ids: np.ndarray) -> np.ndarray:
-        while len(ids) > 1:
-            rank = self.pairs.find(ids[:-1], ids[1:])
-            low = rank.min()
-            if low == NONE:
-                break
-            at = np.flatnonzero(rank == low)
-            run = np.cumsum(np.r_[True, np.diff(at) != 1])
-            first = at[np.r_[True, np.diff(run) != 0]]
-            at = at[(at - first[run - 1]) % 2 == 0]  # of overlapping pairs every other one
-            before = ids[np.maximum(at - 1, 0)].copy()
-            before[1:][at[1:] == at[:-1] + 2] = low
-            before[at == 0] = -1
-            after = np.where(at + 2 < len(ids), ids[np.minimum(at + 2, len(ids) - 1)], -1).astype(np.int32)
-            new = np.full(len(at), low, np.int32)
-            lower = np.flatnonzero(np.minimum(self.pairs.find(before, new), self.pairs.find(new, after)) < low)
-            if len(lower):
-                at = at[: lower[0] + 1]
-            ids = ids.copy()
-            ids[at] = low
-            ids = np.delete(ids, at + 1)
-        return ids
+    def merge_long(self, piece: bytes) -> np.ndarray:
+        token = [bytes([x]) for x in piece]
+        rank_of, n = self.ranks.get, len(piece)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [rank << _PLACE | at for at in range(n - 1) if (rank := rank_of(token[at] + token[at + 1])) is not None]
+        heapq.heapify(heap)
+        mask = (1 << _PLACE) - 1
+        while heap:
+            top = heapq.heappop(heap)
+            at, right = top & mask, after[top & mask]
+            # stale unless both are still there and are the pair that this rank was noted for
+            if token[at] is None or right >= n or rank_of(merged := token[at] + token[right]) != top >> _PLACE:
+                continue
+            token[at], token[right] = merged, None
+            after[at] = after[right]
+            if after[at] < n:
+                before[after[at]] = at
+                if (rank := rank_of(merged + token[after[at]])) is not None:
+                    heapq.heappush(heap, rank << _PLACE | at)
+            if before[at] >= 0 and (rank := rank_of(token[before[at]] + merged)) is not None:
+                heapq.heappush(heap, rank << _PLACE | before[at])
+        return np.array([self.ranks[x] for x in token if x is not None], np.int32)
 
     def encode_pieces(self, pieces: list[bytes]) -> list[np.ndarray]:
         out: list[np.ndarray | None] = [None] * len(pieces)
@@ -162,7 +164,7 @@ class Encoding:
             if whole is not None:
                 out[k] = np.array([whole], np.int32)
             elif len(piece) > WIDTHS[-1]:
-                out[k] = self.merge_long(self.bytes_id[np.frombuffer(piece, np.uint8)])
+                out[k] = self.merge_long(piece)
             else:
                 todo[fit[len(piece)]].append(k)
         for width, ks in zip(WIDTHS, todo, strict=True):
@@ -211,12 +213,13 @@ class Encoding:
         return self.text[take].tobytes(), ends[bounds]
 
 
-@lru_cache(maxsize=2)
 def load(path: str, pattern: str) -> Encoding:
     """The encoding of a rank file, once a worker. The file is a part of every machine's installation, as the libraries are."""
-    with open(path, "rb") as lines:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-    return Encoding(ranks, pattern)
+    held, key = worker_cache(), f"bpe {path} {pattern}"
+    if key not in held:
+        with open(path, "rb") as lines:
+            held[key] = Encoding({base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}, pattern)
+    return held[key]
 
 
 def encode(frame: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -83,6 +85,11 @@ def fields(frame: DataFrame, *names: str) -> list[T.StructField]:
     return [frame.schema[x] for x in names]
 
 
+def worker_cache() -> dict:
+    """A dictionary of this process: tasks of a worker share it, and what it holds never travels with a function."""
+    return sys.modules.setdefault("_alpenglow_worker_cache", ModuleType("_alpenglow_worker_cache")).__dict__
+
+
 def packed(*arrays: np.ndarray) -> bytes:
     """Arrays as one compressed value; `unpacked` takes their kinds."""
     sizes = np.array([x.nbytes for x in arrays], np.int64).tobytes()

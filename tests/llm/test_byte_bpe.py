@@ -65,3 +65,15 @@ def test_forgetting_changes_nothing(monkeypatch, prose):
 def test_unknown_ids_are_refused():
     with pytest.raises(ValueError, match="outside"):
         ENCODING.decode(np.array([50_300]), np.array([0, 1]))
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.text(alphabet="abcthe", min_size=129, max_size=600) | st.text(alphabet="é日a", min_size=60, max_size=300))
+def test_any_long_piece_as_the_library(piece):
+    assert ENCODING.merge_long(piece.encode()).tolist() == LIBRARY._core_bpe.encode_single_piece(piece.encode())
+
+
+def test_a_piece_of_a_million_bytes():
+    piece = "thequickbrownfox" * 62_500
+    ids = ENCODING.merge_long(piece.encode())
+    assert ENCODING.decode(ids.astype(np.int64), np.array([0, len(ids)]))[0] == piece.encode()
