@@ -4,8 +4,9 @@ Learning counts hashed byte n-grams (N bytes inside a word with its edges, A-Z a
 language over all learned documents; the model holds languages x BUCKETS log likelihoods and nothing that grows with the
 text. A document's words are its units: the likelihood of a word in a language is the mean over its n-grams times
 their number, held to EVIDENCE n-grams so that long words don't decide alone. Expectation-maximisation over the words
-estimates the proportions of a language set. Sets are nested by the proportions of the full set; the set is chosen whose
-log likelihood less PENALTY * log(words + 1) for each language is largest. The prediction is the largest proportion in
+estimates the proportions of a language set, until they settle. Every language alone and, nested by the proportions of the
+full set, every larger set is fitted; that one is chosen whose log likelihood less PENALTY * log(words + 1) for each language
+is largest. The prediction is the largest proportion in
 that set (ties: the first language by name), its score that proportion.
 
 Null texts and texts without a letter are `und` with score 0; so is everything if nothing was learned.
@@ -29,7 +30,8 @@ N = 3
 BUCKETS = 1 << 14
 SMOOTHING = 0.5
 EVIDENCE = 12.0
-ROUNDS = 8
+#: Rounds end where no proportion of a text moves by so much; or, far beyond what texts need, after so many.
+TOLERANCE, MOST_ROUNDS = 1e-3, 500
 PENALTY = 1.0
 NO_LANGUAGE = "und"
 _LETTER = regex.compile(r"\p{L}")
@@ -55,6 +57,28 @@ def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return bucket[used].astype(np.int64), word[1:-1][used], text_of_word
 
 
+def _mixture(share: np.ndarray, likely: np.ndarray, place: np.ndarray, firsts: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Proportions of each text's languages by expectation-maximisation from `share` (languages at 0 stay out), and the log
+    likelihood. Rounds go on until no proportion moves by TOLERANCE; texts that have settled take no further part."""
+    share, fit = share.copy(), np.zeros(len(share))
+    active, units, at, begin = np.arange(len(share)), likely, place, firsts
+    for _ in range(MOST_ROUNDS):
+        if not len(active):
+            break
+        part = units * share[active][at]
+        whole = part.sum(axis=1, keepdims=True)
+        new = np.add.reduceat(part / whole, begin, axis=0) / count[active, None]
+        moved = np.abs(new - share[active]).max(axis=1) >= TOLERANCE
+        share[active] = new
+        if not moved.all():
+            kept = moved[at]
+            active, units = active[moved], units[kept]
+            at = (np.cumsum(moved) - 1)[at[kept]]
+            begin = np.searchsorted(at, np.arange(len(active)))
+    fit = np.add.reduceat(np.log((likely * share[place]).sum(axis=1)), firsts)
+    return share, fit
+
+
 @dataclass
 class Model:
     languages: list[str]
@@ -72,41 +96,28 @@ class Model:
         size = np.diff(np.r_[begins, len(word)])
         total *= np.minimum(1.0, EVIDENCE / size)[:, None]
         peak = total.max(axis=1)
-        likely = np.exp(total - peak[:, None])
+        likely = np.maximum(np.exp(total - peak[:, None]), 1e-300)
         some = np.flatnonzero(words)
         place = np.searchsorted(some, owner)
         firsts = np.searchsorted(owner, some)
         peaks = np.add.reduceat(peak, firsts)
 
-        def em(share: np.ndarray, units, at, begin, count, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
-            for _ in range(rounds):
-                part = units * share[at]
-                part /= part.sum(axis=1, keepdims=True)
-                share = np.add.reduceat(part, begin, axis=0) / count[:, None]
-            return share, np.add.reduceat(np.log((units * share[at]).sum(axis=1)), begin)
-
         count = words[some].astype(float)
-        full, value = em(np.full((len(some), languages), 1 / languages), likely, place, firsts, count)
+        full, value = _mixture(np.full((len(some), languages), 1 / languages), likely, place, firsts, count)
         order = np.argsort(-full, axis=1, kind="stable")
         cost = PENALTY * np.log(count + 1)
         best, best_value = full.copy(), value + peaks - languages * cost
         single = np.add.reduceat(total, firsts, axis=0)
         for k in range(1, languages):
             share = np.zeros_like(full)
-            np.put_along_axis(share, order[:, :k], 1 / k, axis=1)
-            if k == 1:
-                found, fit = share, np.take_along_axis(single, order[:, :1], axis=1)[:, 0]
+            if k == 1:  # the likeliest language alone, whatever its place in the mixture
+                own = single.argmax(axis=1)
+                share[np.arange(len(some)), own] = 1.0
+                found, fit = share, single[np.arange(len(some)), own]
             else:
-                # a third language only where the second paid
-                open_docs = np.flatnonzero(best_value < np.inf) if k == 2 else np.flatnonzero(grew)  # noqa: F821
-                if not len(open_docs):
-                    break
-                kept = np.isin(place, open_docs)
-                new_place = np.searchsorted(open_docs, place[kept])
-                begin = np.searchsorted(new_place, np.arange(len(open_docs)))
-                part, fit_part = em(share[open_docs], likely[kept], new_place, begin, count[open_docs], ROUNDS // 2)
-                found, fit = share, np.full(len(some), -np.inf)
-                found[open_docs], fit[open_docs] = part, fit_part + peaks[open_docs]
+                np.put_along_axis(share, order[:, :k], 1 / k, axis=1)
+                found, fit = _mixture(share, likely, place, firsts, count)
+                fit = fit + peaks
             new = fit - k * cost
             grew = new > best_value
             best[grew], best_value[grew] = found[grew], new[grew]
