@@ -15,10 +15,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from alpenglow.llm.common import partitions, written
+
 #: Largest mean that one inversion draws.
 PART = 16.0
 #: Terms of the distribution behind its mean; what is left is below 1e-17.
 TAIL = 80
+#: Sources whose rates every task is given.
+SOURCES = 10_000
 
 
 def uniform(seed: int, *parts: Column) -> Column:
@@ -33,7 +37,7 @@ def rates(docs: DataFrame, weights: dict[str | None, float] | None = None, epoch
 
     `weights` are relative shares by source (missing: 0); without them all sources weigh the same.
     """
-    sizes = docs.groupBy(source).agg(F.sum(F.coalesce(F.char_length(text), F.lit(0))).alias("__size"))
+    sizes = written(docs.groupBy(source).agg(F.sum(F.coalesce(F.char_length(text), F.lit(0))).alias("__size")))
     if weights is None:
         weight = F.lit(1.0)
     else:
@@ -64,7 +68,7 @@ def cumulative(rate: Column) -> Column:
 
 def replicate(docs: DataFrame, weights: dict[str | None, float] | None = None, epochs: float = 1.0, seed: int = 0,
               doc_id: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
-    """Each document as often as drawn (columns copy from 1, copies, order_key), ordered by order_key over the whole result."""
+    """Each document as often as drawn (columns copy from 1, copies, order_key), ordered by order_key within and across partitions."""
     docs = docs.drop("copy", "copies", "order_key")
     mean = rates(docs, weights, epochs, source, text)
     parts = F.greatest(F.ceil(F.col("__rate") / PART).cast("int"), F.lit(1))
@@ -74,8 +78,13 @@ def replicate(docs: DataFrame, weights: dict[str | None, float] | None = None, e
         F.sequence(F.lit(1), F.col("__parts")), F.lit(0),
         lambda total, k: total + F.size(F.filter("__cdf", lambda c: c < uniform(seed, key, k.cast("string")))),
     )
+    if mean.count() <= SOURCES:
+        mean = F.broadcast(mean)  # a row of at most SOURCES rates; with more, the join shuffles
     out = docs.join(mean, F.col(source).eqNullSafe(F.col("__source"))).withColumn("copies", drawn)
     out = out.drop("__source", "__parts", "__cdf").filter("copies > 0")
     out = out.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
     order = F.md5(F.concat_ws(":", F.lit(f"order{seed}"), key, F.col("copy").cast("string")).cast("binary"))
-    return out.withColumn("order_key", order).orderBy("order_key")
+    # The keys are uniform, so equal parts of their range are equal parts of the rows and need no sampling.
+    n = partitions(docs.sparkSession)
+    part = F.floor(F.conv(F.substring("order_key", 1, 8), 16, 10).cast("bigint") * n / 2**32).cast("int")
+    return out.withColumn("order_key", order).repartitionById(n, part).sortWithinPartitions("order_key")
