@@ -47,3 +47,14 @@ def test_digest_of_frames(spark):
     assert found[None]["n_turns"] == 1 and found[None]["loss_sha256"] == sha("")
     assert found[-1]["loss_sha256"] == sha("</s>[INST] ok [/INST]")
     assert g.digest(g.render(frame.limit(0))).count() == 0
+
+
+def test_clashing_columns_null_ids_and_very_long_texts(spark):
+    long = "word </s> " * 30_000
+    rows = [(None, 0, "user", "a"), (None, 1, "assistant", long), (3, 0, "user", long)]
+    frame = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    wide = frame.selectExpr("*", "'x' AS formatted", "'y' AS n_turns", "1 AS loss")
+    plain, more = (sorted(map(repr, g.digest(g.render(x)).collect())) for x in (frame, wide))
+    assert plain == more and len(plain) == 2
+    found = {r["conv_id"]: r for r in g.digest(g.render(wide)).collect()}
+    assert found[None]["loss_chars"] == len(long) and found[None]["loss_sha256"] == hashlib.sha256(long.encode()).hexdigest()

@@ -1,0 +1,45 @@
+"""The registered queries against their SQL on the smallest data, and what the entry knows of them."""
+
+from __future__ import annotations
+
+from collections import Counter
+from pathlib import Path
+
+import pytest
+
+import __spark_entry__
+from alpenglow.llm.queries import oracle_sql, queries
+
+DATA = __spark_entry__.SMOKE_DIR
+pytestmark = pytest.mark.skipif(not Path(DATA).exists(), reason="no test data")
+
+
+def test_the_entry_registers_them_and_the_pipeline():
+    assert queries().keys() | {"pipeline"} <= __spark_entry__.queries().keys()
+    assert oracle_sql().items() <= __spark_entry__.oracle_sql().items()
+    assert [int(name[2:].split("_")[0]) for name in queries()] == list(range(1, 14))
+
+
+@pytest.mark.parametrize("name", sorted(oracle_sql()))
+def test_query(spark, name):
+    duckdb = pytest.importorskip("duckdb")
+    con = duckdb.connect()
+    for path in Path(DATA).glob("*.parquet"):
+        con.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM '{path}'")
+    found = queries()[name](spark, DATA)
+    columns = sorted(found.columns)
+    rows = Counter(repr(tuple(r)) for r in found.select(*columns).collect())
+    cursor = con.execute(oracle_sql()[name])
+    names = [d[0] for d in cursor.description]
+    assert sorted(names) == columns
+    order = [names.index(n) for n in columns]
+    assert rows == Counter(repr(tuple(r[k] for k in order)) for r in cursor.fetchall())
+
+
+@pytest.mark.parametrize("name", sorted(queries().keys() - oracle_sql().keys()))
+def test_queries_without_sql_return_a_row_a_document(spark, name):
+    """Their results are compared with brute force in the tests of their operators."""
+    found = queries()[name](spark, DATA)
+    key = "conv_id" if "conv_id" in found.columns else "doc_id"
+    given = spark.read.parquet(f"{DATA}/{'conversations' if key == 'conv_id' else 'documents'}.parquet").select(key).distinct().count()
+    assert found.select(key).distinct().count() == found.count() == given + (key == "conv_id")
