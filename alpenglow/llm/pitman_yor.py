@@ -16,29 +16,29 @@ seated in parallel given the parent of the pass before, never gathered or broadc
 
 A context with more than its share of all words (1 / HOT_SHARE of a bucket) is cut by the hash of the following word into
 parts, each sent to a bucket of its own. A part is seated with the tables that the other buckets had in the pass before; its
-averaged tables are added up over all buckets before scoring, so that the context's probabilities sum to 1 as those of others
+averaged tables are added up over all buckets (one number a hot context) before scoring, so that the context's probabilities sum to 1 as those of others
 do. The list of such contexts is bounded by HOT_SHARE times the number of buckets.
 
 Words are A-Z lower-cased runs without white space, then one end of text; null and empty texts are an end alone. Null ids
 are held out or learned like the empty id; repeated rows are texts of their own. With nothing learned every word has the
-uniform probability.
+uniform probability. Samples are drawn bucket by bucket, so scores depend on spark.sql.shuffle.partitions as on a seed (with
+8 against 32 up to 1.5 % in a document, 0.01 % in their sum). Ids are returned as long; ids of other types must be numbers.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from alpenglow.llm.common import chunks, encoded, joined, partitions
+from alpenglow.llm.common import chunks, encoded, joined, partitions, worker_cache, written
 
 #: Discount and strength of the parent, and of the contexts.
 PARENT, CONTEXT = (0.65, 10.0), (0.85, 2.0)
@@ -50,14 +50,19 @@ HOT_SHARE = 4
 SETTLE = 40
 #: Passes over the contexts, each followed by one over the parent.
 ROUNDS = 2
-#: Customers of one dish up to which the Stirling numbers are a table.
-EXACT = 1024
+#: Customers of one dish up to which the Stirling numbers are a table; beyond, they are integrated to about 4e-5 in their
+#: logarithms, at so many points; from DIRECT tables on they are interpolated at so many nodes over ranges that grow by this factor.
+EXACT = 512
+CONTOUR, NODES, PIECE, DIRECT = 100, 24, 1.5, 64
 #: Text of one block of documents.
-BLOCK_BYTES = 12_000_000
+BLOCK_BYTES = 6_000_000
 SEED = 11
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _BASE = 0xD1342543DE82EF95
 START, END = np.uint64(1), np.uint64(2)
+#: Text hashed at once (one text at least).
+TOKEN_BYTES = 1_000_000
+_KIND = np.array([0 if c == 32 or 9 <= c <= 13 else c + 33 if 65 <= c <= 90 else c + 1 for c in range(256)], np.uint64)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -67,19 +72,38 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of all words, each text's followed by END; and how many each text has."""
+    sizes = np.cumsum([len(x) + 1 for x in texts])
+    found, at = [(np.zeros(0, np.uint64), np.zeros(0, np.int64))], 0
+    while at < len(texts):
+        stop = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + TOKEN_BYTES, side="right")))
+        found.append(_tokens(texts[at:stop]))
+        at = stop
+    return np.concatenate([x for x, _ in found]), np.concatenate([x for _, x in found])
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of _BASE from 1 on and of its inverse from 0 on, modulo 2**64; those of usual lengths are kept."""
+    held = worker_cache()
+    if n > len(held.get("powers", ((),))[0]):
+        size = max(n, TOKEN_BYTES + 1)
+        up = np.multiply.accumulate(np.full(size, np.uint64(_BASE)))
+        down = np.multiply.accumulate(np.r_[np.uint64(1), np.full(size - 1, np.uint64(pow(_BASE, -1, 2**64)))])
+        if size > 4 * TOKEN_BYTES:
+            return up, down
+        held["powers"] = up, down
+    return tuple(x[:n] for x in held["powers"])
+
+
+def _tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     data, bounds = joined([x + b" " for x in texts])
-    space = (data == 32) | ((data >= 9) & (data <= 13))
-    data = data + np.where((data >= 65) & (data <= 90), np.uint8(32), np.uint8(0))
-    word = ~space
-    begins = np.flatnonzero(word & ~np.r_[False, word[:-1]])
-    ends = np.flatnonzero(space & np.r_[False, word[:-1]])
-    size = ends - begins
-    longest = int(size.max(initial=1))
-    powers = np.multiply.accumulate(np.full(longest, np.uint64(_BASE)))
-    place = np.flatnonzero(word)
-    first = np.cumsum(size) - size
-    letter = (data[place].astype(np.uint64) + np.uint64(1)) * powers[np.arange(len(place)) - np.repeat(first, size)]
-    hashes = mixed(np.add.reduceat(letter, first) + size.astype(np.uint64)) if len(size) else np.zeros(0, np.uint64)
+    kind = _KIND[data]  # 0: white space, else the letter in lower case, plus 1
+    word = kind > 0
+    edge = np.flatnonzero(np.diff(word, prepend=False))  # a space is last, so words begin and end in turn
+    begins, ends = edge[::2], edge[1::2]
+    up, down = _powers(len(data))
+    total = np.cumsum(kind * up)
+    before = np.where(begins > 0, total[np.maximum(begins - 1, 0)], np.uint64(0))
+    hashes = mixed((total[ends - 1] - before) * down[begins] + (ends - begins).astype(np.uint64))
     owner = np.searchsorted(bounds, begins, side="right") - 1
     counts = np.bincount(owner, minlength=len(texts)) + 1
     out = np.full(int(counts.sum()), END)
@@ -110,13 +134,14 @@ def hot_contexts(docs: DataFrame, buckets: int) -> dict[int, int]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in _blocks(batches):
             words, counts = tokens(encoded(piece.column("text")))
-            values, n = np.unique(words, return_counts=True)
+            code, values = pd.factorize(words)
+            n = np.bincount(code)
             values, n = np.append(values[values != END], START), np.append(n[values != END], len(counts))
             some = n * 2 * HOT_SHARE * buckets > len(words)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.append(values[some], np.uint64(0)).view(np.int64)), pa.array(np.append(n[some], len(words)))], names=["word", "n"])
 
-    rows = docs.select("text").mapInArrow(run, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    rows = written(docs.select("text").mapInArrow(run, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n")))
     total = rows.filter("word = 0").agg(F.max("n")).first()[0] or 0  # word 0 counts all
     least = total / (HOT_SHARE * buckets)
     hot = rows.filter((F.col("word") != 0) & (F.col("n") > F.lit(least))).collect()
@@ -144,7 +169,11 @@ def _send(batches: Iterator[pa.RecordBatch], buckets: int, hot: np.ndarray, part
         before[1:] = words[:-1]
         before[firsts] = START
         bucket = (mixed(_place(before, words, hot, parts)) >> np.uint64(3)) % np.uint64(buckets)
-        order = np.lexsort((words, before, bucket))
+        # One number to sort by: the bucket, then bits of both hashes, so that equal pairs lie together. Where these bits agree by
+        # chance a context or a pair comes in two pieces, which the bucket joins.
+        rest = 64 - int(buckets).bit_length()
+        key = bucket << np.uint64(rest) | mixed(before) >> np.uint64(64 - rest // 2) << np.uint64(rest - rest // 2) | mixed(words) >> np.uint64(64 - rest + rest // 2)
+        order = np.argsort(key)
         bucket, before, words, doc = bucket[order], before[order], words[order], doc[order]
         ends = np.cumsum(np.bincount(bucket.astype(np.int64), minlength=buckets)).tolist()
         ids = piece.column("doc_id")
@@ -167,6 +196,17 @@ def _send(batches: Iterator[pa.RecordBatch], buckets: int, hot: np.ndarray, part
              pa.array([r[3] for r in rows], pa.binary())], names=["bucket", "block", "pairs", "about"])
 
 
+def grouped(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct values in order, where each comes first, and the place of every value among them; only the distinct are sorted."""
+    code, distinct = pd.factorize(values)
+    first = np.empty(len(distinct), np.int64)
+    first[code[::-1]] = np.arange(len(values))[::-1]
+    order = np.argsort(distinct)
+    place = np.empty(len(distinct), np.int64)
+    place[order] = np.arange(len(distinct))
+    return distinct[order], first[order], place[code]
+
+
 class _Bucket:
     """The pairs of one bucket: distinct ones with learned counts, and each block's occurrences as places in them."""
 
@@ -180,33 +220,36 @@ class _Bucket:
             self.blocks.append((block, times, doc, learn, about))
         context = np.concatenate([x for x, _ in keys]) if keys else np.zeros(0, np.uint64)
         word = np.concatenate([x for _, x in keys]) if keys else np.zeros(0, np.uint64)
-        _, first, self.place = np.unique(mixed(context) + word, return_index=True, return_inverse=True)
+        _, first, self.place = grouped(mixed(context) + word)
         self.context, self.word = context[first], word[first]
         learned = [np.add.reduceat(learn[doc].astype(np.int64), np.cumsum(times) - times) if len(times) else np.zeros(0, np.int64)
                    for _, times, doc, learn, _ in self.blocks]
         self.count = np.bincount(self.place, np.concatenate(learned) if learned else None, minlength=len(first)).astype(np.int64)
-        self.owners, self.owner = np.unique(self.context, return_inverse=True)
-        self.words, self.word_at = np.unique(self.word, return_inverse=True)
+        self.owners, _, self.owner = grouped(self.context)
+        self.words, _, self.word_at = grouped(self.word)
         at = np.minimum(np.searchsorted(hot, self.context), max(len(hot) - 1, 0))
         is_hot = hot[at] == self.context if len(hot) else np.zeros(len(first), bool)
         self.hot_at = np.where(is_hot, at, -1)
 
     def heard(self, answers: pa.Table, hot: np.ndarray) -> None:
         """Takes in what the parent answers: its probability of each pair's word, and the totals of the hot contexts."""
-        got = sorted(answers.column("parent").to_pylist())  # always in one order
-        got = [_unpack(x, "<u8", "<i8", "<f8", "<i8", "<u8", "<i8", "<f8", "<f8") for x in got]
-        word = np.concatenate([x[0] for x in got])
-        order = np.argsort(word)  # each word once, the same words as self.words
-        customers, tables, self.learned = (np.concatenate([x[k] for x in got])[order] for k in (1, 2, 3))
-        self.totals = np.array([x[7] for x in got])
+        got = [_unpack(x, "<i8", "<f4", "<i8", "<u8", "<i8", "<f8", "<f8") for x in answers.column("parent").to_pylist()]
+        got.sort(key=lambda x: x[6][4])  # by shard; the words of a shard are in their order
+        order = np.argsort(_shards(self.words, len(got)), kind="stable")
+        customers, tables, learned = (np.empty(len(self.words), kind) for kind in (np.int64, np.float64, np.int64))
+        customers[order], tables[order] = (np.concatenate([x[k] for x in got]) for k in (0, 1))
+        if any(len(x[2]) for x in got):
+            learned[order] = np.concatenate([x[2] for x in got])
+        self.learned = learned
+        self.totals = np.array([x[6] for x in got])
         all_customers, all_tables, self.known, self.n_tokens = self.totals[:, :4].sum(axis=0)
         discount, strength = PARENT
         parent = (customers - discount * tables + (strength + discount * all_tables) / (self.known + 1)) / (strength + all_customers)
         self.base = parent[self.word_at]
         self.others, self.hot_count = np.zeros(len(self.owners)), np.zeros(len(hot))
         for x in got:
-            self.others[np.searchsorted(self.owners, x[4])] = x[6]
-            self.hot_count[np.searchsorted(hot, x[4])] = x[5]
+            self.others[np.searchsorted(self.owners, x[3])] = x[5]
+            self.hot_count[np.searchsorted(hot, x[3])] = x[4]
 
     def seated(self, some: np.ndarray, moves: int, burn: int, seed: list[int]) -> tuple[np.ndarray, np.ndarray]:
         return seat(self.count[some], self.base[some], self.owner[some], np.ones(len(self.owners)), *CONTEXT, moves, burn, seed, self.others)
@@ -216,53 +259,102 @@ class _Bucket:
         return np.bincount(self.hot_at[heavy], values[heavy], minlength=len(hot))
 
 
-@lru_cache(maxsize=2)
 def _stirling(discount: float) -> list[np.ndarray]:
     """Logarithms of the generalised Stirling numbers: row c, for 1 to c tables, up to EXACT customers."""
-    rows = [np.zeros(0), np.zeros(1)]
-    for c in range(1, EXACT):
-        with np.errstate(divide="ignore"):
-            stay = np.append(rows[c] + np.log(c - discount * np.arange(1, c + 1)), -np.inf)
-        rows.append(np.logaddexp(np.append(-np.inf, rows[c]), stay))
-    return rows
+    held, key = worker_cache(), f"stirling {discount}"
+    if key not in held:
+        rows = [np.zeros(0), np.zeros(1)]
+        for c in range(1, EXACT):
+            with np.errstate(divide="ignore"):
+                stay = np.append(rows[c] + np.log(c - discount * np.arange(1, c + 1)), -np.inf)
+            rows.append(np.logaddexp(np.append(-np.inf, rows[c]), stay))
+        held[key] = rows
+    return held[key]
 
 
 def _bisected(value, target: np.ndarray) -> np.ndarray:
-    """y in (0, 1) where value(y), which falls with y, meets the target."""
+    """y in (0, 1) where value(y), which falls with y, meets the target, to seven digits."""
     low, high = np.full(len(target), -400.0), np.zeros(len(target))
-    for _ in range(60):
+    for _ in range(32):
         middle = (low + high) / 2
         more = value(np.exp(middle)) > target
         low, high = np.where(more, middle, low), np.where(more, high, middle)
     return np.exp((low + high) / 2)
 
 
+def _coefficient(c: int, t: np.ndarray, d: float) -> np.ndarray:
+    """Logarithm of the coefficient of x^c in (1 - (1 - x)^d)^t, for real t from 1 to below c.
+
+    Cauchy's integral over z = log x, on a parabola through the saddle point whose focus is the branch point at z = 0: the
+    power x^-c falls along it, so CONTOUR points give four digits and more whatever t is.
+    """
+    t = t.astype(float)
+    y = _bisected(lambda y: d * (1 - y) * y ** (d - 1) / -np.expm1(d * np.log(y)), c / t)  # the saddle is at 1 - y
+    r, f, distance = 1 - y, -np.expm1(d * np.log(y)), -np.log1p(-y)
+    mean = r * d * y ** (d - 1) / f
+    spread = np.maximum(mean + r * r * d * (1 - d) * y ** (d - 2) / f - mean**2, 1e-12)
+    width = (t * spread) ** -0.5
+    step = np.minimum(14.0, np.pi / width) / CONTOUR
+    u = np.arange(CONTOUR + 1) * step[:, None]
+    z = 1j * width[:, None] * u + (width[:, None] * u) ** 2 / (4 * distance[:, None])
+    with np.errstate(all="ignore"):
+        left = y[:, None] - r[:, None] * np.expm1(z)  # 1 - x
+        height = t[:, None] * (np.log1p(-np.exp(d * np.log(left))) - np.log(f)[:, None]) - c * z
+        height = np.where(height.real > -700, height, -700)
+        value = (np.exp(height) * (width[:, None] - 1j * width[:, None] ** 2 * u / (2 * distance[:, None]))).real
+    value[:, 0] /= 2
+    return np.log(np.maximum(value.sum(axis=1) * step / np.pi, 1e-300)) + t * np.log(f) - c * np.log1p(-y)
+
+
+def _pieces(c: int, d: float, piece: int) -> tuple[np.ndarray, float, float]:
+    """Chebyshev coefficients of _coefficient over the piece-th range of t, each half as long again as the one before."""
+    fits = worker_cache().setdefault("stirling fits", {})
+    if (c, d, piece) not in fits:
+        if len(fits) > 100_000:
+            fits.clear()
+        low, high = min(PIECE**piece, c - 1), min(PIECE ** (piece + 1), c - 1)
+        nodes = np.cos(np.pi * (np.arange(NODES) + 0.5) / NODES)
+        values = _coefficient(c, low + (nodes + 1) / 2 * (high - low), d)
+        angles = np.pi * np.arange(NODES)[:, None] * (np.arange(NODES) + 0.5) / NODES
+        fit = 2 / NODES * np.cos(angles) @ values
+        fit[0] /= 2
+        fits[c, d, piece] = fit, low, max(high - low, 1e-9)
+    return fits[c, d, piece]
+
+
 def _large(c: int, t: np.ndarray, d: float) -> np.ndarray:
-    """As _stirling for more than EXACT customers, without the terms of c alone: the coefficient of x^c in (1 - (1 - x)^d)^t, from
-    its binomial series where that settles, else at its saddle point (relative error about 1 / t). t: a range."""
-    out = np.empty(len(t))
-    few = t < 0.5 * c**d
-    if few.any():
-        some, total = t[few].astype(float), np.zeros(few.sum())
-        choose = np.ones(len(some))
-        for j in range(1, 121):
-            choose = choose * (some - j + 1) / j
-            if c <= j * d:
-                break
-            size = math.exp(math.lgamma(1 + j * d) + math.lgamma(c - j * d) - math.lgamma(c - d))
-            total += (-1) ** (j + 1) * choose * size * math.sin(math.pi * j * d)
-            if (abs(choose) * size).max() < 1e-14:
-                break
-        out[few] = np.log(np.maximum(total, 1e-300)) + math.lgamma(c - d) - math.lgamma(c + 1) - math.log(math.pi)
-    if not few.all():
-        some = t[~few].astype(float)
-        y = _bisected(lambda y: d * (1 - y) * y ** (d - 1) / -np.expm1(d * np.log(y)), c / some)
-        r, f = 1 - y, -np.expm1(d * np.log(y))
-        mean = r * d * y ** (d - 1) / f
-        spread = mean + r * r * d * (1 - d) * y ** (d - 2) / f - mean**2
-        out[~few] = some * np.log(f) - c * np.log1p(-y) - 0.5 * np.log(2 * np.pi * some * np.maximum(spread, 1e-12))
-    out = np.where(t == c, c * math.log(d), out)
-    return out - math.lgamma(t[0] + 1) - np.append(0.0, np.cumsum(np.log(t[1:]))) - t * math.log(d)
+    """As _stirling for more than EXACT customers, without the terms of c alone. t: a range."""
+    out, whole = np.zeros(len(t)), t
+    few, many, end = (int(np.searchsorted(t, x)) for x in (DIRECT, max(0.7 * c, DIRECT), c))
+    some = np.r_[0:few, many:end]  # where a fit takes more points than there are, or is no polynomial: near one customer a table
+    some = some[some < end]
+    if len(some):
+        out[some] = _coefficient(c, t[some], d)
+    if few < many:
+        first, last = (int(math.log(x) / math.log(PIECE) + 1e-9) for x in (t[few], t[many - 1]))
+        for piece in range(first, last + 1):
+            a, z = (min(max(int(np.searchsorted(t, PIECE**k)), few), many) for k in (piece, piece + 1))
+            if z > a:
+                fit, low, size = _pieces(c, d, piece)
+                out[a:z] = np.polynomial.chebyshev.chebval(np.clip(2 * (t[a:z] - low) / size - 1, -1, 1), fit)
+    out = np.where(whole == c, c * math.log(d), out)
+    return out - math.lgamma(whole[0] + 1) - np.append(0.0, np.cumsum(np.log(whole[1:]))) - whole * math.log(d)
+
+
+def _range(c: int, a: int, z: int, d: float) -> np.ndarray:
+    """_large for a to z tables; the range asked for last is kept with some margin, since moves draw from about the same one."""
+    held = worker_cache().setdefault("stirling ranges", {"size": 0})
+    low, values = held.get((c, d), (0, ()))
+    if not (low <= a and z < low + len(values)):
+        if held["size"] > 20_000_000:
+            held.clear()
+            held["size"] = 0
+        margin = (z - a) // 4 + 8
+        low = max(1, a - margin)
+        values = _large(c, np.arange(low, min(c, z + margin) + 1), d)
+        held[c, d] = low, values
+        held["size"] += len(values)
+    return values[a - low : z - low + 1]
 
 
 def _draw(c: np.ndarray, rate: np.ndarray, discount: float, rng: np.random.Generator) -> np.ndarray:
@@ -273,21 +365,25 @@ def _draw(c: np.ndarray, rate: np.ndarray, discount: float, rng: np.random.Gener
     for value, a, z in zip(values.tolist(), begins.tolist(), [*begins[1:].tolist(), len(c)], strict=True):
         if value > EXACT:
             break
-        step = max(1, 2_000_000 // value)
-        for x in range(a, z, step):
-            chance = rows[value] + weight[x : min(x + step, z), None] * np.arange(1, value + 1)
-            chance = np.cumsum(np.exp(chance - chance.max(axis=1, keepdims=True)), axis=1)
-            t[x : min(x + step, z)] = 1 + (chance < rng.random(len(chance))[:, None] * chance[:, -1:]).sum(axis=1)
+        # More tables than the rate by far have no chance worth a double; most rates are small.
+        width = np.minimum(value, 32 << np.maximum(np.ceil(np.log2(np.maximum(rate[a:z], 1) / 4)), 0).astype(int)) if value > 64 else None
+        for columns in [value] if width is None else np.unique(width).tolist():
+            place = np.arange(a, z) if width is None else a + np.flatnonzero(width == columns)
+            step = max(1, 2_000_000 // columns)
+            for x in range(0, len(place), step):
+                some = place[x : x + step]
+                chance = rows[value][:columns] + weight[some, None] * np.arange(1, columns + 1)
+                chance = np.cumsum(np.exp(chance - chance.max(axis=1, keepdims=True)), axis=1)
+                t[some] = 1 + (chance < rng.random(len(chance))[:, None] * chance[:, -1:]).sum(axis=1)
     large = int(np.searchsorted(c, EXACT, side="right"))
     if large < len(c):
         n, lam, d = c[large:].astype(float), np.maximum(rate[large:], 1e-300), discount
         y = _bisected(lambda y: d * (1 - y) * y ** (d - 1), n / lam)
         r, mean = 1 - y, lam * -np.expm1(d * np.log(y))
         spread = np.maximum(mean - n**2 / (lam * (r * d * y ** (d - 1) + r * r * d * (1 - d) * y ** (d - 2))), 0) ** 0.5
-        low, high = np.maximum(np.floor(mean - 10 * spread - 20), 1), np.minimum(np.ceil(mean + 10 * spread + 40), n)
+        low, high = np.maximum(np.floor(mean - 8 * spread - 20), 1), np.minimum(np.ceil(mean + 8 * spread + 30), n)
         for k, (size, a, z) in enumerate(zip(c[large:].tolist(), low.astype(int).tolist(), high.astype(int).tolist(), strict=True)):
-            some = np.arange(a, z + 1)
-            chance = _large(size, some, d) + some * weight[large + k]
+            chance = _range(size, a, z, d) + np.arange(a, z + 1) * weight[large + k]
             chance = np.cumsum(np.exp(chance - chance.max()))
             t[large + k] = a + np.searchsorted(chance, rng.random() * chance[-1])
     return t
@@ -332,21 +428,27 @@ def seat(count: np.ndarray, base: np.ndarray, owner: np.ndarray, scale: np.ndarr
     return tables, mean
 
 
-def _told(pairs: _Bucket, number: int, tables: np.ndarray, buckets: int, hot: np.ndarray) -> pa.Table:
-    """Of each word of the bucket, by shard: its tables over the bucket's contexts and its learned occurrences; of hot contexts
-    their customers and tables here; and what the shard said last: the parent's tables in other shards, and all known words."""
+def _shards(words: np.ndarray, buckets: int) -> np.ndarray:
+    return (mixed(words) >> np.uint64(17)) % np.uint64(buckets)
+
+
+def _told(pairs: _Bucket, number: int, tables: np.ndarray, buckets: int, hot: np.ndarray, last: bool) -> pa.Table:
+    """Of each word of the bucket, by shard: its tables over the bucket's contexts and, the last time, its learned occurrences;
+    of hot contexts their customers and tables here; and what the shard said last: the parent's tables in other shards, and
+    all known words."""
     per_word = np.bincount(pairs.word_at, tables, minlength=len(pairs.words)).astype(np.int64)
     learned = np.bincount(pairs.word_at, pairs.count, minlength=len(pairs.words)).astype(np.int64)
-    shard = (mixed(pairs.words) >> np.uint64(17)) % np.uint64(buckets)
+    shard = _shards(pairs.words, buckets)
     hot_tables, hot_count = pairs.by_hot(tables, hot), pairs.by_hot(pairs.count, hot).astype(np.int64)
     here = np.unique(pairs.hot_at[pairs.hot_at >= 0])
-    last = {int(x[4]): (pairs.totals[:, 1].sum() - x[1], pairs.known) for x in pairs.totals}
+    said = {int(x[4]): (pairs.totals[:, 1].sum() - x[1], pairs.known) for x in pairs.totals}
     rows = []
     for s in range(buckets):
         some = shard == s
         mine = here[(hot[here] % np.uint64(buckets)) == s] if len(here) else here
-        rows.append((s, number, _pack(pairs.words[some], per_word[some], learned[some], hot[mine] if len(hot) else np.zeros(0, np.uint64),
-                                      hot_count[mine], hot_tables[mine].astype(float), np.array(last.get(s, (-1.0, -1.0))))))
+        rows.append((s, number, _pack(pairs.words[some], per_word[some], learned[some] if last else learned[:0],
+                                      hot[mine] if len(hot) else np.zeros(0, np.uint64), hot_count[mine], hot_tables[mine].astype(float),
+                                      np.array(said.get(s, (-1.0, -1.0))))))
     return pa.table({"shard": pa.array([r[0] for r in rows], pa.int32()), "bucket": pa.array([r[1] for r in rows], pa.int32()),
                      "tables": pa.array([r[2] for r in rows], pa.binary())})
 
@@ -354,7 +456,7 @@ def _told(pairs: _Bucket, number: int, tables: np.ndarray, buckets: int, hot: np
 def _first_pass(table: pa.Table, buckets: int, hot: np.ndarray) -> pa.Table:
     """Every pair with one table, for a first parent that all buckets share."""
     pairs = _Bucket(table, hot)
-    return _told(pairs, table.column("bucket")[0].as_py(), (pairs.count > 0).astype(np.int64), buckets, hot)
+    return _told(pairs, table.column("bucket")[0].as_py(), (pairs.count > 0).astype(np.int64), buckets, hot, last=not ROUNDS)
 
 
 def _context_pass(table: pa.Table, answers: pa.Table, buckets: int, hot: np.ndarray, turn: int) -> pa.Table:
@@ -362,34 +464,37 @@ def _context_pass(table: pa.Table, answers: pa.Table, buckets: int, hot: np.ndar
     number, pairs = table.column("bucket")[0].as_py(), _Bucket(table, hot)
     pairs.heard(answers, hot)
     tables, _ = pairs.seated(np.arange(len(pairs.count)), MOVES[0], 0, [SEED, 1, number, turn])
-    return _told(pairs, number, tables, buckets, hot)
+    return _told(pairs, number, tables, buckets, hot, last=turn == ROUNDS - 1)
 
 
 def _parent(table: pa.Table, buckets: int, turn: int) -> pa.Table:
-    """Seats a shard of the parent and answers each bucket: customers, tables and learned occurrences of its words, the
-    customers of its hot contexts and their tables in other buckets, and the shard's totals (customers, tables, words,
+    """Seats a shard of the parent and answers each bucket: customers, tables and (at the end) learned occurrences of its
+    words, in the order they were told, the customers of its hot contexts and their tables in other buckets, and the shard's totals (customers, tables, words,
     occurrences) and number."""
     shard = table.column("shard")[0].as_py()
     froms = table.column("bucket").to_pylist()
     asked = [_unpack(x, "<u8", "<i8", "<i8", "<u8", "<i8", "<f8", "<f8") for x in table.column("tables").to_pylist()]
-    words, place = np.unique(np.concatenate([x[0] for x in asked]), return_inverse=True)
+    words, _, place = grouped(np.concatenate([x[0] for x in asked]))
     customers = np.bincount(place, np.concatenate([x[1] for x in asked]), minlength=len(words)).astype(np.int64)
-    learned = np.bincount(place, np.concatenate([x[2] for x in asked]), minlength=len(words)).astype(np.int64)
-    known = int((learned > 0).sum())
+    told = np.concatenate([x[2] for x in asked])
+    learned = np.bincount(place, told, minlength=len(words)).astype(np.int64) if len(told) else np.zeros(0, np.int64)
+    known = int((customers > 0).sum())
     others, all_known = max(x[6].tolist() for x in asked)
     first = all_known < 0  # no totals yet: the other shards are taken to be like this one
     base = np.full(len(words), 1 / ((known * buckets if first else all_known) + 1))
     _, tables = seat(customers, base, np.zeros(len(words), np.int64), np.array([float(buckets if first else 1)]), *PARENT, MOVES[1], BURN,
                      [SEED, 2, shard, turn], 0.0 if first else others)
+    tables = tables.astype(np.float32)  # as they are sent, so that the totals are theirs
     hot, at = np.unique(np.concatenate([x[3] for x in asked]), return_inverse=True)
     hot_count = np.bincount(at, np.concatenate([x[4] for x in asked]), minlength=len(hot)).astype(np.int64)
     hot_tables = np.bincount(at, np.concatenate([x[5] for x in asked]), minlength=len(hot))
-    totals = np.array([customers.sum(), tables.sum(), known, learned.sum(), shard], float)
+    totals = np.array([customers.sum(), tables.sum(dtype=float), known, learned.sum(), shard], float)
     rows, start, start_hot = [], 0, 0
     for bucket, own in zip(froms, asked, strict=True):
         mine, mine_hot = place[start : start + len(own[0])], at[start_hot : start_hot + len(own[3])]
         start, start_hot = start + len(own[0]), start_hot + len(own[3])
-        rows.append((bucket, _pack(own[0], customers[mine], tables[mine], learned[mine], own[3], hot_count[mine_hot], hot_tables[mine_hot] - own[5], totals)))
+        rows.append((bucket, _pack(customers[mine], tables[mine], learned[mine] if len(learned) else learned, own[3],
+                                   hot_count[mine_hot], hot_tables[mine_hot] - own[5], totals)))
     return pa.table({"bucket": pa.array([r[0] for r in rows], pa.int32()), "parent": pa.array([r[1] for r in rows], pa.binary())})
 
 
@@ -415,7 +520,7 @@ def _valued(table: pa.Table, answers: pa.Table, hot: np.ndarray) -> tuple[_Bucke
     """The bucket's pairs and their predictive probabilities."""
     number = table.column("bucket")[0].as_py()
     pairs = _Bucket(table, hot)
-    pairs.heard(answers.filter(pc.is_valid(answers.column("parent"))), hot)
+    pairs.heard(answers.filter(answers.column("parent").is_valid()), hot)
     heavy, mean = pairs.hot_at >= 0, np.zeros(len(pairs.count))
     mean[heavy] = pairs.seated(np.flatnonzero(heavy), MOVES[1], BURN, [SEED, 4, number])[1]
     mean[~heavy] = pairs.seated(np.flatnonzero(~heavy), MOVES[1], BURN, [SEED, 3, number])[1]
