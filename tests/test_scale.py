@@ -1,0 +1,42 @@
+"""Work and memory of one task must not grow with the tables: small cases of what grew."""
+
+from datetime import date
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from acceptance import fixture as fx
+from acceptance import queries as q
+from alpenglow.config import NO_WATERMARK, LoadSettings
+from alpenglow.sources.planner import request_manifest, with_load_range
+
+RANGE = LoadSettings(start=date(2000, 1, 1), fixed_end=date(2001, 12, 31))
+
+
+@pytest.fixture
+def sf_dir(spark, tmp_path):
+    """A lineitem table of four routes over two years."""
+    lines = spark.range(3000).select(
+        (F.col("id") % 20).alias("l_suppkey"), (F.col("id") * 7 % 200).alias("l_partkey"),
+        F.date_add(F.lit(date(2000, 1, 1)), (F.col("id") * 11 % 700).cast("int")).cast("timestamp").alias("l_shipdate"),
+        (1 + F.col("id") % 50).cast("double").alias("l_quantity"))
+    lines.coalesce(1).write.parquet(str(tmp_path / "lineitem.parquet"))
+    return str(tmp_path)
+
+
+@pytest.fixture
+def folder(monkeypatch, tmp_path):
+    """Where a query puts its files."""
+    monkeypatch.setattr(q, "shared_folder", lambda spark: str(tmp_path / "shared"))
+    return tmp_path / "shared"
+
+
+def test_a_small_waypoint_file_is_dealt_before_its_months_are_made(spark):
+    places = spark.range(500).select(
+        F.col("id").alias("route_id"), F.lit("summit").alias("waypoint_name"), F.lit(1.0).alias("lat"), F.lit(2.0).alias("lon"),
+        F.lit(4808).alias("elevation")).coalesce(1)
+    manifest = request_manifest(with_load_range(places, NO_WATERMARK, RANGE))
+    per_task = manifest.groupBy(F.spark_partition_id()).count().collect()
+    assert sum(row["count"] for row in per_task) == 500 * 24
+    assert max(row["count"] for row in per_task) < 500 * 24 / 20
