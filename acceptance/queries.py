@@ -568,7 +568,8 @@ def file_scan_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 def file_scan_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{shared_folder(spark)}/weather.json"
     weather = fx.weather(spark, sf_dir)
-    weather.write.json(path)
+    # Compressed files cannot be split, so none is large.
+    weather.write.option("maxRecordsPerFile", 500_000).json(path, compression="gzip")
     return scan_file(spark, path, weather.schema)
 
 

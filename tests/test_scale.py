@@ -51,3 +51,11 @@ def test_more_lines_land_in_more_files_of_as_many_batches(spark, sf_dir, folder,
     where = Path(str(folder) + "_pieces")
     assert len(list(where.glob("landing/*.parquet"))) == 9
     assert len([p for p in where.glob("progress/commits/*") if p.name.isdigit()]) == batches
+
+
+def test_json_is_scanned_from_compressed_files(spark, sf_dir, folder):
+    scanned = q.file_scan_json(spark, sf_dir)
+    files = list(folder.glob("weather.json/part-*"))
+    assert files and all(path.name.endswith(".json.gz") for path in files)
+    weather = fx.weather(spark, sf_dir)
+    assert scanned.exceptAll(weather).isEmpty() and weather.exceptAll(scanned).isEmpty()
