@@ -308,27 +308,32 @@ def gradient_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(target).drop(tb.MONTH)
 
 
+def _weather_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The weather table, whose cells come in no order, with a route's waypoints of a day together."""
+    return tb.gathered(fx.weather(spark, sf_dir), ["route_id", "date"])
+
+
 def role_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pivot = sm.route_pivot(fx.weather(spark, sf_dir))
+    pivot = sm.route_pivot(_weather_by_day(spark, sf_dir))
     present = " AND ".join(f"has_{role}" for role in sm.ROLE_MEASURES)
     return pivot.filter(present).select("route_id", "date", *sm.RAW_COLUMNS)
 
 
 def route_averages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sm.route_pivot(fx.weather(spark, sf_dir)).select(
+    return sm.route_pivot(_weather_by_day(spark, sf_dir)).select(
         "route_id", "date", "route_snow_depth", "route_sunshine", "route_precipitation", "route_snowfall"
     )
 
 
 def rolling_conditions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sm.rolling_conditions(sm.route_pivot(fx.weather(spark, sf_dir))).select(
+    return sm.rolling_conditions(sm.route_pivot(_weather_by_day(spark, sf_dir))).select(
         "route_id", "date", "gouter_3d_temp_mean", "gouter_30d_temp_max", "route_3d_snowfall",
         "route_30d_snow_depth", "route_7d_snow_depth_change",
     )
 
 
 def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    days = sm.complete_days(sm.rolling_conditions(sm.route_pivot(fx.weather(spark, sf_dir))))
+    days = sm.complete_days(sm.rolling_conditions(sm.route_pivot(_weather_by_day(spark, sf_dir))))
     return sm.with_sub_scores(days)
 
 
@@ -350,7 +355,7 @@ def summit_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def summit_window(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sm.summit_window(fx.weather(spark, sf_dir))
+    return sm.summit_window(_weather_by_day(spark, sf_dir))
 
 
 def summit_window_single_route(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -372,7 +377,8 @@ def summit_window_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def monthly_conditions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cond.monthly_conditions(fx.weather(spark, sf_dir))
+    weather = tb.with_month(fx.weather(spark, sf_dir))
+    return cond.monthly_conditions(tb.gathered(weather, ["route_id", "waypoint_name", tb.MONTH]))
 
 
 def seasonal_summary(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -44,6 +44,13 @@ def with_month(df: DataFrame, day: str = "date") -> DataFrame:
     return df.withColumn(MONTH, month_of(F.col(day)))
 
 
+def gathered(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows with those of a group beside each other, for an aggregate over rows in no order: there nearly every group
+    has a row in every task, and each task would hold and send a state of all of them. Rebalancing is by a hash that the
+    aggregate does not know, so a group of many rows is still cut and its parts are summed first."""
+    return df.withColumn("__group", F.xxhash64(*keys)).hint("rebalance", "__group").drop("__group")
+
+
 def since(df: DataFrame, day: date | None, inclusive: bool = False) -> DataFrame:
     """Rows after (or from) a date; the literal also prunes month partitions."""
     if day is None:

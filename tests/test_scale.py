@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from acceptance import fixture as fx
 from acceptance import queries as q
 from alpenglow.config import NO_WATERMARK, LoadSettings
+from alpenglow.operators.tables import gathered
+from alpenglow.plans.conditions import monthly_conditions
 from alpenglow.sources.planner import request_manifest, with_load_range
 
 RANGE = LoadSettings(start=date(2000, 1, 1), fixed_end=date(2001, 12, 31))
@@ -59,3 +61,16 @@ def test_json_is_scanned_from_compressed_files(spark, sf_dir, folder):
     assert files and all(path.name.endswith(".json.gz") for path in files)
     weather = fx.weather(spark, sf_dir)
     assert scanned.exceptAll(weather).isEmpty() and weather.exceptAll(scanned).isEmpty()
+
+
+@pytest.mark.parametrize("name", ["monthly_conditions", "summit_flags", "summit_window", "role_pivot", "route_averages"])
+def test_scattered_cells_are_gathered_before_they_are_aggregated(spark, sf_dir, name):
+    plan = getattr(q, name)(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan
+
+
+def test_gathered_rows_give_the_same_months(spark, sf_dir):
+    weather = fx.weather(spark, sf_dir)
+    one, other = (monthly_conditions(x) for x in (weather, gathered(weather, ["route_id", "waypoint_name"])))
+    assert not one.isEmpty()
+    assert one.exceptAll(other).isEmpty() and other.exceptAll(one).isEmpty()
