@@ -278,3 +278,42 @@ def test_change_feed(spark):
         (4, None, None, "update_preimage"), (4, None, 7, "update_postimage"),
         (5, None, None, "insert"),
     }
+
+
+def test_a_new_table_is_written_once(spark, tables, weather_rows, monkeypatch):
+    written = []
+    append = tb.append
+    monkeypatch.setattr(tb, "append", lambda df, table, *more, **how: (written.append(table), append(df, table, *more, **how)))
+    seen = tb.upsert(weather(weather_rows, date(2024, 1, 1), 40, 1), tables.weather, KEYS)
+    assert (seen.created, seen.rows, seen.min_date, seen.max_date) == (True, 40, date(2024, 1, 1), date(2024, 2, 9))
+    assert len(table_rows(spark, tables.weather)) == 40
+    assert [x for x in written if "__creating_" not in x] == [tables.weather]
+
+
+def test_a_new_table_that_is_not_checked_does_not_count(spark, tables, weather_rows, monkeypatch):
+    rows = weather(weather_rows, date(2024, 1, 1), 2, 1)
+    with pytest.raises(tb.DuplicateKeysError):
+        tb.upsert(rows.unionByName(rows), tables.weather, KEYS)
+    assert not spark.catalog.listTables(tables.names.database("silver"))
+    tb.write_by_month(tb.with_month(rows.unionByName(rows)), tables.weather, KEYS)  # a crash before the check
+    tb.append(spark.range(0), f"{tables.weather}__creating_{'0' * 32}")
+    assert tb.upsert(rows, tables.weather, KEYS).created
+    assert spark.table(tables.weather).count() == 2
+    assert [t.name for t in spark.catalog.listTables(tables.names.database("silver"))] == ["weather"]
+
+
+def test_a_captured_upsert_joins_the_target_once(spark, tables, weather_rows, monkeypatch):
+    tb.upsert(weather(weather_rows, date(2024, 1, 1), 3, 1), tables.weather, KEYS, capture_changes=True)
+    plans, append = [], tb.append
+
+    def watched(df, table, *more, **how):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        append(df, table, *more, **how)
+
+    monkeypatch.setattr(tb, "append", watched)
+    tb.upsert(weather(weather_rows, date(2024, 1, 2), 3, 2), tables.weather, KEYS, capture_changes=True)
+    joins = [p for p in plans if "LeftOuter" in p or "LeftAnti" in p or "LeftSemi" in p]
+    assert len(joins) == 1
+    found = sorted((r.date.day, r._change_type, float(r.temperature_max_c)) for r in spark.table(f"{tables.weather}_changes").collect())
+    assert found == [(2, "update_postimage", 2.0), (2, "update_preimage", 1.0), (3, "update_postimage", 2.0),
+                     (3, "update_preimage", 1.0), (4, "insert", 2.0)]
