@@ -33,6 +33,8 @@ WIDTHS = (2, 3, 4, 6, 8, 12, 16, 24, 32, 48, 64, 128)
 ROWS = 20_000
 #: Bits of a place in a long piece.
 _PLACE = 40
+#: Bytes of text that a worker encodes at once: their pieces, places and ids take many times as much.
+TEXT_BYTES = 500_000
 #: Pieces a worker remembers.
 REMEMBERED = 300_000
 
@@ -230,7 +232,7 @@ def encode(frame: DataFrame, path: str, pattern: str, text: str = "text", ids: s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoding = load(path, pattern)
         for batch in batches:
-            for piece in chunks(batch, text):
+            for piece in chunks(batch, text, TEXT_BYTES):
                 texts = [x or "" for x in piece.column(text).to_pylist()]
                 found, bounds = encoding.encode(texts)
                 column = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(found))

@@ -1,11 +1,15 @@
 from __future__ import annotations
 
+from types import SimpleNamespace
+
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import types as T
 
 from alpenglow.llm import byte_bpe
 
@@ -77,3 +81,18 @@ def test_a_piece_of_a_million_bytes():
     piece = "thequickbrownfox" * 62_500
     ids = ENCODING.merge_long(piece.encode())
     assert ENCODING.decode(ids.astype(np.int64), np.array([0, len(ids)]))[0] == piece.encode()
+
+
+def test_a_batch_is_encoded_in_small_pieces():
+    seen = []
+
+    class Watched:
+        def encode(self, texts):
+            seen.append(sum(map(len, texts)))
+            return np.zeros(0, np.int32), np.zeros(len(texts) + 1, np.int64)
+
+    frame = SimpleNamespace(schema=T.StructType([T.StructField("text", T.StringType())]), mapInArrow=lambda run, schema: run)
+    byte_bpe.worker_cache()["bpe watched x"] = Watched()
+    batch = pa.RecordBatch.from_pydict({"text": ["x" * 100_000] * 12})
+    assert sum(piece.num_rows for piece in byte_bpe.encode(frame, "watched", "x")(iter([batch]))) == 12
+    assert max(seen) <= byte_bpe.TEXT_BYTES == 500_000

@@ -182,3 +182,12 @@ def test_stages_take_empty_tables_and_further_columns(spark, folder, corpus, nam
     assert sorted(map(repr, more.select(*plain.columns).collect())) == sorted(map(repr, plain.collect()))
     if name != "byte_bpe":
         assert plain.columns == COLUMNS and set(more.columns) >= set(COLUMNS)
+
+
+def test_texts_go_to_python_once(spark, monkeypatch):
+    given, decode = [], byte_bpe.decode
+    monkeypatch.setattr(byte_bpe, "decode", lambda frame, *more: (given.append(frame.columns), decode(frame, *more))[1])
+    docs = spark.createDataFrame([(1, "the one", "en", "s", 7), (2, None, "en", "s", None), (3, "", "en", "s", 0)], SCHEMA)
+    found = {r["doc_id"]: (r["n_tokens"] > 0, r["round_trip"]) for r in cp.tokenize(spark, docs, "").collect()}
+    assert found == {1: (True, True), 2: (False, True), 3: (False, True)}
+    assert "text" not in given[0]
