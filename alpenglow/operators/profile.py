@@ -157,16 +157,25 @@ BINS = 20
 def histograms(df: DataFrame, ranges: Mapping[str, tuple], granularity: str, time_column: str = "date",
                bins: int = BINS) -> DataFrame:
     """Counts per window, column and bin. The bins of a column are the same in all windows: equal parts of its range, 0 for
-    values below and bins + 1 for those above; NULL has none. Whole-number arithmetic on hundredths decides the bin."""
-    placed = []
-    for name, (low, high) in ranges.items():
-        low, high = int(low * 100), int(high * 100)
-        cents = (F.col(name) * 100).cast("bigint")
-        inner = F.least(F.expr(f"((CAST({name} * 100 AS BIGINT) - ({low})) * {bins}) div {high - low}"), F.lit(bins - 1)) + 1
-        place = F.when(cents < low, F.lit(0)).when(cents > high, F.lit(bins + 1)).when(cents.isNotNull(), inner)
-        placed.append(F.struct(F.lit(name).alias("column_name"), place.cast("int").alias("bin")))
-    rows = df.select(_window_start(time_column, granularity), F.inline(F.array(*placed))).filter(F.col("bin").isNotNull())
-    return rows.groupBy("window_start", "column_name", "bin").agg(F.count(F.lit(1)).alias("n"))
+    values below and bins + 1 for those above; NULL has none. Whole-number arithmetic on hundredths decides the bin.
+
+    Each value becomes hundredths once and a row of its own; the bin is one expression on these rows, not one a column, so
+    that the code stays small enough to be compiled.
+    """
+    names = list(ranges)
+    lows, highs = ([int(ranges[name][k] * 100) for name in names] for k in (0, 1))
+
+    def of_place(values: Sequence, kind: str) -> Column:
+        return F.element_at(F.array(*[F.lit(x).cast(kind) for x in values]), F.col("place") + 1)
+
+    cents = F.array(*[(F.col(name) * 100).cast("bigint") for name in names])
+    rows = df.select(_window_start(time_column, granularity), F.posexplode(cents).alias("place", "cents"))
+    rows = rows.filter(F.col("cents").isNotNull()).withColumns({
+        "low": of_place(lows, "bigint"), "high": of_place(highs, "bigint")})
+    inner = F.least(F.expr(f"((cents - low) * {bins}) div (high - low)"), F.lit(bins - 1)) + 1
+    place = F.when(F.col("cents") < F.col("low"), F.lit(0)).when(F.col("cents") > F.col("high"), F.lit(bins + 1)).otherwise(inner)
+    counts = rows.groupBy("window_start", "place", place.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    return counts.select("window_start", of_place(names, "string").alias("column_name"), "bin", "n")
 
 
 def drift_distribution(counts: DataFrame, bins: int = BINS) -> DataFrame:

@@ -153,3 +153,14 @@ def test_drift_of_distributions(spark):
     assert found[1] == (4, None, None) and found[2] == (4, 0.0, 0.0)
     assert found[3][0] == 4 and found[3][2] == 0.75 and found[3][1] > 0.5
     assert found[4][0] == 3 and found[4][2] == 0.3333
+
+
+def test_histograms_take_each_value_once(spark):
+    """Five copies of every column's arithmetic in one generator grew over what is compiled."""
+    schema = "date date, x decimal(10,2), y double"
+    df = spark.createDataFrame([(date(2024, 1, 1), Decimal("9.99"), -0.5), (date(2024, 1, 2), None, 1.0), (None, Decimal(11), None)], schema)
+    counts = histograms(df, {"x": (0, 10), "y": (-1, 1)}, "1 month", bins=4)
+    assert sorted((r.column_name, r.window_start is None, r.bin, r.n) for r in counts.collect()) == [
+        ("x", False, 4, 1), ("x", True, 5, 1), ("y", False, 2, 1), ("y", False, 4, 1)]
+    plan = counts._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(" * 100") == 2  # once a column
