@@ -54,6 +54,10 @@ ROUNDS = 2
 #: logarithms, at so many points; from DIRECT tables on they are interpolated at so many nodes over ranges that grow by this factor.
 EXACT = 512
 CONTOUR, NODES, PIECE, DIRECT = 100, 24, 1.5, 64
+#: Customers of one dish up to which its tables are drawn from plain powers of the rate, which no double overflows.
+POWERS = 16
+#: Numbers looked at at once while tables are drawn.
+DRAWN = 250_000
 #: Text of one block of documents.
 BLOCK_BYTES = 6_000_000
 SEED = 11
@@ -272,6 +276,17 @@ def _stirling(discount: float) -> list[np.ndarray]:
     return held[key]
 
 
+def _stirling_table(discount: float) -> np.ndarray:
+    """_stirling as one table, -inf beyond a row's end."""
+    held, key = worker_cache(), f"stirling table {discount}"
+    if key not in held:
+        table = np.full((EXACT + 1, EXACT), -np.inf)
+        for c, row in enumerate(_stirling(discount)):
+            table[c, :c] = row[:c]
+        held[key] = table
+    return held[key]
+
+
 def _bisected(value, target: np.ndarray) -> np.ndarray:
     """y in (0, 1) where value(y), which falls with y, meets the target, to seven digits."""
     low, high = np.full(len(target), -400.0), np.zeros(len(target))
@@ -282,13 +297,19 @@ def _bisected(value, target: np.ndarray) -> np.ndarray:
     return np.exp((low + high) / 2)
 
 
-def _coefficient(c: int, t: np.ndarray, d: float) -> np.ndarray:
-    """Logarithm of the coefficient of x^c in (1 - (1 - x)^d)^t, for real t from 1 to below c.
+def _coefficient(c: np.ndarray, t: np.ndarray, d: float) -> np.ndarray:
+    """Logarithms of the coefficients of x^c in (1 - (1 - x)^d)^t, for real t from 1 to below c.
 
     Cauchy's integral over z = log x, on a parabola through the saddle point whose focus is the branch point at z = 0: the
     power x^-c falls along it, so CONTOUR points give four digits and more whatever t is.
     """
-    t = t.astype(float)
+    out, step = np.empty(len(t)), max(1, DRAWN // CONTOUR)
+    for k in range(0, len(t), step):
+        out[k : k + step] = _integrated(c[k : k + step].astype(float), t[k : k + step].astype(float), d)
+    return out
+
+
+def _integrated(c: np.ndarray, t: np.ndarray, d: float) -> np.ndarray:
     y = _bisected(lambda y: d * (1 - y) * y ** (d - 1) / -np.expm1(d * np.log(y)), c / t)  # the saddle is at 1 - y
     r, f, distance = 1 - y, -np.expm1(d * np.log(y)), -np.log1p(-y)
     mean = r * d * y ** (d - 1) / f
@@ -296,96 +317,156 @@ def _coefficient(c: int, t: np.ndarray, d: float) -> np.ndarray:
     width = (t * spread) ** -0.5
     step = np.minimum(14.0, np.pi / width) / CONTOUR
     u = np.arange(CONTOUR + 1) * step[:, None]
-    z = 1j * width[:, None] * u + (width[:, None] * u) ** 2 / (4 * distance[:, None])
+    # z = re + im i. In real numbers, which numpy computes several times faster; scaled by y, whose square may underflow.
+    im = width[:, None] * u
+    re = im**2 / (4 * distance[:, None])
     with np.errstate(all="ignore"):
-        left = y[:, None] - r[:, None] * np.expm1(z)  # 1 - x
-        height = t[:, None] * (np.log1p(-np.exp(d * np.log(left))) - np.log(f)[:, None]) - c * z
-        height = np.where(height.real > -700, height, -700)
-        value = (np.exp(height) * (width[:, None] - 1j * width[:, None] ** 2 * u / (2 * distance[:, None]))).real
+        left = 1 - (r / y)[:, None] * (np.expm1(re) * np.cos(im) - 2 * np.sin(im / 2) ** 2)  # (1 - x) / y
+        up = -(r / y)[:, None] * np.exp(re) * np.sin(im)
+        size, turn = np.exp(d * (np.log(left**2 + up**2) / 2 + np.log(y)[:, None])), d * np.arctan2(up, left)
+        left, up = 1 - size * np.cos(turn), -size * np.sin(turn)  # 1 - (1 - x)^d
+        height = t[:, None] * (np.log(left**2 + up**2) / 2 - np.log(f)[:, None]) - c[:, None] * re
+        turn = np.where(height > -700, t[:, None] * np.arctan2(up, left) - c[:, None] * im, 0)
+        height = np.exp(np.where(height > -700, height, -700))
+        value = height * (width[:, None] * np.cos(turn) + (width[:, None] ** 2 * u / (2 * distance[:, None])) * np.sin(turn))
     value[:, 0] /= 2
     return np.log(np.maximum(value.sum(axis=1) * step / np.pi, 1e-300)) + t * np.log(f) - c * np.log1p(-y)
 
 
-def _pieces(c: int, d: float, piece: int) -> tuple[np.ndarray, float, float]:
-    """Chebyshev coefficients of _coefficient over the piece-th range of t, each half as long again as the one before."""
-    fits = worker_cache().setdefault("stirling fits", {})
-    if (c, d, piece) not in fits:
-        if len(fits) > 100_000:
-            fits.clear()
-        low, high = min(PIECE**piece, c - 1), min(PIECE ** (piece + 1), c - 1)
+def _fits(wanted: list[tuple[int, int]], d: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each (c, piece): Chebyshev coefficients of _coefficient over the piece-th range of t, each half as long again as the
+    one before; the range's begin and length. Those not made before are made at once."""
+    held = worker_cache().setdefault("stirling fits", {})
+    if len(held) > 100_000:
+        held.clear()
+    new = [x for x in dict.fromkeys(wanted) if (*x, d) not in held]
+    if new:
+        c = np.array([x for x, _ in new])
+        low, high = (np.array([min(PIECE ** (piece + k), size - 1) for size, piece in new]) for k in (0, 1))
         nodes = np.cos(np.pi * (np.arange(NODES) + 0.5) / NODES)
-        values = _coefficient(c, low + (nodes + 1) / 2 * (high - low), d)
+        at = low[:, None] + (nodes + 1) / 2 * (high - low)[:, None]
+        values = _coefficient(np.repeat(c, NODES), at.ravel(), d).reshape(at.shape)
         angles = np.pi * np.arange(NODES)[:, None] * (np.arange(NODES) + 0.5) / NODES
-        fit = 2 / NODES * np.cos(angles) @ values
-        fit[0] /= 2
-        fits[c, d, piece] = fit, low, max(high - low, 1e-9)
-    return fits[c, d, piece]
+        made = values @ (2 / NODES * np.cos(angles)).T
+        made[:, 0] /= 2
+        held.update(zip(((*x, d) for x in new), zip(made, low, np.maximum(high - low, 1e-9), strict=True), strict=True))
+    fit, low, size = zip(*(held[*x, d] for x in wanted), strict=True)
+    return np.array(fit), np.array(low), np.array(size)
+
+
+def _large_ranges(asked: list[tuple[int, int, int]], d: float) -> list[np.ndarray]:
+    """Of each (c, a, z), as _stirling for more than EXACT customers, without the terms of c alone, and a to z tables. All that
+    is integrated for them is integrated at once."""
+    direct, fitted = [], []  # customers or place among the fits, t, and where the result goes
+    wanted, ends = [], np.cumsum([z - a + 1 for _, a, z in asked]).tolist()
+    for (c, a, z), begin in zip(asked, [0, *ends], strict=False):
+        few, many, end = (min(max(math.ceil(x) - a, 0), z - a + 1) for x in (DIRECT, max(0.7 * c, DIRECT), c))
+        some = np.r_[0:few, many:end]  # where a fit takes more points than there are, or is no polynomial: near one customer a table
+        some = some[some < end]
+        direct.append((np.full(len(some), c), a + some, begin + some))
+        if few < many:
+            first, last = (int(math.log(x) / math.log(PIECE) + 1e-9) for x in (a + few, a + many - 1))
+            for piece in range(first, last + 1):
+                x, y = (min(max(math.ceil(PIECE**k) - a, few), many) for k in (piece, piece + 1))
+                if y > x:
+                    fitted.append((np.full(y - x, len(wanted)), np.arange(a + x, a + y), np.arange(begin + x, begin + y)))
+                    wanted.append((c, piece))
+    out = np.zeros(ends[-1] if ends else 0)
+    if direct:
+        c, t, to = (np.concatenate(x) for x in zip(*direct, strict=True))
+        out[to] = _coefficient(c, t, d)
+    if fitted:
+        fits, low, size = _fits(wanted, d)
+        which, t, to = (np.concatenate(x) for x in zip(*fitted, strict=True))
+        for k in range(0, len(t), DRAWN // NODES):
+            some = which[k : k + DRAWN // NODES]
+            x = np.clip(2 * (t[k : k + len(some)] - low[some]) / size[some] - 1, -1, 1)
+            out[to[k : k + len(some)]] = np.polynomial.chebyshev.chebval(x, fits[some].T, tensor=False)
+    found = []
+    for (c, a, z), begin in zip(asked, [0, *ends], strict=False):
+        t, values = np.arange(a, z + 1), out[begin : begin + z - a + 1]
+        values = np.where(t == c, c * math.log(d), values)
+        found.append(values - math.lgamma(a + 1) - np.append(0.0, np.cumsum(np.log(t[1:]))) - t * math.log(d))
+    return found
 
 
 def _large(c: int, t: np.ndarray, d: float) -> np.ndarray:
-    """As _stirling for more than EXACT customers, without the terms of c alone. t: a range."""
-    out, whole = np.zeros(len(t)), t
-    few, many, end = (int(np.searchsorted(t, x)) for x in (DIRECT, max(0.7 * c, DIRECT), c))
-    some = np.r_[0:few, many:end]  # where a fit takes more points than there are, or is no polynomial: near one customer a table
-    some = some[some < end]
-    if len(some):
-        out[some] = _coefficient(c, t[some], d)
-    if few < many:
-        first, last = (int(math.log(x) / math.log(PIECE) + 1e-9) for x in (t[few], t[many - 1]))
-        for piece in range(first, last + 1):
-            a, z = (min(max(int(np.searchsorted(t, PIECE**k)), few), many) for k in (piece, piece + 1))
-            if z > a:
-                fit, low, size = _pieces(c, d, piece)
-                out[a:z] = np.polynomial.chebyshev.chebval(np.clip(2 * (t[a:z] - low) / size - 1, -1, 1), fit)
-    out = np.where(whole == c, c * math.log(d), out)
-    return out - math.lgamma(whole[0] + 1) - np.append(0.0, np.cumsum(np.log(whole[1:]))) - whole * math.log(d)
-
-
-def _range(c: int, a: int, z: int, d: float) -> np.ndarray:
-    """_large for a to z tables; the range asked for last is kept with some margin, since moves draw from about the same one."""
+    """_large_ranges of one range t."""
+    return _large_ranges([(c, int(t[0]), int(t[-1]))], d)[0]
+
+
+def _ranges(c: list[int], low: list[int], high: list[int], d: float) -> list[np.ndarray]:
+    """_large of low to high tables of each dish; the range asked for last is kept with some margin, since moves draw from about
+    the same one."""
     held = worker_cache().setdefault("stirling ranges", {"size": 0})
-    low, values = held.get((c, d), (0, ()))
-    if not (low <= a and z < low + len(values)):
-        if held["size"] > 20_000_000:
-            held.clear()
-            held["size"] = 0
-        margin = (z - a) // 4 + 8
-        low = max(1, a - margin)
-        values = _large(c, np.arange(low, min(c, z + margin) + 1), d)
-        held[c, d] = low, values
+    if held["size"] > 20_000_000:
+        held.clear()
+        held["size"] = 0
+    new, source = {}, []
+    for size, a, z in zip(c, low, high, strict=True):
+        begin, values = held.get((size, d), (0, ()))
+        if begin <= a and z < begin + len(values):
+            source.append((begin, values))
+            continue
+        own = next((x for x in new.get(size, ()) if x[0] <= a and z <= x[1]), None)
+        if own is None:
+            margin = (z - a) // 4 + 8
+            own = (max(1, a - margin), min(size, z + margin))
+            new.setdefault(size, []).append(own)
+        source.append((size, *own))
+    asked = [(size, *x) for size, some in new.items() for x in some]
+    made = dict(zip(asked, _large_ranges(asked, d), strict=True))
+    for (size, begin, _), values in made.items():
+        held[size, d] = begin, values
         held["size"] += len(values)
-    return values[a - low : z - low + 1]
+    source = [x if len(x) == 2 else (x[1], made[x]) for x in source]
+    return [values[a - begin : z - begin + 1] for (begin, values), a, z in zip(source, low, high, strict=True)]
 
 
 def _draw(c: np.ndarray, rate: np.ndarray, discount: float, rng: np.random.Generator) -> np.ndarray:
     """Tables t of dishes with c customers, with a chance in proportion to Stirling(c, t) * (discount * rate) ** t. c is sorted."""
     t = np.ones(len(c), np.int64)
+    few, large = (int(np.searchsorted(c, x, side="right")) for x in (POWERS, EXACT))
     rows, weight = _stirling(discount), np.log(np.maximum(discount * rate, 1e-300))
-    values, begins = np.unique(c, return_index=True)
-    for value, a, z in zip(values.tolist(), begins.tolist(), [*begins[1:].tolist(), len(c)], strict=True):
-        if value > EXACT:
-            break
+    values, begins = np.unique(c[:few], return_index=True)
+    for value, a, z in zip(values.tolist(), begins.tolist(), [*begins.tolist(), few][1:], strict=True):
+        chance = rng.random(z - a)
+        x = np.clip(discount * rate[a:z], 1e-300, 1e18)  # beyond, all customers sit alone as far as a double can tell
+        sums, power = [np.ones(z - a)], x
+        for one in np.exp(rows[value][1:] - rows[value][0]).tolist():
+            sums.append(sums[-1] + one * power)
+            power = power * x
+        chance *= sums[-1]
+        for one in sums[:-1]:
+            t[a:z] += one < chance
+    if few < large:
         # More tables than the rate by far have no chance worth a double; most rates are small.
-        width = np.minimum(value, 32 << np.maximum(np.ceil(np.log2(np.maximum(rate[a:z], 1) / 4)), 0).astype(int)) if value > 64 else None
-        for columns in [value] if width is None else np.unique(width).tolist():
-            place = np.arange(a, z) if width is None else a + np.flatnonzero(width == columns)
-            step = max(1, 2_000_000 // columns)
-            for x in range(0, len(place), step):
-                some = place[x : x + step]
-                chance = rows[value][:columns] + weight[some, None] * np.arange(1, columns + 1)
-                chance = np.cumsum(np.exp(chance - chance.max(axis=1, keepdims=True)), axis=1)
-                t[some] = 1 + (chance < rng.random(len(chance))[:, None] * chance[:, -1:]).sum(axis=1)
-    large = int(np.searchsorted(c, EXACT, side="right"))
+        size = c[few:large]
+        width = 32 << np.minimum(np.maximum(np.ceil(np.log2(np.maximum(rate[few:large], 1) / 4)), 0), 30).astype(int)
+        width = np.where(size > 64, np.minimum(width, size), size)
+        order, chance = np.lexsort((width, size)), np.empty(large - few)
+        chance[order] = rng.random(large - few)
+        columns = 32 << np.ceil(np.log2(np.maximum(width, 32) / 32)).astype(int)
+        table = _stirling_table(discount)
+        for n in np.unique(columns).tolist():
+            place, tables = few + np.flatnonzero(columns == n), np.arange(1, min(n, EXACT) + 1)
+            for k in range(0, len(place), max(1, DRAWN // n)):
+                some = place[k : k + max(1, DRAWN // n)]
+                sums = table[c[some], : len(tables)] + weight[some, None] * tables
+                sums = np.cumsum(np.exp(sums - sums.max(axis=1, keepdims=True)), axis=1)
+                t[some] = 1 + (sums < chance[some - few, None] * sums[:, -1:]).sum(axis=1)
     if large < len(c):
         n, lam, d = c[large:].astype(float), np.maximum(rate[large:], 1e-300), discount
         y = _bisected(lambda y: d * (1 - y) * y ** (d - 1), n / lam)
         r, mean = 1 - y, lam * -np.expm1(d * np.log(y))
         spread = np.maximum(mean - n**2 / (lam * (r * d * y ** (d - 1) + r * r * d * (1 - d) * y ** (d - 2))), 0) ** 0.5
         low, high = np.maximum(np.floor(mean - 8 * spread - 20), 1), np.minimum(np.ceil(mean + 8 * spread + 30), n)
-        for k, (size, a, z) in enumerate(zip(c[large:].tolist(), low.astype(int).tolist(), high.astype(int).tolist(), strict=True)):
-            chance = _range(size, a, z, d) + np.arange(a, z + 1) * weight[large + k]
+        low, high = low.astype(int).tolist(), high.astype(int).tolist()
+        found = zip(_ranges(c[large:].tolist(), low, high, discount), low, high, rng.random(len(low)).tolist(), strict=True)
+        for k, (values, a, z, drawn) in enumerate(found, large):
+            chance = values + np.arange(a, z + 1) * weight[k]
             chance = np.cumsum(np.exp(chance - chance.max()))
-            t[large + k] = a + np.searchsorted(chance, rng.random() * chance[-1])
+            t[k] = a + np.searchsorted(chance, drawn * chance[-1])
     return t
 
 

@@ -165,6 +165,28 @@ def test_tables_of_large_dishes_have_the_right_mean():
     assert abs(draws.mean() - 3000) < 5 * (3000 / 60) ** 0.5
 
 
+def test_large_dishes_are_integrated_together(monkeypatch):
+    calls, bisected, cache = [], pitman_yor._bisected, {}
+    monkeypatch.setattr(pitman_yor, "worker_cache", lambda: cache)
+    monkeypatch.setattr(pitman_yor, "_bisected", lambda *x: calls.append(1) or bisected(*x))
+    c, rng = np.sort(np.r_[np.arange(600, 900), [700] * 3]), np.random.default_rng(4)
+    together = pitman_yor._draw(c, np.full(len(c), 50.0), 0.85, rng)
+    assert len(calls) < 30  # three a dish, when each was integrated for itself
+    rng = np.random.default_rng(4)
+    assert [pitman_yor._draw(c[k : k + 1], np.full(1, 50.0), 0.85, rng)[0] for k in range(len(c))] == together.tolist()
+
+
+def test_small_dishes_are_drawn_from_powers_as_from_the_table(monkeypatch):
+    c = np.sort(np.random.default_rng(1).integers(1, 17, 4000))
+    for rate in (1e-300, 1e-6, 0.3, 5.0, 1e9, 1e200):
+        found = []
+        for powers in (pitman_yor.POWERS, 0):
+            monkeypatch.setattr(pitman_yor, "POWERS", powers)
+            found.append(pitman_yor._draw(c, np.full(len(c), rate), 0.65, np.random.default_rng(2)).tolist())
+        monkeypatch.undo()
+        assert found[0] == found[1]
+
+
 @pytest.mark.parametrize("buckets", [2, 50])
 def test_probabilities_after_a_cut_context_sum_to_one(monkeypatch, buckets):
     """All passes without Spark. Held-out texts put every known word and one unknown after the cut context."""
