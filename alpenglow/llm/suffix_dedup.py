@@ -13,6 +13,10 @@
    counted instead.
 4. Repeated windows become spans; a document's spans are merged.
 
+Strings of a second, smaller length are found in the same pass: runs are of windows of that length, a run's text reaches as far
+as the longer windows that begin in it, so the same order and the same copies tell both. `report` counts with it the bytes of
+passages that repeat from PASSAGE bytes on, beside those that LENGTH removes.
+
 Matches are found on the texts as given (UTF-8 bytes, null: empty) and never cross documents. Rows that agree in id and
 text are different documents, each a copy of the other. Documents shorter than LENGTH have no windows.
 """
@@ -34,12 +38,17 @@ from alpenglow.llm.difference_cover import ranks
 from alpenglow.llm.words import ranges
 
 LENGTH = 400
+#: Passages of fifty words have about 250 to 350 bytes, so they are counted from this length on.
+PASSAGE = 200
 GRAM = 64
 SLOTS = 3
+#: Slots of the runs that tell two lengths: their windows are short, so an anchor has few of them.
+NESTED_SLOTS = 1
 #: Different runs of a cell that one task orders; beyond, windows are grouped by digest.
 MOST = 3000
-#: Text whose windows are looked at, and text put in order, at once: numpy holds some hundred times as much beside it.
-LOOK_BYTES, SORT_BYTES = 500_000, 500_000
+#: Text whose windows are looked at, and text put in order, at once: numpy holds some hundred times as much beside it, in
+#: arrays that should fit a core's cache.
+LOOK_BYTES, SORT_BYTES = 100_000, 200_000
 _BASE = 0xD1342543DE82EF95
 
 
@@ -63,10 +72,13 @@ def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(values[: len(values) - (width - size)], values[width - size :]) if size < width else values
 
 
-def runs(texts: list[bytes], length: int, gram: int, slots: int) -> tuple[np.ndarray, ...]:
-    """text, cell, hash, start and number of windows of every run of the texts."""
+def runs(texts: list[bytes], length: int, gram: int, slots: int, reach: int) -> tuple[np.ndarray, ...]:
+    """text, cell, hash, start, number of windows, and missing bytes of every run of the texts.
+
+    The text of a run reaches `reach` bytes from its last window's start on; what the document lacks of it is missing.
+    """
     data, bounds = joined(texts)
-    empty = tuple(np.zeros(0, k) for k in (np.int64, np.uint64, np.uint64, np.int64, np.int64))
+    empty = tuple(np.zeros(0, k) for k in (np.int64, np.uint64, np.uint64, np.int64, np.int64, np.int64))
     if len(data) < length:
         return empty
     width = length - gram + 1
@@ -90,8 +102,9 @@ def runs(texts: list[bytes], length: int, gram: int, slots: int) -> tuple[np.nda
     raw = memoryview(data)
     digest = xxhash.xxh3_64_intdigest
     cell = np.array([digest(raw[a:b], s) for a, b, s in zip(core_from.tolist(), core_to.tolist(), slot.tolist(), strict=True)], np.uint64)
-    own = np.array([digest(raw[a : a + m - 1 + length], o) for a, m, o in zip(start.tolist(), n.tolist(), (anchor - start).tolist(), strict=True)], np.uint64)
-    return text[start], cell, own, start - bounds[text[start]], n
+    stop = np.minimum(start + n - 1 + reach, bounds[text[start] + 1])
+    own = np.array([digest(raw[a:b], o) for a, b, o in zip(start.tolist(), stop.tolist(), ((anchor - start) * width + n).tolist(), strict=True)], np.uint64)
+    return text[start], cell, own, start - bounds[text[start]], n, start + n - 1 + reach - stop
 
 
 def keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -100,48 +113,82 @@ def keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return docs.withColumn("row", F.xxhash64("doc_id", "text"))
 
 
-def _occurrences(docs: DataFrame, length: int, gram: int, slots: int) -> DataFrame:
+def _occurrences(docs: DataFrame, length: int, gram: int, slots: int, reach: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in chunks(batch, limit=LOOK_BYTES):
-                at, cell, own, start, n = runs(encoded(piece.column("text")), length, gram, slots)
+                at, cell, own, start, n, missing = runs(encoded(piece.column("text")), length, gram, slots, reach)
                 at = pa.array(at)
                 yield pa.RecordBatch.from_arrays(
                     [piece.column("row").take(at), piece.column("doc_id").take(at), pa.array(cell.view(np.int64)), pa.array(own.view(np.int64)),
-                     pa.array(start), pa.array(n.astype(np.int32))], names=["row", "doc_id", "cell", "run", "start", "n"])
+                     pa.array(start), pa.array(n.astype(np.int32)), pa.array(missing.astype(np.int32))],
+                    names=["row", "doc_id", "cell", "run", "start", "n", "missing"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"row bigint, doc_id {kind}, cell bigint, run bigint, start bigint, n int")
+    return docs.mapInArrow(run, f"row bigint, doc_id {kind}, cell bigint, run bigint, start bigint, n int, missing int")
+
+
+def _met(data: np.ndarray, cell: np.ndarray, place: np.ndarray, length: int) -> np.ndarray:
+    """Whether the hash of the `length` bytes at a place occurs at another place of its cell: so it does where the bytes do."""
+    size = 1 << (length.bit_length() - 1)
+    if not len(place):
+        return np.zeros(0, bool)
+    hashes = _gram_hashes(data, size)
+    key = hashes[place] * np.uint64(_BASE) + hashes[place + length - size] + cell.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    order = np.argsort(key)
+    same = np.flatnonzero(key[order[1:]] == key[order[:-1]])
+    met = np.zeros(len(place), bool)
+    met[order[same]] = True
+    met[order[same + 1]] = True
+    return met
 
 
-def repeated_windows(texts: list[bytes], cells: np.ndarray, counts: np.ndarray, length: int) -> np.ndarray:
-    """For each window (text k has counts[k]): whether it also begins in another place among texts of its cell."""
-    pad = b"\0" * 8
-    data = np.frombuffer(pad.join([*texts, b""]), np.uint8)
-    ends = np.cumsum([len(x) + 8 for x in texts])
+def repeated_windows(texts: list[bytes], cells: np.ndarray, counts: np.ndarray, lengths: list[int]) -> list[np.ndarray]:
+    """For each of the ascending lengths, whether as many bytes from a place on also begin in another among texts of its cell.
+
+    Text k has counts[k] places, its first ones, at each of which it has the smallest length at least. Only places whose hash
+    is met again are put in order, with the part of their text that they need.
+    """
+    whole, bounds = joined(texts)
+    text = np.repeat(np.arange(len(texts)), counts)
+    cell = np.unique(cells, return_inverse=True)[1][text]
+    place = ranges(bounds[:-1], counts)
+    room = bounds[text + 1] - place
+    need = np.zeros(len(place), np.int64)
+    for shorter, length in zip([0, *lengths], lengths, strict=False):
+        at = np.flatnonzero((room >= length) & (need == shorter))
+        need[at[_met(whole, cell[at], place[at], length)]] = length
+    kept = np.flatnonzero(need)
+    flags = [np.zeros(len(place), bool) for _ in lengths]
+    if not len(kept):
+        return flags
+    text, cell, place, need = text[kept], cell[kept], place[kept], need[kept]
+    head = np.flatnonzero(np.r_[True, text[1:] != text[:-1]])
+    begins, stops = place[head], np.maximum.reduceat(place + need, head)
+    pad, raw = b"\0" * 8, memoryview(whole)
+    data = np.frombuffer(pad.join([*(raw[a:b] for a, b in zip(begins.tolist(), stops.tolist(), strict=True)), b""]), np.uint8)
+    ends = np.cumsum(stops - begins + 8)
     symbols = data.astype(np.int64) + 1
     symbols[(ends[:, None] - np.arange(8, 0, -1)).ravel()] = 0
-    rank = ranks(symbols, length)
-    start = ranges(np.r_[0, ends[:-1]], counts)
-    cell = np.repeat(np.unique(cells, return_inverse=True)[1], counts)
+    rank = ranks(symbols, lengths[-1])
+    start = place + np.repeat(ends - 8 - stops, np.diff(np.r_[head, len(text)]))
     order = np.lexsort((rank[start], cell))
-    place = start[order]
+    place, need, cell = start[order], need[order], cell[order]
     words = np.lib.stride_tricks.sliding_window_view(data, 8)
     words = np.ascontiguousarray(words[: len(data) - 7]).view("<u8").ravel()
-    same = np.flatnonzero(cell[order][1:] == cell[order][:-1])
-    for offset in [*range(0, length - 7, 8), length - 8]:  # adjacent prefixes, dropped at the first difference
-        same = same[words[place[same] + offset] == words[place[same + 1] + offset]]
-    flag = np.zeros(len(start), bool)
-    flag[order[same]] = True
-    flag[order[same + 1]] = True
-    return flag
-
-
-def _spans(batch: pa.RecordBatch, length: int) -> pa.RecordBatch:
-    """Spans (row, doc_id, a, b) of the repeated windows of some cells' runs; runs that stand for copies give none."""
-    counts = np.asarray(batch.column("n"), dtype=np.int64)
-    flag = repeated_windows(batch.column("bytes").to_pylist(), np.asarray(batch.column("cell")), counts, length)
-    flag &= np.repeat(np.asarray(batch.column("copies")) == 1, counts)
+    same, done = np.flatnonzero(cell[1:] == cell[:-1]), 0
+    for flag, length in zip(flags, lengths, strict=True):
+        same = same[(need[same] >= length) & (need[same + 1] >= length)]
+        for offset in [*range(done, length - 7, 8), length - 8]:  # adjacent prefixes, dropped at the first difference
+            same = same[words[place[same] + offset] == words[place[same + 1] + offset]]
+        done = length
+        flag[kept[order[same]]] = True
+        flag[kept[order[same + 1]]] = True
+    return flags
+
+
+def _stretches(batch: pa.RecordBatch, flag: np.ndarray, counts: np.ndarray, length: int) -> pa.RecordBatch:
+    """The flagged windows of each run as spans (row, doc_id, a, b, size)."""
     first = np.cumsum(counts) - counts
     before, after = np.r_[False, flag[:-1]], np.r_[flag[1:], False]
     before[first] = False
@@ -151,8 +198,18 @@ def _spans(batch: pa.RecordBatch, length: int) -> pa.RecordBatch:
     start = np.asarray(batch.column("start"))[run] - first[run]
     at = pa.array(run)
     return pa.RecordBatch.from_arrays(
-        [batch.column("row").take(at), batch.column("doc_id").take(at), pa.array(start + begins), pa.array(start + ends + length)],
-        names=["row", "doc_id", "a", "b"])
+        [batch.column("row").take(at), batch.column("doc_id").take(at), pa.array(start + begins), pa.array(start + ends + length),
+         pa.array(np.full(len(run), length, np.int32))], names=["row", "doc_id", "a", "b", "size"])
+
+
+def _spans(batch: pa.RecordBatch, lengths: list[int]) -> Iterator[pa.RecordBatch]:
+    """Spans of the repeated windows of some cells' runs, each of the largest length that repeats; copies give none."""
+    counts = np.asarray(batch.column("n"), dtype=np.int64)
+    flags = repeated_windows(batch.column("bytes").to_pylist(), np.asarray(batch.column("cell")), counts, lengths)
+    left = np.repeat(np.asarray(batch.column("copies")) == 1, counts)
+    for flag, length in zip(flags[::-1], lengths[::-1], strict=True):
+        yield _stretches(batch, flag & left, counts, length)
+        left &= ~flag
 
 
 def _by_cells(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
@@ -184,16 +241,16 @@ def _by_cells(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Recor
         yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
 
-def _ordered(rows: DataFrame, length: int) -> DataFrame:
-    """Spans (row, doc_id, a, b) of the repeated windows of runs that meet in a cell."""
+def _ordered(rows: DataFrame, lengths: list[int]) -> DataFrame:
+    """Spans (row, doc_id, a, b, size) of the repeated windows of runs that meet in a cell."""
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in _by_cells(batches, SORT_BYTES):
-            yield _spans(piece, length)
+            yield from _spans(piece, lengths)
 
     n = partitions(rows.sparkSession)
-    return rows.repartition(n, "cell").sortWithinPartitions("cell").mapInArrow(run, f"row bigint, doc_id {kind}, a bigint, b bigint")
+    return rows.repartition(n, "cell").sortWithinPartitions("cell").mapInArrow(run, f"row bigint, doc_id {kind}, a bigint, b bigint, size int")
 
 
 def _with_hot(rows: DataFrame, small: DataFrame, on: list[str], size: str) -> DataFrame:
@@ -213,36 +270,50 @@ def _with_hot(rows: DataFrame, small: DataFrame, on: list[str], size: str) -> Da
 
 
 def merged_spans(spans: DataFrame) -> DataFrame:
-    """Spans that overlap or touch become one, so that a document has no more spans than runs of removed bytes."""
-    in_text = Window.partitionBy("row", "doc_id").orderBy("a", "b")
-    reached = F.max("b").over(in_text.rowsBetween(Window.unboundedPreceding, -1))
-    begins = F.when(reached.isNull() | (F.col("a") > reached), 1).otherwise(0)
+    """Spans (of one size, if they have any) that overlap or touch become one: no more of them than runs of removed bytes."""
+    sizes = [x for x in spans.columns if x == "size"]
+    size = F.col("size") if sizes else F.lit(0)
+    in_text = Window.partitionBy("row", "doc_id").orderBy(*sizes, "a", "b")
+    reached = F.max(F.struct(size.alias("size"), "b")).over(in_text.rowsBetween(Window.unboundedPreceding, -1))
+    begins = F.when(reached.isNull() | (reached["size"] < size) | (F.col("a") > reached["b"]), 1).otherwise(0)
     numbered = spans.withColumn("__begins", begins).withColumn("__run", F.sum("__begins").over(in_text))
-    return numbered.groupBy("row", "doc_id", "__run").agg(F.min("a").alias("a"), F.max("b").alias("b")).drop("__run")
+    return numbered.groupBy("row", "doc_id", *sizes, "__run").agg(F.min("a").alias("a"), F.max("b").alias("b")).drop("__run")
 
 
-def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, slots: int = SLOTS) -> DataFrame:
-    """row, doc_id, a, b: byte spans (a to before b) to remove from keyed documents; spans may overlap."""
-    found = _occurrences(docs, length, gram, slots)
+def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, slots: int | None = None, passage: int | None = None) -> DataFrame:
+    """row, doc_id, a, b: byte spans (a to before b) of keyed documents that `length` removes; spans may overlap.
+
+    With `passage`, a smaller length, a further column `size` is `length` for those and `passage` for spans whose strings of
+    that length repeat; bytes that `length` covers need not be in spans of `passage` again.
+    """
+    lengths = [length] if passage is None else [passage, length]
+    least = lengths[0]
+    found = _occurrences(docs, least, gram, slots or (SLOTS if passage is None else NESTED_SLOTS), length)
     again = written(found.groupBy("cell").agg(F.count("*").alias("in_cell")).filter("in_cell > 1"))
     found = written(_with_hot(found, again, ["cell"], "in_cell"))  # the rest works on the few runs whose cell occurs again
     kinds = written(found.groupBy("cell", "run").agg(
-        F.count("*").alias("copies"), F.min(F.struct("row", "doc_id", "start")).alias("one"), F.max("n").alias("n")))
+        F.count("*").alias("copies"), F.min(F.struct("row", "doc_id", "start")).alias("one"), F.max("n").alias("n"), F.max("missing").alias("missing")))
+    extent = F.col("n") - 1 + length - F.col("missing")
     copied = _with_hot(found, kinds.filter("copies > 1").select("cell", "run", "copies"), ["cell", "run"], "copies")
-    copied = copied.select("row", "doc_id", F.col("start").alias("a"), (F.col("start") + F.col("n") - 1 + length).alias("b"))
+    whole = extent >= length  # all its places of `length` bytes repeat, up to the end of its text
+    copied = copied.select(
+        "row", "doc_id", F.col("start").alias("a"), (F.col("start") + F.when(whole, extent).otherwise(F.col("n") - 1 + least)).alias("b"),
+        F.when(whole, length).otherwise(least).alias("size"))
     several = kinds.groupBy("cell").agg(F.count("*").alias("kinds"), F.min("copies").alias("least")).filter("kinds > 1 AND least = 1")
-    ones = kinds.join(several.select("cell", "kinds"), "cell").select("cell", "copies", "n", "kinds", "one.*")
+    ones = kinds.join(several.select("cell", "kinds"), "cell").select("cell", "copies", "n", extent.alias("extent"), "kinds", "one.*")
     # the columns in the order of the keyed documents, so that their shuffle serves both this join and that with the spans
     texts = docs.select(F.col("doc_id").alias("text_id"), "text", F.col("row").alias("text_row"))
     ones = ones.join(texts, (F.col("row") == F.col("text_row")) & F.col("doc_id").eqNullSafe(F.col("text_id")))
     ones = ones.select("cell", "copies", "n", "kinds", "row", "doc_id", "start", F.substring(
-        F.col("text").cast("binary"), (F.col("start") + 1).cast("int"), F.col("n") - 1 + length).alias("bytes"))
-    ordered = _ordered(ones.filter(F.col("kinds") <= MOST).drop("kinds"), length)
+        F.col("text").cast("binary"), (F.col("start") + 1).cast("int"), F.col("extent")).alias("bytes"))
+    ordered = _ordered(ones.filter(F.col("kinds") <= MOST).drop("kinds"), lengths)
     windows = ones.filter(F.col("kinds") > MOST).select("row", "doc_id", "start", "copies", "bytes", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("k"))
-    windows = windows.select("row", "doc_id", "copies", (F.col("start") + F.col("k")).alias("a"), F.sha2(F.substring("bytes", F.col("k") + 1, F.lit(length)), 256).alias("digest"))
+    windows = windows.withColumn("size", F.explode(F.array(*map(F.lit, lengths)))).filter(F.col("k") + F.col("size") <= F.octet_length("bytes"))
+    windows = windows.select("row", "doc_id", "copies", (F.col("start") + F.col("k")).alias("a"), "size", F.sha2(F.substring("bytes", F.col("k") + 1, F.col("size")), 256).alias("digest"))
     twice = windows.groupBy("digest").agg(F.count("*").alias("__n")).filter("__n > 1").select("digest")
-    digested = windows.filter("copies = 1").join(twice, "digest").select("row", "doc_id", "a", (F.col("a") + length).alias("b"))
-    return copied.unionByName(ordered).unionByName(digested)
+    digested = windows.filter("copies = 1").join(twice, "digest").select("row", "doc_id", "a", (F.col("a") + F.col("size")).alias("b"), "size")
+    spans = copied.unionByName(ordered).unionByName(digested)
+    return spans.drop("size") if passage is None else spans
 
 
 def cut(text: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, int, int]:
@@ -265,30 +336,34 @@ def cut(text: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, int, int]:
 
 def with_spans(docs: DataFrame, spans: DataFrame, doc_id: str = "doc_id", row: str = "row") -> DataFrame:
     """The rows of docs with their spans as an array column __spans (null: none)."""
-    spans = merged_spans(spans).groupBy("row", "doc_id").agg(F.collect_list(F.struct("a", "b")).alias("__spans"))
+    spans = merged_spans(spans).groupBy("row", "doc_id").agg(F.collect_list(F.struct("a", "b", *(x for x in spans.columns if x == "size"))).alias("__spans"))
     spans = spans.select(F.col("row").alias("__span_row"), F.col("doc_id").alias("__span_id"), "__spans")
     on = (F.col(row) == F.col("__span_row")) & F.col(doc_id).eqNullSafe(F.col("__span_id"))
     return docs.join(spans, on, "left").drop("__span_row", "__span_id")
 
 
-def report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and kept_text (as `remove` leaves it) of every document."""
+def report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, passage: int = PASSAGE) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept_text (as `remove` leaves it) and n_repeated of every document.
+
+    n_repeated counts the bytes covered by a string of `passage` bytes, fewer than `length`, that also starts anywhere else.
+    """
     keys = keyed(docs, doc_id, text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in chunks(batch):
-                texts = encoded(piece.column("text"))
-                done = [cut(x, [(s["a"], s["b"]) for s in spans or []]) for x, spans in zip(texts, piece.column("__spans").to_pylist(), strict=True)]
+                texts, spans = encoded(piece.column("text")), [x or [] for x in piece.column("__spans").to_pylist()]
+                done = [cut(x, [(s["a"], s["b"]) for s in found if s["size"] == length]) for x, found in zip(texts, spans, strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [piece.column("doc_id"), pa.array([len(x) for x in texts], pa.int64()), pa.array([x[1] for x in done], pa.int64()),
                      pa.array([x[2] for x in done], pa.int64()), pa.array([hashlib.sha256(x[0]).hexdigest() for x in done]),
-                     pa.array([x[0].decode(errors="ignore") for x in done], pa.string())],
-                    names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"])
+                     pa.array([x[0].decode(errors="ignore") for x in done], pa.string()),
+                     pa.array([cut(x, [(s["a"], s["b"]) for s in found])[1] for x, found in zip(texts, spans, strict=True)], pa.int64())],
+                    names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text", "n_repeated"])
 
     kind = keys.schema["doc_id"].dataType.simpleString()
-    return with_spans(keys, repeated_spans(keys, length)).select("doc_id", "text", "__spans").mapInArrow(
-        run, f"doc_id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept_text string")
+    return with_spans(keys, repeated_spans(keys, length, passage=passage)).select("doc_id", "text", "__spans").mapInArrow(
+        run, f"doc_id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept_text string, n_repeated bigint")
 
 
 def remove(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:

@@ -118,3 +118,41 @@ def test_pieces_end_where_a_cell_does(rows, per_batch, size):
     for x in pieces:  # no piece could have ended earlier
         last = x[-1]["cell"]
         assert sum(len(r["bytes"]) for r in x if r["cell"] != last) < size
+
+
+@pytest.mark.parametrize("most", [3000, 1])
+@pytest.mark.parametrize("lengths, gram", [((40, 65), 8), ((33, 70), 32), ((64, 200), 64)])
+def test_two_lengths_as_brute_force(spark, prose, monkeypatch, most, lengths, gram):
+    """One search tells the repeated strings of both lengths, next to the ends of texts and of passages too."""
+    monkeypatch.setattr(d, "MOST", most)
+    monkeypatch.setattr(d, "SORT_BYTES", 4000)
+    shared, other = prose(100, 40), prose(101, 12, "aé")
+    texts = [prose(1), shared, prose(2, 9) + shared + prose(3, 9), shared[30:] + shared[:90], other + other, "a" * 300, "ab" * 200, "", "short",
+             prose(5, 9) + other, *("x" * n for x in lengths for n in (x, x - 1)), prose(1)[10:200] + "?" + prose(1)[200:], "ü" * 150, prose(1)[-50:], "\0" * 90]
+    texts += [prose(k, 5) + shared[: 3 * (k - 180)] + prose(k + 50, 5) for k in range(200, 212)] + [prose(1)[7:60], shared[-45:], shared[-45:]]
+    rows = [(k, x) for k, x in enumerate(texts)] + [(3, texts[3]), (None, shared[:50]), (None, None)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    keys = d.keyed(frame, "doc_id", "text")
+    spans = d.with_spans(keys, d.repeated_spans(keys, lengths[1], gram, passage=lengths[0])).collect()
+    found = Counter()
+    for r in spans:
+        x, given = r["text"].encode(), r["__spans"] or []
+        long = d.cut(x, [(s["a"], s["b"]) for s in given if s["size"] == lengths[1]])
+        found[(x, long, d.cut(x, [(s["a"], s["b"]) for s in given])[1])] += 1
+    given = [(x or "").encode() for _, x in rows]
+    short = [x[1] for x in brute(given, lengths[0])]
+    assert found == Counter(zip(given, brute(given, lengths[1]), short, strict=True))
+    assert short != [x[1] for x in brute(given, lengths[1])]
+
+
+def test_passages_of_fifty_words_are_counted(spark, documents, prose):
+    """Passages of over fifty words are under the 400 bytes that are removed, and are told apart from clean texts."""
+    passages = [prose(k, 52) for k in range(3)]
+    assert all(d.PASSAGE < len(x) < d.LENGTH for x in passages)
+    clean = [prose(k, 150) for k in range(10, 16)]
+    planted = [f"{prose(20 + k, 80)} {passages[k % 3]} {prose(40 + k, 80)}" for k in range(9)]
+    rows = {r["doc_id"]: r for r in d.report(documents(*clean, *planted, None)).collect()}
+    assert [rows[k]["n_repeated"] for k in range(len(clean))] == [0] * len(clean) and rows[len(clean) + 9]["n_repeated"] == 0
+    for k in range(9):
+        found = rows[len(clean) + k]
+        assert found["n_removed"] == 0 and len(passages[k % 3]) <= found["n_repeated"] < d.LENGTH
