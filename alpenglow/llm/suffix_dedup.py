@@ -6,8 +6,8 @@
    runs whose cell occurs once are dropped by a count.
 2. Equal runs. Runs with the same bytes are counted; if there are several, all their windows repeat, and of all of them one
    stands in what follows. Copies of a passage, whether two or a third of all rows, end here.
-3. Suffix order. The different runs of a cell meet in a task (sorted by cell, half a megabyte at a time); the suffixes of
-   their texts are put in order by the difference cover algorithm (sort sampled triples, recurse on names, merge the
+3. Suffix order. The different runs of a cell meet in a task (sorted by cell, 200 KB at a time). Windows whose hash no other
+   window of the cell has cannot repeat and are left out; the suffixes of what is left are put in order by the difference cover algorithm (sort sampled triples, recurse on names, merge the
    rest), and the first LENGTH bytes of adjacent suffixes are compared. Windows of equal prefixes repeat.
    A cell with more than MOST different runs is not given to one task: its windows are exploded, grouped by digest and
    counted instead.
