@@ -34,6 +34,20 @@ def folder(monkeypatch, tmp_path):
     return tmp_path / "shared"
 
 
+def exchanges(df):
+    return [line for line in df._jdf.queryExecution().executedPlan().toString().splitlines() if " Exchange " in line]
+
+
+def test_payloads_are_made_where_their_cells_meet(spark, sf_dir):
+    raw = fx.clean_raw(spark, sf_dir)
+    steps = raw._jdf.queryExecution().executedPlan().toString().splitlines()
+    last = next(n for n, line in enumerate(steps) if " Exchange " in line)
+    assert not any("collect_list" in line for line in steps[last:])
+    wanted = spark.createDataFrame([(0, "summit", date(2000, 1, 1))], "route_id long, waypoint_name string, period_start date")
+    # The lines of a cell, the cells of a month, the slices: the texts stay where they are.
+    assert len(exchanges(fx.archive_slices(raw, wanted.hint("merge")))) == 3
+
+
 def test_a_small_waypoint_file_is_dealt_before_its_months_are_made(spark):
     places = spark.range(500).select(
         F.col("id").alias("route_id"), F.lit("summit").alias("waypoint_name"), F.lit(1.0).alias("lat"), F.lit(2.0).alias("lon"),
