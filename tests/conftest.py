@@ -38,6 +38,17 @@ def spark(tmp_path_factory):
     session.stop()
 
 
+@pytest.fixture(autouse=True)
+def views_go_with_their_test():
+    """A catalog lists temporary views with the tables of every database."""
+    yield
+    session = SparkSession.getActiveSession()
+    if session is not None:
+        for found in session.catalog.listTables():
+            if found.isTemporary:
+                session.catalog.dropTempView(found.name)
+
+
 @pytest.fixture
 def tables(spark, tmp_path):
     names = TableNames(f"t_{uuid.uuid4().hex[:12]}")
